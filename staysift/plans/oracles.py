@@ -80,7 +80,132 @@ def _cleaning() -> dict[str, str]:
     return q
 
 
+MEASURES = ["city_population", "attractions_count", "facilities_count", "facilities_keyword_hits", "hotel_latitude"]
+NUMERIC = [
+    "hotel_star_rating", "city_population", "attractions_count", "facilities_count",
+    "facilities_keyword_hits", "hotel_latitude", "hotel_longitude",
+]
+JOINED_COLS = [
+    "countyCode", "countyName", "cityCode", "cityName", "HotelCode", "HotelName", "hotel_star_rating",
+    "attractions_count", "facilities_count", "facilities_keyword_hits", "hotel_latitude",
+    "hotel_longitude", "city_population",
+]
+
+
+def _case_map(e: str, mapping: dict[str, str], default: str) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"coalesce(CASE {e} {whens} END, '{default}')"
+
+
+def _explore() -> dict[str, str]:
+    from staysift.operators.lookup import CONTINENT_BY_SUB_REGION, OTHER, SUB_REGION_BY_COUNTRY
+
+    q: dict[str, str] = {}
+    B = O.with_base
+    q["label_counts"] = B("""SELECT hotel_star_rating, CAST(count(*) AS BIGINT) AS n FROM joined
+        WHERE hotel_star_rating IS NOT NULL GROUP BY 1""")
+    q["label_counts_with_null"] = B("""SELECT hotel_star_rating, CAST(count(*) AS BIGINT) AS n FROM joined GROUP BY 1""")
+    means = ", ".join(f"{O.rnd(f'avg({m})')} AS mean_{m}" for m in MEASURES)
+    q["mean_by_label"] = B(f"""SELECT hotel_star_rating, {means},
+        {O.rnd('avg(abs(hotel_longitude))')} AS mean_abs_hotel_longitude
+        FROM joined WHERE hotel_star_rating IS NOT NULL GROUP BY 1""")
+    sub = _case_map("countyName", SUB_REGION_BY_COUNTRY, OTHER)
+    cont = _case_map("sub_region", CONTINENT_BY_SUB_REGION, OTHER)
+    q["region_rollup"] = B(f"""SELECT 'sub_region' AS level, sub_region AS grp, {O.rnd('avg(hotel_star_rating)')} AS mean
+        FROM (SELECT *, {sub} AS sub_region FROM joined) GROUP BY sub_region
+        UNION ALL
+        SELECT 'continent' AS level, continent AS grp, {O.rnd('avg(hotel_star_rating)')} AS mean
+        FROM (SELECT *, {cont} AS continent FROM (SELECT *, {sub} AS sub_region FROM joined)) GROUP BY continent""")
+    cm = """(SELECT countyName, avg(hotel_star_rating) AS mean FROM joined WHERE countyName IS NOT NULL
+             GROUP BY 1 HAVING avg(hotel_star_rating) IS NOT NULL)"""
+    q["top_countries"] = B(f"SELECT countyName, {O.rnd('mean')} AS mean FROM {cm} ORDER BY mean DESC, countyName LIMIT 10")
+    q["bottom_countries"] = B(f"SELECT countyName, {O.rnd('mean')} AS mean FROM {cm} ORDER BY mean ASC, countyName LIMIT 10")
+    cs = """(SELECT cityName, countyName, avg(hotel_star_rating) AS mean,
+               CAST(count(hotel_star_rating) AS BIGINT) AS count,
+               cityName || ' (' || countyName || ')' AS city_label
+             FROM joined WHERE cityName IS NOT NULL AND countyName IS NOT NULL
+             GROUP BY cityName, countyName HAVING avg(hotel_star_rating) IS NOT NULL)"""
+    cols = f"cityName, countyName, {O.rnd('mean')} AS mean, count, city_label"
+    q["city_stats"] = B(f"SELECT {cols} FROM {cs}")
+    q["top_cities"] = B(f"SELECT {cols} FROM {cs} WHERE count >= 10 ORDER BY mean DESC, cityName, countyName LIMIT 10")
+    q["bottom_cities"] = B(f"SELECT {cols} FROM {cs} WHERE count >= 10 ORDER BY mean ASC, cityName, countyName LIMIT 10")
+    q["map_points"] = B(f"""SELECT * FROM (SELECT cityName, countyName,
+          {O.rnd('avg(hotel_star_rating)')} AS hotel_star_rating, {O.rnd('avg(hotel_latitude)')} AS hotel_latitude,
+          {O.rnd('avg(hotel_longitude)')} AS hotel_longitude
+        FROM joined WHERE cityName IS NOT NULL AND countyName IS NOT NULL GROUP BY 1, 2)
+        WHERE hotel_star_rating IS NOT NULL AND hotel_latitude IS NOT NULL AND hotel_longitude IS NOT NULL""")
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) * 100.0 AS p FROM joined"
+        for c in JOINED_COLS
+    )
+    q["missing_profile"] = B(f"""SELECT "column", {O.rnd('p')} AS missing_pct FROM ({parts})
+        ORDER BY p DESC, "column" LIMIT 12""")
+    q["shape"] = B("SELECT CAST(count(*) AS BIGINT) AS rows, CAST(13 AS BIGINT) AS columns FROM joined")
+    pairs = []
+    for i, a in enumerate(NUMERIC):
+        for b in NUMERIC[i:]:
+            pairs.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {O.rnd(f'corr({a}, {b})')} AS corr FROM joined")
+            if a != b:
+                pairs.append(f"SELECT '{b}' AS col_a, '{a}' AS col_b, {O.rnd(f'corr({a}, {b})')} AS corr FROM joined")
+    q["correlation_matrix"] = B(" UNION ALL ".join(pairs))
+    diag = " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, {O.rnd(f'skewness({c})')} AS skewness,
+            CAST(count(DISTINCT {c}) AS BIGINT) AS unique_values,
+            CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_values FROM joined"""
+        for c in ["city_population", "facilities_count", "attractions_count"]
+    )
+    q["feature_diagnostics"] = B(diag)
+
+    def box(src: str, g: str, v: str) -> str:
+        return f"""SELECT b.{g}, {O.rnd('b.q1')} AS q1, {O.rnd('b.median')} AS median, {O.rnd('b.q3')} AS q3,
+            {O.rnd(f'min(CASE WHEN s.v >= b.q1 - 1.5 * (b.q3 - b.q1) AND s.v <= b.q3 + 1.5 * (b.q3 - b.q1) THEN s.v END)')} AS whisker_low,
+            {O.rnd(f'max(CASE WHEN s.v >= b.q1 - 1.5 * (b.q3 - b.q1) AND s.v <= b.q3 + 1.5 * (b.q3 - b.q1) THEN s.v END)')} AS whisker_high,
+            CAST(sum(CASE WHEN s.v >= b.q1 - 1.5 * (b.q3 - b.q1) AND s.v <= b.q3 + 1.5 * (b.q3 - b.q1) THEN 0 ELSE 1 END) AS BIGINT) AS outliers,
+            CAST(count(*) AS BIGINT) AS n
+          FROM (SELECT {g}, CAST({v} AS DOUBLE) AS v FROM {src} WHERE {g} IS NOT NULL AND {v} IS NOT NULL) s
+          JOIN (SELECT {g}, quantile_cont(CAST({v} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({v} AS DOUBLE), 0.5) AS median,
+                  quantile_cont(CAST({v} AS DOUBLE), 0.75) AS q3
+                FROM {src} WHERE {g} IS NOT NULL AND {v} IS NOT NULL GROUP BY 1) b ON s.{g} = b.{g}
+          GROUP BY b.{g}, b.q1, b.median, b.q3"""
+
+    q["box_summary"] = B(box("joined", "hotel_star_rating", "facilities_count"))
+    q["box_summary_lineitem"] = box("lineitem", "l_returnflag", "l_extendedprice")
+    q["cohens_d"] = f"""SELECT n_high, n_low, {O.rnd('mean_high')} AS mean_high, {O.rnd('mean_low')} AS mean_low,
+        {O.rnd('var_high')} AS var_high, {O.rnd('var_low')} AS var_low, {O.rnd('d')} AS cohens_d,
+        CASE WHEN abs(d) < 0.2 THEN 'negligible' WHEN abs(d) < 0.5 THEN 'small'
+             WHEN abs(d) < 0.8 THEN 'medium' ELSE 'large' END AS effect_size
+      FROM (SELECT *, (mean_high - mean_low) / sqrt(((n_high - 1) * var_high + (n_low - 1) * var_low)
+                 / (n_high + n_low - 2)) AS d
+        FROM (SELECT count(CASE WHEN l.quality = 1 THEN length(d.text) END) AS n_high,
+                     count(CASE WHEN l.quality <> 1 THEN length(d.text) END) AS n_low,
+                     avg(CASE WHEN l.quality = 1 THEN length(d.text) END) AS mean_high,
+                     avg(CASE WHEN l.quality <> 1 THEN length(d.text) END) AS mean_low,
+                     var_samp(CASE WHEN l.quality = 1 THEN length(d.text) END) AS var_high,
+                     var_samp(CASE WHEN l.quality <> 1 THEN length(d.text) END) AS var_low
+              FROM documents d JOIN labels l ON d.doc_id = l.doc_id))"""
+    q["mann_whitney"] = f"""WITH c AS (
+        SELECT CAST(value AS DOUBLE) AS v, sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS nh,
+               sum(CASE WHEN event_type = 'click' THEN 0 ELSE 1 END) AS nl, count(*) AS cnt
+        FROM events WHERE event_type IN ('click', 'purchase') AND value IS NOT NULL GROUP BY 1),
+      r AS (SELECT *, sum(cnt) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - cnt AS before FROM c),
+      a AS (SELECT CAST(sum(nh) AS DOUBLE) AS n1, CAST(sum(nl) AS DOUBLE) AS n2,
+                   sum(nh * (before + (cnt + 1) / 2.0)) AS r1,
+                   sum(CAST(cnt AS DOUBLE) * cnt * cnt - cnt) AS tie FROM r),
+      u AS (SELECT *, r1 - n1 * (n1 + 1) / 2.0 AS u1 FROM a)
+      SELECT CAST(n1 AS BIGINT) AS n_high, CAST(n2 AS BIGINT) AS n_low, {O.rnd('u1')} AS u_statistic,
+        {O.rnd('(greatest(u1, n1 * n2 - u1) - n1 * n2 / 2.0 - 0.5) / sqrt(n1 * n2 / 12.0 * ((n1 + n2 + 1) - tie / ((n1 + n2) * (n1 + n2 - 1))))')} AS z
+      FROM u"""
+    q["ols_simple"] = f"""SELECT n, {O.rnd('b')} AS coefficient, {O.rnd('a')} AS intercept, {O.rnd('r2')} AS r_squared,
+        {O.rnd('b / sqrt((1 - r2) * syy / (n - 2) / sxx)')} AS t
+      FROM (SELECT CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n,
+                   regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a,
+                   regr_r2(l_extendedprice, l_quantity) AS r2, regr_sxx(l_extendedprice, l_quantity) AS sxx,
+                   regr_syy(l_extendedprice, l_quantity) AS syy FROM lineitem)"""
+    return q
+
+
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(_cleaning())
+    out.update(_explore())
     return out

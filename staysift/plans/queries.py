@@ -196,3 +196,166 @@ REGISTRY: dict[str, Query] = {
     "join_coverage": q_join_coverage,
     "unmatched_keys": q_unmatched_keys,
 }
+
+
+# --- profile / explore ----------------------------------------------------------
+
+from staysift.operators import explore, profile, stats  # noqa: E402
+
+MEASURES = ["city_population", "attractions_count", "facilities_count", "facilities_keyword_hits", "hotel_latitude"]
+NUMERIC = [
+    "hotel_star_rating", "city_population", "attractions_count", "facilities_count",
+    "facilities_keyword_hits", "hotel_latitude", "hotel_longitude",
+]
+
+
+def _round_cols(df: DataFrame, cols) -> DataFrame:
+    return df.withColumns({c: rnd(c) for c in cols})
+
+
+def q_label_counts(spark, sf_dir):
+    return profile.label_counts(joined_table(spark, sf_dir), "hotel_star_rating")
+
+
+def q_label_counts_with_null(spark, sf_dir):
+    return profile.label_counts(joined_table(spark, sf_dir), "hotel_star_rating", include_missing=True)
+
+
+def q_mean_by_label(spark, sf_dir):
+    out = explore.means_by_label(joined_table(spark, sf_dir), "hotel_star_rating", MEASURES, ["hotel_longitude"])
+    return _round_cols(out, [c for c in out.columns if c.startswith("mean")])
+
+
+def q_region_rollup(spark, sf_dir):
+    j = joined_table(spark, sf_dir)
+    j = j.withColumn("sub_region", lookup.sub_region("countyName"))
+    j = j.withColumn("continent", lookup.continent("sub_region"))
+    a = explore.group_mean(j, "sub_region", "hotel_star_rating").select(
+        F.lit("sub_region").alias("level"), F.col("sub_region").alias("grp"), "mean")
+    b = explore.group_mean(j, "continent", "hotel_star_rating").select(
+        F.lit("continent").alias("level"), F.col("continent").alias("grp"), "mean")
+    return _round_cols(a.unionByName(b), ["mean"])
+
+
+def _country_means(spark, sf_dir):
+    j = joined_table(spark, sf_dir)
+    return explore.group_mean(j, "countyName", "hotel_star_rating").where(F.col("mean").isNotNull())
+
+
+def q_top_countries(spark, sf_dir):
+    return _round_cols(explore.top_k(_country_means(spark, sf_dir), "mean", 10, False, ["countyName"]), ["mean"])
+
+
+def q_bottom_countries(spark, sf_dir):
+    return _round_cols(explore.top_k(_country_means(spark, sf_dir), "mean", 10, True, ["countyName"]), ["mean"])
+
+
+def _city_stats(spark, sf_dir, min_count=None):
+    j = joined_table(spark, sf_dir)
+    out = explore.group_mean_count(j, ["cityName", "countyName"], "hotel_star_rating", min_count)
+    return out.withColumn("city_label", X.group_label("cityName", "countyName"))
+
+
+def q_city_stats(spark, sf_dir):
+    return _round_cols(_city_stats(spark, sf_dir), ["mean"])
+
+
+def q_top_cities(spark, sf_dir):
+    top = explore.top_k(_city_stats(spark, sf_dir, 10), "mean", 10, False, ["cityName", "countyName"])
+    return _round_cols(top, ["mean"])
+
+
+def q_bottom_cities(spark, sf_dir):
+    bottom = explore.top_k(_city_stats(spark, sf_dir, 10), "mean", 10, True, ["cityName", "countyName"])
+    return _round_cols(bottom, ["mean"])
+
+
+def q_map_points(spark, sf_dir):
+    j = joined_table(spark, sf_dir)
+    out = explore.group_means(j, ["cityName", "countyName"], ["hotel_star_rating", "hotel_latitude", "hotel_longitude"])
+    return _round_cols(out, ["hotel_star_rating", "hotel_latitude", "hotel_longitude"])
+
+
+def q_missing_profile(spark, sf_dir):
+    return _round_cols(profile.missing_profile(joined_table(spark, sf_dir), top=12), ["missing_pct"])
+
+
+def q_shape(spark, sf_dir):
+    return profile.shape(joined_table(spark, sf_dir))
+
+
+def q_correlation_matrix(spark, sf_dir):
+    return _round_cols(explore.correlation_matrix(joined_table(spark, sf_dir), NUMERIC), ["corr"])
+
+
+def q_feature_diagnostics(spark, sf_dir):
+    j = joined_table(spark, sf_dir)
+    parts = []
+    for c in ["city_population", "facilities_count", "attractions_count"]:
+        parts.append(profile.feature_diagnostics(j, c).select(F.lit(c).alias("feature"), "*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return _round_cols(out, ["skewness"])
+
+
+def q_box_summary(spark, sf_dir):
+    out = explore.box_summary(joined_table(spark, sf_dir), "hotel_star_rating", "facilities_count")
+    return _round_cols(out, ["q1", "median", "q3", "whisker_low", "whisker_high"])
+
+
+def q_box_summary_lineitem(spark, sf_dir):
+    li = fx.table(spark, sf_dir, "lineitem")
+    out = explore.box_summary(li, "l_returnflag", "l_extendedprice")
+    return _round_cols(out, ["q1", "median", "q3", "whisker_low", "whisker_high"])
+
+
+def q_cohens_d(spark, sf_dir):
+    docs = fx.table(spark, sf_dir, "documents")
+    labels = fx.table(spark, sf_dir, "labels")
+    j = docs.join(labels, "doc_id", "inner").withColumn("description_length", X.text_length("text"))
+    out = stats.cohens_d(j, "description_length", F.col("quality") == 1)
+    out = out.withColumn("effect_size", X.effect_size_label("cohens_d"))
+    return _round_cols(out, ["mean_high", "mean_low", "var_high", "var_low", "cohens_d"])
+
+
+def q_mann_whitney(spark, sf_dir):
+    ev = fx.table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "purchase"))
+    out = stats.mann_whitney(ev, "value", F.col("event_type") == "click")
+    return _round_cols(out.select("n_high", "n_low", "u_statistic", "z"), ["u_statistic", "z"])
+
+
+def q_ols_simple(spark, sf_dir):
+    li = fx.table(spark, sf_dir, "lineitem")
+    out = stats.ols_simple(li, "l_quantity", "l_extendedprice")
+    return _round_cols(out.select("n", "coefficient", "intercept", "r_squared", "t"),
+                       ["coefficient", "intercept", "r_squared", "t"])
+
+
+def q_regplot_band(spark, sf_dir):
+    j = joined_table(spark, sf_dir).where(F.col("hotel_star_rating").isNotNull())
+    return stats.regression_band(j, "facilities_count", "hotel_star_rating", ["HotelCode"], n_boot=100, grid=50)
+
+
+REGISTRY.update({
+    "label_counts": q_label_counts,
+    "label_counts_with_null": q_label_counts_with_null,
+    "mean_by_label": q_mean_by_label,
+    "region_rollup": q_region_rollup,
+    "top_countries": q_top_countries,
+    "bottom_countries": q_bottom_countries,
+    "city_stats": q_city_stats,
+    "top_cities": q_top_cities,
+    "bottom_cities": q_bottom_cities,
+    "map_points": q_map_points,
+    "missing_profile": q_missing_profile,
+    "shape": q_shape,
+    "correlation_matrix": q_correlation_matrix,
+    "feature_diagnostics": q_feature_diagnostics,
+    "box_summary": q_box_summary,
+    "box_summary_lineitem": q_box_summary_lineitem,
+    "cohens_d": q_cohens_d,
+    "mann_whitney": q_mann_whitney,
+    "ols_simple": q_ols_simple,
+    "regplot_band": q_regplot_band,
+})
