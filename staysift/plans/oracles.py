@@ -204,8 +204,91 @@ def _explore() -> dict[str, str]:
     return q
 
 
+def _models() -> dict[str, str]:
+    from staysift.plans.queries import IMPUTE_FIXTURE, LINEAR_FIXTURE, PERM_FIXTURE
+
+    q: dict[str, str] = {}
+    q["exact_sample"] = """SELECT c_custkey, c_mktsegment FROM customer
+        ORDER BY md5(concat_ws('|', CAST(c_custkey AS VARCHAR), '42')) LIMIT 500"""
+    q["stratified_split"] = """WITH c AS (
+          SELECT c_custkey, c_mktsegment, md5(concat_ws('|', CAST(c_custkey AS VARCHAR), '42')) AS h FROM customer),
+        n AS (SELECT c_mktsegment, count(*) AS cnt FROM c GROUP BY 1),
+        q AS (SELECT *, floor(cnt * CAST(0.2 AS DOUBLE)) AS base,
+                ceil(sum(cnt) OVER () * CAST(0.2 AS DOUBLE)) - sum(floor(cnt * CAST(0.2 AS DOUBLE))) OVER () AS need,
+                row_number() OVER (ORDER BY cnt * CAST(0.2 AS DOUBLE) - floor(cnt * CAST(0.2 AS DOUBLE)) DESC,
+                                   c_mktsegment) - 1 AS pos FROM n),
+        qq AS (SELECT c_mktsegment, base + CASE WHEN pos < need THEN 1 ELSE 0 END AS quota FROM q),
+        r AS (SELECT c.*, row_number() OVER (PARTITION BY c_mktsegment ORDER BY h) - 1 AS rk FROM c)
+        SELECT r.c_custkey, r.c_mktsegment, CASE WHEN r.rk < qq.quota THEN 'test' ELSE 'train' END AS split
+        FROM r JOIN qq ON r.c_mktsegment = qq.c_mktsegment"""
+    parts = []
+    for c in ["price", "cust_mod", "constant"]:
+        parts.append(f"""SELECT '{c}' AS feature, {O.rnd('m')} AS median, {O.rnd(f'avg(coalesce({c}, m))')} AS mean,
+            {O.rnd(f'CASE WHEN coalesce(stddev_pop(coalesce({c}, m)), 0) = 0 THEN 1.0 ELSE stddev_pop(coalesce({c}, m)) END')} AS scale
+            FROM f, (SELECT quantile_cont({c}, 0.5) AS m FROM f) GROUP BY m""")
+    q["impute_scale"] = f"WITH f AS ({IMPUTE_FIXTURE})\n" + " UNION ALL ".join(parts)
+    q["capped_one_hot"] = """WITH c AS (SELECT coalesce(p_brand, '__MISSING__') AS lvl, count(*) AS n FROM part GROUP BY 1),
+        kept AS (SELECT lvl FROM c ORDER BY n DESC, lvl LIMIT 7)
+        SELECT p_partkey, 'p_brand_' || CASE WHEN (SELECT count(*) FROM c) <= 8 THEN coalesce(p_brand, '__MISSING__')
+             WHEN coalesce(p_brand, '__MISSING__') IN (SELECT lvl FROM kept) THEN coalesce(p_brand, '__MISSING__')
+             ELSE 'infrequent' END AS slot
+        FROM part"""
+    err = "(y / 1.5 - x1)"
+    q["regression_metrics"] = f"""WITH f AS ({LINEAR_FIXTURE})
+        SELECT {O.rnd(f'sqrt(avg({err} * {err}))')} AS rmse, {O.rnd(f'avg(abs({err}))')} AS mae,
+          {O.rnd(f'1 - sum({err} * {err}) / (var_pop(x1) * count(x1))')} AS r2,
+          {O.rnd(f'avg(CASE WHEN abs({err}) <= 0.5 THEN 1.0 ELSE 0.0 END)')} AS within_0_5,
+          {O.rnd(f'avg(CASE WHEN abs({err}) <= 1.0 THEN 1.0 ELSE 0.0 END)')} AS within_1_0,
+          CAST(count(*) AS BIGINT) AS n FROM f"""
+    q["metrics_by_bucket"] = f"""WITH f AS ({LINEAR_FIXTURE})
+        SELECT l_returnflag AS bucket, {O.rnd(f'sqrt(avg({err} * {err}))')} AS rmse, {O.rnd(f'avg(abs({err}))')} AS mae,
+          {O.rnd(f'avg(CASE WHEN abs({err}) <= 0.5 THEN 1.0 ELSE 0.0 END)')} AS within_0_5,
+          {O.rnd(f'avg(CASE WHEN abs({err}) <= 1.0 THEN 1.0 ELSE 0.0 END)')} AS within_1_0,
+          CAST(count(*) AS BIGINT) AS n FROM f GROUP BY 1"""
+
+    def ridge_sql(alpha: str, digits: int) -> str:
+        return f"""WITH f AS ({LINEAR_FIXTURE}),
+          s AS (SELECT count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my,
+                  var_pop(x1) * count(*) + {alpha} AS a11, var_pop(x2) * count(*) + {alpha} AS a22,
+                  covar_pop(x1, x2) * count(*) AS a12, covar_pop(x1, y) * count(*) AS r1,
+                  covar_pop(x2, y) * count(*) AS r2 FROM f),
+          b AS (SELECT *, (r1 * a22 - a12 * r2) / (a11 * a22 - a12 * a12) AS b1,
+                  (a11 * r2 - a12 * r1) / (a11 * a22 - a12 * a12) AS b2 FROM s)
+          SELECT 'intercept' AS term, {O.rnd('my - b1 * m1 - b2 * m2', digits)} AS estimate FROM b
+          UNION ALL SELECT 'x1', {O.rnd('b1', digits)} FROM b
+          UNION ALL SELECT 'x2', {O.rnd('b2', digits)} FROM b"""
+
+    q["linear_fit"] = ridge_sql("0", 4)
+    q["ridge_fit"] = ridge_sql("10.0", 4)
+    q["permutation_test"] = f"""WITH f AS ({PERM_FIXTURE}),
+      reg AS (SELECT regr_slope(f1, f2) AS b12, regr_intercept(f1, f2) AS a12,
+                     regr_slope(f2, f1) AS b21, regr_intercept(f2, f1) AS a21 FROM f),
+      r AS (SELECT f.o_orderkey, f.y, f.f1 - (reg.a12 + reg.b12 * f.f2) AS r1,
+                   f.f2 - (reg.a21 + reg.b21 * f.f1) AS r2 FROM f, reg),
+      ss AS (SELECT sum(r1 * r1) AS s1, sum(r2 * r2) AS s2 FROM r),
+      w AS (SELECT r.o_orderkey, r.y, r.r1 / ss.s1 AS w1, r.r2 / ss.s2 AS w2 FROM r, ss),
+      obs AS (SELECT sum(w1 * y) AS c1, sum(w2 * y) AS c2 FROM w),
+      base AS (SELECT y, row_number() OVER (ORDER BY md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), '42'))) - 1 AS k FROM w),
+      p AS (SELECT w.o_orderkey, w.w1, w.w2, g.perm FROM w, range(50) g(perm)),
+      pr AS (SELECT perm, w1, w2, row_number() OVER (PARTITION BY perm ORDER BY
+               md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), '42', CAST(perm AS VARCHAR)))) - 1 AS k FROM p),
+      nulls AS (SELECT perm, sum(pr.w1 * base.y) AS n1, sum(pr.w2 * base.y) AS n2 FROM pr JOIN base ON pr.k = base.k
+                GROUP BY perm)
+      SELECT 'f1' AS feature, {O.rnd('obs.c1')} AS observed_coefficient,
+        {O.rnd('(sum(CASE WHEN abs(n1) >= abs(obs.c1) THEN 1 ELSE 0 END) + 1) / CAST(count(*) + 1 AS DOUBLE)')} AS empirical_p_value_two_sided,
+        {O.rnd('avg(n1)')} AS null_mean, {O.rnd('stddev_samp(n1)')} AS null_std, CAST(count(*) AS BIGINT) AS n_permutations
+      FROM nulls, obs GROUP BY obs.c1
+      UNION ALL
+      SELECT 'f2', {O.rnd('obs.c2')},
+        {O.rnd('(sum(CASE WHEN abs(n2) >= abs(obs.c2) THEN 1 ELSE 0 END) + 1) / CAST(count(*) + 1 AS DOUBLE)')},
+        {O.rnd('avg(n2)')}, {O.rnd('stddev_samp(n2)')}, CAST(count(*) AS BIGINT)
+      FROM nulls, obs GROUP BY obs.c2"""
+    return q
+
+
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(_cleaning())
     out.update(_explore())
+    out.update(_models())
     return out

@@ -359,3 +359,226 @@ REGISTRY.update({
     "ols_simple": q_ols_simple,
     "regplot_band": q_regplot_band,
 })
+
+
+# --- sampling, features, models, permutation -------------------------------------
+
+from pyspark.ml.feature import VectorAssembler  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from staysift.operators import features as feat  # noqa: E402
+from staysift.operators import models, permutation, sampling  # noqa: E402
+
+IMPUTE_FIXTURE = """
+SELECT o_orderkey,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS price,
+  CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_custkey % 100 AS DOUBLE) END AS cust_mod,
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 7.0 END AS constant
+FROM orders
+"""
+
+LINEAR_FIXTURE = """
+SELECT l_orderkey, l_linenumber, l_extendedprice / 1000.0 AS y, l_quantity AS x1, l_discount * 100.0 AS x2,
+  l_returnflag
+FROM lineitem
+"""
+
+PERM_FIXTURE = """
+SELECT o_orderkey, o_totalprice / 1000.0 AS y, CAST(o_custkey % 97 AS DOUBLE) AS f1,
+  CAST(o_orderkey % 13 AS DOUBLE) AS f2
+FROM orders
+"""
+
+
+def _sql_fixture(spark, sf_dir, sql, tables):
+    fx.register_tables(spark, sf_dir, tables)
+    return spark.sql(sql)
+
+
+def q_exact_sample(spark, sf_dir):
+    cust = fx.table(spark, sf_dir, "customer")
+    return sampling.exact_sample(cust, 500, ["c_custkey"], seed=42).select("c_custkey", "c_mktsegment")
+
+
+def q_stratified_split(spark, sf_dir):
+    cust = fx.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return sampling.with_split_flag(cust, ["c_custkey"], "c_mktsegment", 0.2, 42, True)
+
+
+def q_impute_scale(spark, sf_dir):
+    df = _sql_fixture(spark, sf_dir, IMPUTE_FIXTURE, ("orders",))
+    cols = ["price", "cust_mod", "constant"]
+    medians, means, scales = feat.fit_numeric(df, cols)
+    rows = [(c, medians[c], means[c], scales[c]) for c in cols]
+    fitted = spark.createDataFrame(rows, "feature string, median double, mean double, scale double")
+    return _round_cols(fitted, ["median", "mean", "scale"])
+
+
+def q_capped_one_hot(spark, sf_dir):
+    part = fx.table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    spec = feat.fit_categorical(part, "p_brand", 8)
+    prep = feat.FeaturePrep([], {}, {}, {}, [spec])
+    out = prep.transform(part)
+    names = F.array(*[F.lit(n) for n in prep.feature_names])
+    pos = F.array_position(vector_to_array("features"), 1.0)
+    return out.select("p_partkey", F.when(pos > 0, F.element_at(names, pos.cast("int"))).alias("slot"))
+
+
+def q_regression_metrics(spark, sf_dir):
+    df = _sql_fixture(spark, sf_dir, LINEAR_FIXTURE, ("lineitem",))
+    scored = df.select(F.col("x1").alias("label"), (F.col("y") / 1.5).alias("prediction"), "l_returnflag")
+    m = models.regression_metrics(scored)
+    return _round_cols(m, ["rmse", "mae", "r2", "within_0_5", "within_1_0"])
+
+
+def q_metrics_by_bucket(spark, sf_dir):
+    df = _sql_fixture(spark, sf_dir, LINEAR_FIXTURE, ("lineitem",))
+    scored = df.select(F.col("x1").alias("label"), (F.col("y") / 1.5).alias("prediction"), "l_returnflag")
+    m = models.metrics_by_bucket(scored, "l_returnflag")
+    return _round_cols(m, ["rmse", "mae", "within_0_5", "within_1_0"])
+
+
+def _linear_data(spark, sf_dir):
+    df = _sql_fixture(spark, sf_dir, LINEAR_FIXTURE, ("lineitem",))
+    return VectorAssembler(inputCols=["x1", "x2"], outputCol="features").transform(df).withColumnRenamed("y", "label")
+
+
+def _coef_frame(spark, model):
+    rows = [("intercept", float(model.intercept))] + [
+        (n, float(v)) for n, v in zip(["x1", "x2"], model.coefficients.toArray())
+    ]
+    return spark.createDataFrame(rows, "term string, estimate double")
+
+
+def q_linear_fit(spark, sf_dir):
+    data = _linear_data(spark, sf_dir)
+    model = LinearRegressionNormal().fit(data)
+    return _coef_frame(spark, model).withColumn("estimate", rnd("estimate", 4))
+
+
+def LinearRegressionNormal():
+    m = models.linear()
+    return m.setSolver("normal")
+
+
+def q_ridge_fit(spark, sf_dir):
+    data = _linear_data(spark, sf_dir)
+    sd, n = models.label_scale(data)
+    model = models.ridge(10.0, sd, n).fit(data)
+    return _coef_frame(spark, model).withColumn("estimate", rnd("estimate", 4))
+
+
+def q_lasso_fit(spark, sf_dir):
+    data = _linear_data(spark, sf_dir)
+    model = models.lasso(0.001).fit(data)
+    return _coef_frame(spark, model).withColumn("estimate", rnd("estimate", 3))
+
+
+def _matrices(spark, sf_dir):
+    j = joined_table(spark, sf_dir).dropna(subset=["hotel_star_rating"])
+    return feat.build_feature_matrices(j, ["HotelCode"], "hotel_star_rating", 0.2, 42, True)
+
+
+def q_feature_matrix(spark, sf_dir):
+    fm = _matrices(spark, sf_dir)
+    width = len(fm.prep.feature_names)
+    t = fm.train.select(F.lit("train").alias("split"), "label", "features")
+    s = fm.test.select(F.lit("test").alias("split"), "label", "features")
+    both = t.unionByName(s)
+    return both.groupBy("split").agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows"),
+        F.lit(width).cast("bigint").alias("width"),
+        F.avg("label").alias("mean_label"),
+    )
+
+
+def _run(spark, sf_dir, name, params=None, tune=False, draws=4):
+    fm = _matrices(spark, sf_dir)
+    train, test = fm.train.cache(), fm.test.cache()
+    return models.train_regressor(train, test, name, params, tune, folds=3, draws=draws, seed=42), fm
+
+
+def _metrics_frame(spark, run):
+    m = run.metrics
+    rows = [(run.model_name, run.tuned, float(m["rmse"]), float(m["mae"]), float(m["r2"]),
+             float(m["within_0_5"]), float(m["within_1_0"]), int(m["n"]), str(run.best_params))]
+    return spark.createDataFrame(
+        rows, "model string, tuned boolean, rmse double, mae double, r2 double, within_0_5 double, "
+        "within_1_0 double, n bigint, best_params string")
+
+
+def q_forest_fit(spark, sf_dir):
+    run, _ = _run(spark, sf_dir, "rf", {"n_estimators": 30, "max_depth": 8})
+    return _metrics_frame(spark, run)
+
+
+def q_boosted_fit(spark, sf_dir):
+    run, _ = _run(spark, sf_dir, "xgb", {"n_estimators": 20, "max_depth": 4, "learning_rate": 0.1})
+    return _metrics_frame(spark, run)
+
+
+def q_tuned_ridge(spark, sf_dir):
+    run, _ = _run(spark, sf_dir, "ridge", tune=True)
+    return _metrics_frame(spark, run)
+
+
+def q_random_search(spark, sf_dir):
+    run, _ = _run(spark, sf_dir, "lasso", tune=True, draws=4)
+    return _metrics_frame(spark, run)
+
+
+def q_model_comparison(spark, sf_dir):
+    fm = _matrices(spark, sf_dir)
+    train, test = fm.train.cache(), fm.test.cache()
+    runs = [
+        models.train_regressor(train, test, "linear"),
+        models.train_regressor(train, test, "ridge", {"alpha": 10.0}),
+        models.train_regressor(train, test, "lasso", {"alpha": 0.001}),
+        models.train_regressor(train, test, "rf", {"n_estimators": 20, "max_depth": 8}),
+    ]
+    return models.compare_runs(spark, runs)
+
+
+def q_feature_importance(spark, sf_dir):
+    run, fm = _run(spark, sf_dir, "rf", {"n_estimators": 20, "max_depth": 8})
+    return models.feature_importance(run.model, fm.prep.feature_names, spark)
+
+
+def q_permutation_test(spark, sf_dir):
+    df = _sql_fixture(spark, sf_dir, PERM_FIXTURE, ("orders",))
+    data = VectorAssembler(inputCols=["f1", "f2"], outputCol="features").transform(df).withColumnRenamed("y", "label")
+    out = permutation.permutation_test(data, ["o_orderkey"], ["f1", "f2"], ["f1", "f2"], n_permutations=50, seed=42)
+    out = out.select("feature", "observed_coefficient", "empirical_p_value_two_sided", "null_mean", "null_std",
+                     "n_permutations")
+    return _round_cols(out, ["observed_coefficient", "empirical_p_value_two_sided", "null_mean", "null_std"])
+
+
+def q_listing_permutation_test(spark, sf_dir):
+    fm = _matrices(spark, sf_dir)
+    out = permutation.permutation_test(
+        fm.train, ["HotelCode"], fm.prep.feature_names, ["city_population", "attractions_count"],
+        n_permutations=40, seed=42,
+    )
+    return out.select("feature", "observed_coefficient", "empirical_p_value_two_sided", "null_mean", "null_std")
+
+
+REGISTRY.update({
+    "exact_sample": q_exact_sample,
+    "stratified_split": q_stratified_split,
+    "impute_scale": q_impute_scale,
+    "capped_one_hot": q_capped_one_hot,
+    "regression_metrics": q_regression_metrics,
+    "metrics_by_bucket": q_metrics_by_bucket,
+    "linear_fit": q_linear_fit,
+    "ridge_fit": q_ridge_fit,
+    "lasso_fit": q_lasso_fit,
+    "feature_matrix": q_feature_matrix,
+    "forest_fit": q_forest_fit,
+    "boosted_fit": q_boosted_fit,
+    "tuned_ridge": q_tuned_ridge,
+    "random_search": q_random_search,
+    "model_comparison": q_model_comparison,
+    "feature_importance": q_feature_importance,
+    "permutation_test": q_permutation_test,
+    "listing_permutation_test": q_listing_permutation_test,
+})
