@@ -191,17 +191,26 @@ def build_feature_matrices(
 ) -> FeatureMatrices:
     """Split (exact sizes, stratified when few classes), fit on train only,
     transform both sides. Output frames: key columns, ``label``, ``features``."""
-    from staysift.operators.sampling import train_test_split
+    from staysift.operators.sampling import with_split_flag
     from staysift.operators.schema import rename_aliases
+    from staysift.session import materialize
 
     df = rename_aliases(df)
     if target not in df.columns:
         raise KeyError(f"Missing target column {target!r}")
-    train, test = train_test_split(df, list(key_cols), target, test_share, seed, stratify)
+    needed = list(dict.fromkeys(
+        [*key_cols, target, *[c for c in numeric if c in df.columns], *[c for c, _ in categorical if c in df.columns]]
+    ))
+    # one pass over the (possibly long) upstream plan; the split's ranking jobs,
+    # the fit aggregations and both transforms read the checkpoint instead
+    source = materialize(df.select(*needed))
+    flagged = materialize(with_split_flag(source, list(key_cols), target, test_share, seed, stratify))
+    train = flagged.where(F.col("split") == "train").drop("split")
+    test = flagged.where(F.col("split") == "test").drop("split")
     prep = fit_feature_prep(train, numeric, categorical)
     keep = [*key_cols, F.col(target).cast("double").alias("label"), "features"]
 
     def _t(x: DataFrame) -> DataFrame:
-        return prep.transform(x).select(*keep)
+        return materialize(prep.transform(x).select(*keep))
 
     return FeatureMatrices(_t(train), _t(test), prep, "label")

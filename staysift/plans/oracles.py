@@ -286,9 +286,46 @@ def _models() -> dict[str, str]:
     return q
 
 
+def _io() -> dict[str, str]:
+    from staysift.operators.schema import MISSING_TOKENS
+
+    toks = ", ".join("'" + t.replace("'", "''") + "'" for t in MISSING_TOKENS)
+    cols = ["countyCode", "countyName", "cityCode", "cityName", "HotelCode", "HotelName", "HotelRating", "Map",
+            "Attractions", "HotelFacilities", "Address"]
+    sel = []
+    for c in cols:
+        v = f"ltrim({c})"
+        sel.append(f"NULLIF({v}, '') AS {c}" if c == "countyCode" else f"CASE WHEN {v} IN ({toks}) THEN NULL ELSE {v} END AS {c}")
+    q: dict[str, str] = {}
+    q["csv_roundtrip"] = _RAW + "SELECT " + ", ".join(sel) + " FROM listings_raw"
+    q["stream_enrich"] = O.with_base(
+        f"SELECT * REPLACE ({O.rnd('hotel_latitude')} AS hotel_latitude, "
+        f"{O.rnd('hotel_longitude')} AS hotel_longitude) FROM joined"
+    )
+    lat2, lon2 = O.lat_lon_loose("Map")
+    q["expanded_features"] = _RAW + f"""SELECT HotelCode, {O.strict_star('HotelRating')} AS hotel_star_rating,
+        {O.raw_tokens('HotelFacilities')} AS facility_count,
+        CAST(length(coalesce(Attractions, '')) AS BIGINT) AS description_length,
+        CAST(Attractions IS NOT NULL AS INTEGER) AS has_attractions,
+        CASE WHEN Attractions IS NOT NULL THEN 'Has Attractions Info' ELSE 'No Attractions Info' END AS attractions_label,
+        {O.rnd(lat2)} AS latitude, {O.rnd(lon2)} AS longitude
+      FROM listings_raw"""
+    fc = O.raw_tokens("HotelFacilities")
+    q["expanded_tests"] = _RAW + f"""SELECT {O.rnd('d')} AS cohens_d,
+        CASE WHEN abs(d) < 0.2 THEN 'negligible' WHEN abs(d) < 0.5 THEN 'small'
+             WHEN abs(d) < 0.8 THEN 'medium' ELSE 'large' END AS effect_size
+      FROM (SELECT (avg(CASE WHEN h THEN v END) - avg(CASE WHEN NOT h THEN v END)) / sqrt(
+              ((count(CASE WHEN h THEN v END) - 1) * var_samp(CASE WHEN h THEN v END)
+               + (count(CASE WHEN NOT h THEN v END) - 1) * var_samp(CASE WHEN NOT h THEN v END))
+              / (count(CASE WHEN h THEN v END) + count(CASE WHEN NOT h THEN v END) - 2)) AS d
+            FROM (SELECT {fc} AS v, Attractions IS NOT NULL AS h FROM listings_raw))"""
+    return q
+
+
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(_cleaning())
     out.update(_explore())
     out.update(_models())
+    out.update(_io())
     return out

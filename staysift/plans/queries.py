@@ -582,3 +582,74 @@ REGISTRY.update({
     "permutation_test": q_permutation_test,
     "listing_permutation_test": q_listing_permutation_test,
 })
+
+
+# --- sources, sinks, streaming, expanded analysis --------------------------------
+
+import os as _os  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from staysift.session import scratch_path  # noqa: E402
+from staysift.sources import readers, sinks  # noqa: E402
+from staysift.streaming.enrich_stream import enrich_stream  # noqa: E402
+
+
+def _fresh_dir(spark, tag: str) -> str:
+    return scratch_path(spark, f"{tag}-{_uuid.uuid4().hex}")
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    """Write the raw listings as CSV, read them back through the messy-CSV reader."""
+    path = _fresh_dir(spark, "csv")
+    sinks.write_table(fx.listings_raw(spark, sf_dir), path, "csv")
+    return readers.read_listings_csv(spark, path, columns="all")
+
+
+def q_stream_enrich(spark, sf_dir):
+    """The cleaning + enrichment join run as a stream over landed files."""
+    base = _fresh_dir(spark, "stream")
+    landing, out, ckpt = (_os.path.join(base, d) for d in ("landing", "out", "ckpt"))
+    raw = fx.listings_raw(spark, sf_dir)
+    sinks.write_table(raw, landing, "parquet")
+    r = _cleaned(spark, sf_dir)
+    q = enrich_stream(spark, landing, raw.schema, r.gazetteer, fx.country_dim(spark, sf_dir), out, ckpt)
+    q.awaitTermination()
+    return q_null_safe_left_join_from(spark.read.parquet(out))
+
+
+def q_null_safe_left_join_from(df):
+    return df.withColumn("hotel_latitude", rnd("hotel_latitude")).withColumn("hotel_longitude", rnd("hotel_longitude"))
+
+
+def q_expanded_features(spark, sf_dir):
+    """Expanded-analysis features on the raw listings: strict stars, raw token
+    count, description length, presence flag, loose coordinates."""
+    raw = fx.listings_raw(spark, sf_dir)
+    lat, lon = X.lat_lon_loose("Map")
+    return raw.select(
+        "HotelCode",
+        X.strict_star_rating("HotelRating").alias("hotel_star_rating"),
+        X.raw_token_count("HotelFacilities").alias("facility_count"),
+        X.text_length("Attractions").alias("description_length"),
+        X.presence_flag("Attractions").alias("has_attractions"),
+        X.flag_label(X.presence_flag("Attractions"), {0: "No Attractions Info", 1: "Has Attractions Info"}).alias(
+            "attractions_label"),
+        rnd(lat).alias("latitude"),
+        rnd(lon).alias("longitude"),
+    )
+
+
+def q_expanded_tests(spark, sf_dir):
+    """Effect size and rank test of facility count, attractions info vs none."""
+    e = q_expanded_features(spark, sf_dir)
+    d = stats.cohens_d(e, "facility_count", F.col("has_attractions") == 1).select(
+        rnd("cohens_d").alias("cohens_d"), X.effect_size_label("cohens_d").alias("effect_size"))
+    return d
+
+
+REGISTRY.update({
+    "csv_roundtrip": q_csv_roundtrip,
+    "stream_enrich": q_stream_enrich,
+    "expanded_features": q_expanded_features,
+    "expanded_tests": q_expanded_tests,
+})

@@ -82,3 +82,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df, eager: bool = True):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used where a plan is reused by several jobs (fitting a feature pipeline,
+    cross-validation); a lost executor then re-reads the checkpoint instead of
+    replaying the whole upstream lineage. Never a local checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
