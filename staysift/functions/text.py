@@ -231,7 +231,8 @@ def keyword_hits(c: ColumnOrName, keywords: tuple[str, ...] = FACILITY_KEYWORDS)
         if " " in kw or "/" in kw:
             hit = F.instr(spaced, kw.replace("/", " ")) > 0
         else:
-            hit = low.rlike(r"(?U)\b" + re.escape(kw) + r"\b")
+            # the substring test is a cheap guard: the regex only runs where it can match
+            hit = (F.instr(low, kw) > 0) & low.rlike(r"(?U)\b" + re.escape(kw) + r"\b")
         hits.append(hit.cast("int"))
     total = hits[0]
     for h in hits[1:]:

@@ -127,8 +127,19 @@ def checked_broadcast(dim: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) ->
     Counting a dimension is cheap; a dimension above ``max_rows`` is returned
     unhinted and joined by shuffle (AQE may still broadcast it at runtime).
     """
-    n = dim.count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return F.broadcast(dim) if row_count(dim) <= max_rows else dim
+
+
+def row_count(df: DataFrame) -> int:
+    """Row count, remembered on the DataFrame object (dimensions are reused)."""
+    n = getattr(df, "_staysift_rows", None)
+    if n is None:
+        n = df.count()
+        try:
+            df._staysift_rows = n
+        except AttributeError:
+            pass
+    return n
 
 
 def _prepared_dim(dim: DataFrame, key_col: str) -> DataFrame:
@@ -160,9 +171,11 @@ def iso2_lookup(
     if on_unknown not in ("null", "passthrough"):
         raise ValueError("on_unknown must be 'null' or 'passthrough'")
     out = df
+    small = row_count(dim) <= DIM_BROADCAST_MAX_ROWS  # prepared dims have at most as many rows
+    hint = F.broadcast if small else (lambda d: d)
     code_hit = F.lit(None).cast("string")
     if code_col is not None:
-        codes = checked_broadcast(_prepared_dim(dim, "iso2")).withColumnRenamed("__iso2", "__from_code")
+        codes = hint(_prepared_dim(dim, "iso2")).withColumnRenamed("__iso2", "__from_code")
         out = out.withColumn("__code_key", tidy_code(code_col))
         out = out.join(codes, out["__code_key"] == codes["__k"], "left").drop("__k")
         code_hit = F.col("__from_code")
@@ -171,7 +184,7 @@ def iso2_lookup(
         out = out.withColumn("__from_code", code_hit)
         code_hit = F.col("__from_code")
     if name_col is not None:
-        names = checked_broadcast(_prepared_dim(dim, "name")).withColumnRenamed("__iso2", "__from_name")
+        names = hint(_prepared_dim(dim, "name")).withColumnRenamed("__iso2", "__from_name")
         name_key = F.when(code_hit.isNull(), tidy_code(name_col))
         out = out.withColumn("__name_key", name_key)
         out = out.join(names, out["__name_key"] == names["__k"], "left").drop("__k")

@@ -20,8 +20,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staysift.operators.ranking import hash_key, hash_number, rows_before
+from staysift.operators.ranking import HASH_BITS, hash_key, hash_number, rows_before
 from staysift.operators.stats import null_summary
+from staysift.session import materialize
 
 # Labels table is broadcast to the permutation rows up to this many rows.
 LABEL_BROADCAST_MAX_ROWS = 2_000_000
@@ -82,7 +83,8 @@ def permutation_test(
     p-value per tested feature (one row per feature)."""
     weighted = coefficient_weights(df, feature_names, tested, features)
     wcols = [f"w_{f}" for f in tested]
-    base = weighted.select(*key_cols, F.col(label).cast("double").alias("__y"), *wcols)
+    # reused by four jobs below: cut the lineage once (shared checkpoint folder)
+    base = materialize(weighted.select(*key_cols, F.col(label).cast("double").alias("__y"), *wcols))
 
     observed = base.select(
         F.explode(F.array(*[
@@ -92,11 +94,11 @@ def permutation_test(
 
     # base order: rank of each row by hash(key, seed) -> labels by position
     h0 = base.withColumn("__h", hash_key(key_cols, seed)).withColumn("__hn", hash_number(F.col("__h")))
-    labels = rows_before(h0, ["__hn", "__h"], (), None, out_col="__k").select("__k", "__y")
+    labels = rows_before(h0, ["__hn", "__h"], (), None, out_col="__k", uniform_bits=HASH_BITS).select("__k", "__y")
 
     perms = base.select(*key_cols, *wcols, F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))).alias("perm"))
     ph = perms.withColumn("__h", hash_key(key_cols, seed, F.col("perm"))).withColumn("__hn", hash_number(F.col("__h")))
-    ranked = rows_before(ph, ["__hn", "__h"], ["perm"], None, out_col="__k")
+    ranked = rows_before(ph, ["__hn", "__h"], ["perm"], None, out_col="__k", uniform_bits=HASH_BITS)
 
     n_rows = base.count()
     lab = F.broadcast(labels) if n_rows <= LABEL_BROADCAST_MAX_ROWS else labels

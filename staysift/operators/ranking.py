@@ -35,7 +35,15 @@ def hash_number(md5_hex: Column) -> Column:
     return F.conv(F.substring(md5_hex, 1, 15), 16, 10).cast("bigint")
 
 
-def _bucketize(df: DataFrame, order_col: str, buckets: int) -> DataFrame:
+HASH_BITS = 60
+HASH_BUCKET_BITS = 12  # 4096 equal-width buckets over a uniform hash
+
+
+def _bucketize(df: DataFrame, order_col: str, buckets: int, uniform_bits: int | None = None) -> DataFrame:
+    if uniform_bits is not None:
+        # a uniform hash needs no quantile pass: its top bits are balanced buckets
+        shift = max(uniform_bits - HASH_BUCKET_BITS, 0)
+        return df.withColumn("__b", F.shiftrightunsigned(F.col(order_col), shift).cast("double"))
     probs = [i / buckets for i in range(1, buckets)]
     row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10_000).alias("q")).first()
     bounds = sorted({float(b) for b in (row.q or []) if b is not None})
@@ -54,13 +62,14 @@ def bucketed_prefix(
     weight: str | None = None,
     buckets: int = DEFAULT_BUCKETS,
     out_col: str = "__before",
+    uniform_bits: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Like ``rows_before`` but keeps the bucket id ``__b`` on the rows and also
     returns the bucket table (group..., ``__b``, ``__off``, ``__bt``) so callers
     can locate a rank's bucket with a small join and then equi-join on
     (group, bucket) instead of on the group alone."""
     w = F.col(weight) if weight else F.lit(1)
-    b = _bucketize(df, order_cols[0], buckets).withColumn("__w", w.cast("bigint"))
+    b = _bucketize(df, order_cols[0], buckets, uniform_bits).withColumn("__w", w.cast("bigint"))
     totals = b.groupBy(*group_cols, "__b").agg(F.sum("__w").alias("__bt"))
     offsets = totals.withColumn(
         "__off",
@@ -82,14 +91,17 @@ def rows_before(
     weight: str | None = None,
     buckets: int = DEFAULT_BUCKETS,
     out_col: str = "__before",
+    uniform_bits: int | None = None,
 ) -> DataFrame:
     """Add ``out_col``: the total ``weight`` (or row count) of rows that come
     strictly before each row within its group, ordering by ``order_cols``.
 
     ``order_cols[0]`` must be numeric; it decides the range bucket. The order must
     be unique within a group (break ties with further ``order_cols``).
+    ``uniform_bits`` marks ``order_cols[0]`` as a uniform non-negative hash of
+    that many bits: buckets are then its top bits (no quantile pass).
     """
-    ranked, _ = bucketed_prefix(df, order_cols, group_cols, weight, buckets, out_col)
+    ranked, _ = bucketed_prefix(df, order_cols, group_cols, weight, buckets, out_col, uniform_bits)
     return ranked.drop("__b")
 
 
@@ -103,7 +115,7 @@ def first_k_flag(
 ) -> DataFrame:
     """Flag rows among the first ``k`` of their group (``k`` may be a column
     carried on each row, e.g. a per-class quota)."""
-    ranked = rows_before(df, order_cols, group_cols, None, buckets, "__rank")
+    ranked = rows_before(df, order_cols, group_cols, None, buckets, "__rank", HASH_BITS)
     return ranked.withColumn(out_col, F.col("__rank") < k).drop("__rank")
 
 
@@ -115,4 +127,4 @@ def ordinal(
     out_col: str = "__ord",
 ) -> DataFrame:
     """Exact 0-based position of each row within its group."""
-    return rows_before(df, order_cols, group_cols, None, buckets, out_col)
+    return rows_before(df, order_cols, group_cols, None, buckets, out_col, HASH_BITS)

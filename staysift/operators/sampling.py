@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from staysift.operators.ranking import hash_key, hash_number, rows_before
+from staysift.operators.ranking import HASH_BITS, hash_key, hash_number, rows_before
 
 # A label with at most this many distinct values is stratified on.
 STRATIFY_MAX_CLASSES = 50
@@ -28,7 +28,7 @@ def exact_sample(df: DataFrame, n: int, key_cols: Sequence[str], seed: int = 42)
     """Exactly ``min(n, rows)`` rows without replacement: the rows with the
     smallest seeded hash of their (unique) key. Distributed: every row learns its
     hash rank from bucket offsets, then a plain filter keeps rank < n."""
-    ranked = rows_before(_hashed(df, key_cols, seed), ["__hn", "__h"], (), None, out_col="__rank")
+    ranked = rows_before(_hashed(df, key_cols, seed), ["__hn", "__h"], (), None, out_col="__rank", uniform_bits=HASH_BITS)
     return ranked.where(F.col("__rank") < n).drop("__h", "__hn", "__rank")
 
 
@@ -60,38 +60,45 @@ def split_quotas(counts: DataFrame, label: str, test_share: float) -> DataFrame:
     )
 
 
-def train_test_split(
+def with_split_flag(
     df: DataFrame,
     key_cols: Sequence[str],
     label: str | None = None,
     test_share: float = 0.2,
     seed: int = 42,
     stratify: bool = True,
-) -> tuple[DataFrame, DataFrame]:
-    """Exact-size split: ``ceil(share * n)`` test rows, stratified on ``label``
-    when it has at most 50 classes. Within a class, the rows with the smallest
-    seeded hash go to test. Disjoint and exhaustive by construction."""
+) -> DataFrame:
+    """Exact-size split as a column ``split`` ('train' / 'test'), one pass.
+
+    ``ceil(share * n)`` test rows, stratified on ``label`` when it has at most 50
+    classes. Within a class, the rows with the smallest seeded hash go to test.
+    Disjoint and exhaustive by construction."""
     use_label = label if (stratify and label is not None and class_count(df, label) <= STRATIFY_MAX_CLASSES) else None
     group = "__cls"
     base = df.withColumn(group, F.col(use_label) if use_label else F.lit(0))
     counts = base.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
     quotas = F.broadcast(split_quotas(counts, group, test_share))  # <= 50 classes
     hashed = _hashed(base, key_cols, seed)
-    ranked = rows_before(hashed, ["__hn", "__h"], [group], None, out_col="__rank")
+    ranked = rows_before(hashed, ["__hn", "__h"], [group], None, out_col="__rank", uniform_bits=HASH_BITS)
     flagged = ranked.join(quotas, ranked[group].eqNullSafe(quotas[group]), "left").select(
         *[ranked[c] for c in ranked.columns], quotas["__quota"]
     )
-    flagged = flagged.withColumn("__is_test", F.col("__rank") < F.col("__quota"))
-    drop = [group, "__h", "__hn", "__rank", "__quota", "__is_test"]
-    test = flagged.where("__is_test").drop(*drop)
-    train = flagged.where(~F.col("__is_test")).drop(*drop)
-    return train, test
+    split = F.when(F.col("__rank") < F.col("__quota"), F.lit("test")).otherwise(F.lit("train"))
+    return flagged.withColumn("split", split).drop(group, "__h", "__hn", "__rank", "__quota")
 
 
-def with_split_flag(
-    df: DataFrame, key_cols: Sequence[str], label: str | None = None, test_share: float = 0.2,
-    seed: int = 42, stratify: bool = True,
-) -> DataFrame:
-    """The split as one column ``split`` in ('train', 'test')."""
-    train, test = train_test_split(df, key_cols, label, test_share, seed, stratify)
-    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+def train_test_split(
+    df: DataFrame,
+    key_cols: Sequence[str],
+    label: str | None = None,
+    test_share: float = 0.2,
+    seed: int = 42,
+    stratify: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test) as two filters of ``with_split_flag`` (materialise the
+    flagged frame first when both sides are used repeatedly)."""
+    flagged = with_split_flag(df, key_cols, label, test_share, seed, stratify)
+    return (
+        flagged.where(F.col("split") == "train").drop("split"),
+        flagged.where(F.col("split") == "test").drop("split"),
+    )

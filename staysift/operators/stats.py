@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from staysift.operators.ranking import hash_key, hash_number, rows_before
 
@@ -72,12 +73,12 @@ def normal_two_sided_p(z: float) -> float:
     return min(1.0, math.erfc(abs(z) / math.sqrt(2.0)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_p_udf(z: pd.Series) -> pd.Series:
     return z.map(lambda v: normal_two_sided_p(v) if pd.notna(v) else np.nan)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_p_udf(t: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series(
         [t_two_sided_p(a, b) if pd.notna(a) and pd.notna(b) else np.nan for a, b in zip(t, dof)]

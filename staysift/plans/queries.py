@@ -7,6 +7,8 @@ formulation lives in ``oracles.py`` under the same key.
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +40,29 @@ def joined_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cleaned(spark, sf_dir).joined
 
 
+def _input_signature(sf_dir: str, tables=("orders", "customer", "nation")) -> str:
+    parts = [os.path.abspath(sf_dir)]
+    for t in tables:
+        p = os.path.join(sf_dir, f"{t}.parquet")
+        parts.append(f"{t}:{os.path.getmtime(p) if os.path.exists(p) else 0}:{os.path.getsize(p) if os.path.exists(p) else 0}")
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+
+
+def written_joined_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined table as the cleaning job writes it: computed once per input
+    set, written as Parquet under the shared checkpoint folder, then read back
+    by every analysis query (as the exploratory notebooks read the written
+    table). Reading cuts the cleaning lineage out of the analysis plans."""
+    from staysift.session import scratch_path
+
+    path = scratch_path(spark, f"joined-{_input_signature(sf_dir)}")
+    try:
+        return spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - not written yet
+        joined_table(spark, sf_dir).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+
 # --- cleaning -----------------------------------------------------------------
 
 
@@ -214,20 +239,20 @@ def _round_cols(df: DataFrame, cols) -> DataFrame:
 
 
 def q_label_counts(spark, sf_dir):
-    return profile.label_counts(joined_table(spark, sf_dir), "hotel_star_rating")
+    return profile.label_counts(written_joined_table(spark, sf_dir), "hotel_star_rating")
 
 
 def q_label_counts_with_null(spark, sf_dir):
-    return profile.label_counts(joined_table(spark, sf_dir), "hotel_star_rating", include_missing=True)
+    return profile.label_counts(written_joined_table(spark, sf_dir), "hotel_star_rating", include_missing=True)
 
 
 def q_mean_by_label(spark, sf_dir):
-    out = explore.means_by_label(joined_table(spark, sf_dir), "hotel_star_rating", MEASURES, ["hotel_longitude"])
+    out = explore.means_by_label(written_joined_table(spark, sf_dir), "hotel_star_rating", MEASURES, ["hotel_longitude"])
     return _round_cols(out, [c for c in out.columns if c.startswith("mean")])
 
 
 def q_region_rollup(spark, sf_dir):
-    j = joined_table(spark, sf_dir)
+    j = written_joined_table(spark, sf_dir)
     j = j.withColumn("sub_region", lookup.sub_region("countyName"))
     j = j.withColumn("continent", lookup.continent("sub_region"))
     a = explore.group_mean(j, "sub_region", "hotel_star_rating").select(
@@ -238,7 +263,7 @@ def q_region_rollup(spark, sf_dir):
 
 
 def _country_means(spark, sf_dir):
-    j = joined_table(spark, sf_dir)
+    j = written_joined_table(spark, sf_dir)
     return explore.group_mean(j, "countyName", "hotel_star_rating").where(F.col("mean").isNotNull())
 
 
@@ -251,7 +276,7 @@ def q_bottom_countries(spark, sf_dir):
 
 
 def _city_stats(spark, sf_dir, min_count=None):
-    j = joined_table(spark, sf_dir)
+    j = written_joined_table(spark, sf_dir)
     out = explore.group_mean_count(j, ["cityName", "countyName"], "hotel_star_rating", min_count)
     return out.withColumn("city_label", X.group_label("cityName", "countyName"))
 
@@ -271,25 +296,25 @@ def q_bottom_cities(spark, sf_dir):
 
 
 def q_map_points(spark, sf_dir):
-    j = joined_table(spark, sf_dir)
+    j = written_joined_table(spark, sf_dir)
     out = explore.group_means(j, ["cityName", "countyName"], ["hotel_star_rating", "hotel_latitude", "hotel_longitude"])
     return _round_cols(out, ["hotel_star_rating", "hotel_latitude", "hotel_longitude"])
 
 
 def q_missing_profile(spark, sf_dir):
-    return _round_cols(profile.missing_profile(joined_table(spark, sf_dir), top=12), ["missing_pct"])
+    return _round_cols(profile.missing_profile(written_joined_table(spark, sf_dir), top=12), ["missing_pct"])
 
 
 def q_shape(spark, sf_dir):
-    return profile.shape(joined_table(spark, sf_dir))
+    return profile.shape(written_joined_table(spark, sf_dir))
 
 
 def q_correlation_matrix(spark, sf_dir):
-    return _round_cols(explore.correlation_matrix(joined_table(spark, sf_dir), NUMERIC), ["corr"])
+    return _round_cols(explore.correlation_matrix(written_joined_table(spark, sf_dir), NUMERIC), ["corr"])
 
 
 def q_feature_diagnostics(spark, sf_dir):
-    j = joined_table(spark, sf_dir)
+    j = written_joined_table(spark, sf_dir)
     parts = []
     for c in ["city_population", "facilities_count", "attractions_count"]:
         parts.append(profile.feature_diagnostics(j, c).select(F.lit(c).alias("feature"), "*"))
@@ -300,7 +325,7 @@ def q_feature_diagnostics(spark, sf_dir):
 
 
 def q_box_summary(spark, sf_dir):
-    out = explore.box_summary(joined_table(spark, sf_dir), "hotel_star_rating", "facilities_count")
+    out = explore.box_summary(written_joined_table(spark, sf_dir), "hotel_star_rating", "facilities_count")
     return _round_cols(out, ["q1", "median", "q3", "whisker_low", "whisker_high"])
 
 
@@ -333,7 +358,7 @@ def q_ols_simple(spark, sf_dir):
 
 
 def q_regplot_band(spark, sf_dir):
-    j = joined_table(spark, sf_dir).where(F.col("hotel_star_rating").isNotNull())
+    j = written_joined_table(spark, sf_dir).where(F.col("hotel_star_rating").isNotNull())
     return stats.regression_band(j, "facilities_count", "hotel_star_rating", ["HotelCode"], n_boot=100, grid=50)
 
 
@@ -475,7 +500,7 @@ def q_lasso_fit(spark, sf_dir):
 
 
 def _matrices(spark, sf_dir):
-    j = joined_table(spark, sf_dir).dropna(subset=["hotel_star_rating"])
+    j = written_joined_table(spark, sf_dir).dropna(subset=["hotel_star_rating"])
     return feat.build_feature_matrices(j, ["HotelCode"], "hotel_star_rating", 0.2, 42, True)
 
 
