@@ -72,10 +72,11 @@ def run_cleaning(
         result.gazetteer, os.path.join(output_dir, "world_cities_clean"), output_format
     )
     if also_join:
-        from staysift.sources.readers import read_table
-
-        listings = read_table(spark, written["hotels_clean"], output_format)
-        gazetteer = read_table(spark, written["world_cities_clean"], output_format)
+        if output_format == "parquet":
+            listings = spark.read.parquet(written["hotels_clean"])
+            gazetteer = spark.read.parquet(written["world_cities_clean"])
+        else:  # text output loses types: join the cleaned frames themselves
+            listings, gazetteer = result.listings, result.gazetteer
         joined = finalize_joined(attach_population(listings, gazetteer))
         written[JOINED_TABLE_STEM] = write_table(
             joined, os.path.join(output_dir, JOINED_TABLE_STEM), output_format

@@ -119,21 +119,28 @@ def read_joined(spark: SparkSession, path: str) -> DataFrame:
 
 
 def find_table_file(spark: SparkSession, root: str, stem: str, suffix: str = ".parquet") -> str:
-    """Locate ``<stem>*<suffix>`` under ``root`` (recursively): the exact name
-    wins, else the first path in sorted order. Listing uses Spark's file index
-    (works on any Hadoop file system); only paths reach the driver."""
+    """Locate the table ``<stem>*<suffix>`` under ``root`` (recursively), as a
+    single file or a Spark-written directory of part files: the exact name wins,
+    else the first match in sorted order. The listing runs through Spark's file
+    index (any Hadoop file system); only the distinct table paths reach the
+    driver."""
+    import re
+
+    pattern = rf"^(.*?/{re.escape(stem)}[^/]*{re.escape(suffix)})(/|$)"
     listing = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"{stem}*{suffix}")
+        .option("pathGlobFilter", f"*{suffix}")
         .option("recursiveFileLookup", True)
         .load(root)
-        .select("path")
+        .select(F.regexp_extract("path", pattern, 1).alias("table"))
+        .where(F.col("table") != "")
+        .distinct()
     )
-    paths = sorted(r.path for r in listing.collect())
-    if not paths:
+    tables = sorted(r.table for r in listing.collect())
+    if not tables:
         raise FileNotFoundError(f"no {stem}*{suffix} under {root}")
-    exact = [p for p in paths if os.path.basename(p) == f"{stem}{suffix}"]
-    return exact[0] if exact else paths[0]
+    exact = [t for t in tables if t.rstrip("/").rsplit("/", 1)[-1] == f"{stem}{suffix}"]
+    return exact[0] if exact else tables[0]
 
 
 def read_datasets(
