@@ -82,3 +82,150 @@ def run_cleaning(
             joined, os.path.join(output_dir, JOINED_TABLE_STEM), output_format
         )
     return written
+
+
+# --- analysis jobs ---------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from staysift.functions import text as X  # noqa: E402
+from staysift.functions.geo import lat_lon_loose  # noqa: E402
+from staysift.operators import explore, lookup, profile, stats  # noqa: E402
+
+RATING = "hotel_star_rating"
+EDA_MEASURES = ("city_population", "attractions_count", "facilities_count", "facilities_keyword_hits", "hotel_latitude")
+EDA_NUMERIC = (
+    "hotel_star_rating", "city_population", "attractions_count", "facilities_count",
+    "facilities_keyword_hits", "hotel_latitude", "hotel_longitude",
+)
+
+
+def profile_report(df: DataFrame, label: str = RATING, top_missing: int = 12, preview_rows: int = 5) -> dict[str, DataFrame]:
+    """Data-quality profile: shape, missingness (top N), label counts incl.
+    missing, and a preview."""
+    return {
+        "shape": profile.shape(df),
+        "missing": profile.missing_profile(df, top=top_missing),
+        "label_counts": profile.label_counts(df, label, include_missing=True),
+        "preview": profile.preview(df, preview_rows),
+    }
+
+
+def eda_results(df: DataFrame, min_city_support: int = 10, k: int = 10) -> dict[str, DataFrame]:
+    """The exploratory result tables (one lazy DataFrame each)."""
+    regional = df.withColumn("sub_region", lookup.sub_region("countyName")).withColumn(
+        "continent", lookup.continent("sub_region")
+    )
+    countries = explore.group_mean(df, "countyName", RATING).where("mean IS NOT NULL")
+    cities = explore.group_mean_count(df, ["cityName", "countyName"], RATING).withColumn(
+        "city_label", X.group_label("cityName", "countyName")
+    )
+    reliable = cities.where(f"count >= {min_city_support}")
+    return {
+        "label_counts": profile.label_counts(df, RATING),
+        "means_by_rating": explore.means_by_label(df, RATING, EDA_MEASURES, ["hotel_longitude"]),
+        "sub_region_means": explore.group_mean(regional, "sub_region", RATING),
+        "continent_means": explore.group_mean(regional, "continent", RATING),
+        "top_countries": explore.top_k(countries, "mean", k, False, ["countyName"]),
+        "bottom_countries": explore.top_k(countries, "mean", k, True, ["countyName"]),
+        "city_stats": cities,
+        "top_cities": explore.top_k(reliable, "mean", k, False, ["cityName", "countyName"]),
+        "bottom_cities": explore.top_k(reliable, "mean", k, True, ["cityName", "countyName"]),
+        "map_points": explore.group_means(df, ["cityName", "countyName"], [RATING, "hotel_latitude", "hotel_longitude"]),
+        "correlation": explore.correlation_matrix(df, EDA_NUMERIC),
+    }
+
+
+def expand_features(raw: DataFrame) -> DataFrame:
+    """Expanded-analysis columns on the raw listing table: strict star label,
+    raw facility token count, description length, attractions flag, loose
+    coordinates."""
+    lat, lon = lat_lon_loose("Map")
+    return raw.withColumns(
+        {
+            RATING: X.strict_star_rating("HotelRating"),
+            "facility_count": X.raw_token_count("HotelFacilities"),
+            "description_length": X.text_length("Description"),
+            "has_attractions": X.presence_flag("Attractions"),
+            "attractions_label": X.flag_label(
+                X.presence_flag("Attractions"), {0: "No Attractions Info", 1: "Has Attractions Info"}
+            ),
+            "latitude": lat,
+            "longitude": lon,
+        }
+    )
+
+
+def expanded_tests(df: DataFrame, feature: str = "facility_count", high_rating: int = 4) -> dict[str, DataFrame]:
+    """Effect size, rank test, simple regression and diagnostics of a feature,
+    high-rated (>= ``high_rating``) against the other rated listings, with the
+    interpretation labels."""
+    is_high = F.col(RATING) >= high_rating
+    rated = df.where(F.col(RATING).isNotNull())
+    d = stats.cohens_d(rated, feature, is_high)
+    return {
+        "effect_size": d.withColumn("interpretation", X.effect_size_label("cohens_d")),
+        "mann_whitney": stats.mann_whitney(rated, feature, is_high).withColumn(
+            "interpretation", X.p_value_label("p_value")
+        ),
+        "regression": stats.ols_simple(df, feature, RATING).withColumn("interpretation", X.p_value_label("p_value")),
+        "diagnostics": profile.feature_diagnostics(df, feature),
+        "box_by_rating": explore.box_summary(df, RATING, feature),
+        "box_by_attractions": explore.box_summary(df, "attractions_label", RATING),
+        "regression_band": stats.regression_band(df.where(F.col(RATING).isNotNull()), feature, RATING, ["HotelCode"]),
+    }
+
+
+def train_job(
+    joined: DataFrame,
+    out_dir: str,
+    model: str = "rf",
+    params: dict | None = None,
+    sample: int | None = None,
+    test_share: float = 0.2,
+    seed: int = 42,
+    tune: bool = False,
+    folds: int = 3,
+    draws: int = 12,
+) -> dict:
+    """Train one model on the joined table and write model + metrics."""
+    from staysift.operators import features, models, sampling
+    from staysift.sources.sinks import save_model_run
+
+    df = joined.dropna(subset=[RATING])
+    if sample is not None:
+        df = sampling.exact_sample(df, sample, ["HotelCode"], seed)
+    fm = features.build_feature_matrices(df, ["HotelCode"], RATING, test_share, seed, True)
+    run = models.train_regressor(fm.train, fm.test, model, params, tune, folds, draws, seed)
+    extra = {
+        "rows": fm.train.count() + fm.test.count(),
+        "X_train_shape": [fm.train.count(), len(fm.prep.feature_names)],
+        "X_test_shape": [fm.test.count(), len(fm.prep.feature_names)],
+    }
+    paths = save_model_run(joined.sparkSession, run, out_dir, extra)
+    return {"paths": paths, "metrics": run.metrics, "best_params": run.best_params, **extra}
+
+
+def permutation_report(
+    joined: DataFrame,
+    out_path: str,
+    features_tested: tuple[str, ...] = ("city_population", "attractions_count"),
+    n_permutations: int = 400,
+    sample: int | None = None,
+    test_share: float = 0.2,
+    seed: int = 42,
+) -> DataFrame:
+    """Permutation test of linear-regression coefficients on the training
+    split; writes the report (one row per feature) as JSON and returns it."""
+    from staysift.operators import features, permutation, sampling
+    from staysift.sources.sinks import write_report
+
+    df = joined.dropna(subset=[RATING])
+    if sample is not None:
+        df = sampling.exact_sample(df, sample, ["HotelCode"], seed)
+    fm = features.build_feature_matrices(df, ["HotelCode"], RATING, test_share, seed, True)
+    report = permutation.permutation_test(
+        fm.train, ["HotelCode"], fm.prep.feature_names, list(features_tested), n_permutations, seed
+    )
+    write_report(report, out_path)
+    return report

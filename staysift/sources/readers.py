@@ -182,3 +182,14 @@ def read_run_metrics(spark: SparkSession, pattern: str) -> DataFrame:
 def read_expanded_source(spark: SparkSession, path: str) -> DataFrame:
     """All listing columns, ISO-8859-1, stripped headers (expanded analysis)."""
     return strip_headers(read_text_csv(spark, path, FALLBACK_ENCODING))
+
+
+def union_sources(frames: list[DataFrame]) -> DataFrame:
+    """Concatenate several loads by column name; a column missing from one
+    source is NULL there. An empty list is an error (nothing to infer from)."""
+    if not frames:
+        raise ValueError("no sources to union")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out

@@ -68,3 +68,45 @@ def test_entry_smoke(spark):
 
     df = E.entry(spark)
     assert df.count() >= 0 and "hotel_star_rating" in df.columns
+
+
+def test_analysis_jobs(spark, sf_dir):
+    from staysift.plans import jobs
+    from staysift.plans.queries import written_joined_table
+    from staysift.plans import fixtures as fx
+
+    joined = written_joined_table(spark, sf_dir)
+    prof = jobs.profile_report(joined)
+    assert prof["shape"].first().columns == 13
+    eda = jobs.eda_results(joined)
+    assert eda["top_countries"].count() == 10
+    assert eda["correlation"].count() == 49
+    raw = fx.listings_raw(spark, sf_dir).withColumn("Description", F.col("Attractions"))
+    exp = jobs.expand_features(raw)
+    tests = jobs.expanded_tests(exp)
+    assert tests["effect_size"].first().interpretation in {"negligible", "small", "medium", "large"}
+    assert tests["mann_whitney"].first().p_value <= 1.0
+    assert tests["box_by_attractions"].count() >= 1
+
+
+def test_train_and_permutation_jobs(spark, sf_dir):
+    from staysift.plans import jobs
+    from staysift.plans.queries import written_joined_table
+
+    joined = written_joined_table(spark, sf_dir)
+    work = tempfile.mkdtemp(prefix="staysift-test-")
+    res = jobs.train_job(joined, os.path.join(work, "run"), "linear", sample=3000)
+    assert res["rows"] == 3000 and res["metrics"]["rmse"] > 0
+    back = readers.read_run_metrics(spark, os.path.join(work, "run", "metrics", "*"))
+    assert back.first().model == "linear"
+    rep = jobs.permutation_report(joined, os.path.join(work, "perm"), n_permutations=20, sample=2000)
+    rows = {r.feature: r for r in rep.collect()}
+    assert set(rows) == {"city_population", "attractions_count"}
+    assert all(1 / 21 <= r.empirical_p_value_two_sided <= 1 for r in rows.values())
+
+
+def test_union_sources(spark):
+    a = spark.createDataFrame([(1, "x")], "id int, a string")
+    b = spark.createDataFrame([(2, 3.0)], "id int, b double")
+    out = readers.union_sources([a, b]).orderBy("id").collect()
+    assert [(r.id, r.a, r.b) for r in out] == [(1, "x", None), (2, None, 3.0)]
