@@ -98,9 +98,14 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every character Python's ``str.strip()`` removes (``str.isspace``), built by rule.
+PY_WHITESPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+
+
 def strip_ws(c: ColumnOrName) -> Column:
-    """Strip leading/trailing Unicode whitespace (Python ``str.strip``)."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    """Strip leading/trailing whitespace exactly as Python ``str.strip`` does
+    (character-set trim, no regex)."""
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE))
 
 
 def squish_ws(c: ColumnOrName) -> Column:
