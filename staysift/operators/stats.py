@@ -240,7 +240,7 @@ def regression_band(
         F.percentile(boot, [alpha, 1 - alpha]).alias("q"),
     )
     return band.select(
-        "g", "x", "fit", F.col("q")[0].alias("band_low"), F.col("q")[1].alias("band_high")
+        F.col("g").cast("bigint").alias("g"), "x", "fit", F.col("q")[0].alias("band_low"), F.col("q")[1].alias("band_high")
     )
 
 

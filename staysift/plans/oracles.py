@@ -319,9 +319,42 @@ def _io() -> dict[str, str]:
                + (count(CASE WHEN NOT h THEN v END) - 1) * var_samp(CASE WHEN NOT h THEN v END))
               / (count(CASE WHEN h THEN v END) + count(CASE WHEN NOT h THEN v END) - 2)) AS d
             FROM (SELECT {fc} AS v, Attractions IS NOT NULL AS h FROM listings_raw))"""
+    q["regplot_band"] = _regplot_band_sql()
     return q
 
 
+def _regplot_band_sql(n_boot: int = 100, grid: int = 50, seed: int = 42, level: float = 0.95) -> str:
+    """Poisson bootstrap band with the same hash-derived weights as Spark."""
+    import math
+
+    cdf, term, whens = 0.0, math.exp(-1.0), []
+    for k in range(13):
+        cdf += term
+        term /= k + 1
+        whens.append(f"WHEN u < CAST('{cdf!r}' AS DOUBLE) THEN {k}")
+    poisson = "CASE " + " ".join(whens) + " ELSE 13 END"
+    alpha = (1 - level) / 2
+    h = f"md5(concat_ws('|', HotelCode, '{seed}', CAST(rep AS VARCHAR)))"
+    return O.with_base(f"""
+    , base AS (SELECT HotelCode, CAST(facilities_count AS DOUBLE) AS x, CAST(hotel_star_rating AS DOUBLE) AS y
+               FROM joined WHERE hotel_star_rating IS NOT NULL AND facilities_count IS NOT NULL),
+      reps AS (SELECT b.*, r.rep,
+                 ('0x' || substr({h}, 1, 15))::BIGINT / CAST(1152921504606846976 AS DOUBLE) AS u
+               FROM base b, range(-1, {n_boot}) r(rep)),
+      w AS (SELECT rep, x, y, CASE WHEN rep < 0 THEN 1.0 ELSE CAST({poisson} AS DOUBLE) END AS w FROM reps),
+      sums AS (SELECT rep, sum(w) AS sw, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * x) AS sxx,
+                 sum(w * x * y) AS sxy, min(x) AS lo, max(x) AS hi FROM w GROUP BY rep),
+      fits AS (SELECT rep, lo, hi, (sw * sxy - sx * sy) / (sw * sxx - sx * sx) AS b1,
+                 (sy - (sw * sxy - sx * sy) / (sw * sxx - sx * sx) * sx) / sw AS b0 FROM sums),
+      preds AS (SELECT rep, g.g, lo + (hi - lo) / CAST({float(max(grid - 1, 1))!r} AS DOUBLE) * g.g AS x,
+                  b0 + b1 * (lo + (hi - lo) / CAST({float(max(grid - 1, 1))!r} AS DOUBLE) * g.g) AS pred
+                FROM fits, range(0, {grid}) g(g))
+    SELECT g, {O.rnd('max(x)')} AS x, {O.rnd('max(CASE WHEN rep < 0 THEN pred END)')} AS fit,
+      {O.rnd(f'quantile_cont(CASE WHEN rep >= 0 THEN pred END, {alpha!r})')} AS band_low,
+      {O.rnd(f'quantile_cont(CASE WHEN rep >= 0 THEN pred END, {1 - alpha!r})')} AS band_high
+    FROM preds GROUP BY g""".replace("\n    , base AS", ", base AS", 1))
+
+
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(_cleaning())

@@ -359,7 +359,8 @@ def q_ols_simple(spark, sf_dir):
 
 def q_regplot_band(spark, sf_dir):
     j = written_joined_table(spark, sf_dir).where(F.col("hotel_star_rating").isNotNull())
-    return stats.regression_band(j, "facilities_count", "hotel_star_rating", ["HotelCode"], n_boot=100, grid=50)
+    out = stats.regression_band(j, "facilities_count", "hotel_star_rating", ["HotelCode"], n_boot=100, grid=50)
+    return _round_cols(out, ["x", "fit", "band_low", "band_high"])
 
 
 REGISTRY.update({
