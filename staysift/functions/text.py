@@ -230,9 +230,18 @@ def keyword_hits(c: ColumnOrName, keywords: tuple[str, ...] = FACILITY_KEYWORDS)
     Overlaps count (``free wifi`` hits both ``free wifi`` and ``wifi``).
     """
     low = plain_text(c)
-    spaced = F.regexp_replace(low, "/", " ")
+    spaced = F.translate(low, "/", " ")
+    # \bword\b holds exactly when the word is one of the maximal word-character
+    # runs, so one split serves every plain single-word keyword
+    words = F.split(low, r"(?U)\W+")
+    single = [kw for kw in dict.fromkeys(keywords) if re.fullmatch(r"\w+", kw)]
     hits = []
+    if single:
+        # distinct single-word keywords present: one hash-set intersection
+        hits.append(F.size(F.array_intersect(words, F.array(*[F.lit(k) for k in single]))))
     for kw in keywords:
+        if kw in single:
+            continue
         if " " in kw or "/" in kw:
             hit = F.instr(spaced, kw.replace("/", " ")) > 0
         else:
@@ -280,11 +289,13 @@ def attractions_count(c: ColumnOrName) -> Column:
     comma_items = F.size(F.filter(F.split(s, ","), lambda t: strip_ws(t) != ""))
     comma_rule = F.when(F.instr(s, ",") > 0, comma_items).otherwise(F.lit(0))
 
-    value = (
-        F.when(~has_br & (metre > 0), metre)
-        .when(is_html & (line_hits > 0), line_hits)
-        .when(is_html & (span_hits > 0), span_hits)
-        .otherwise(comma_rule)
+    # each rule is evaluated at most once and only when the earlier ones gave
+    # nothing: nullif(x, 0) turns "no hit" into NULL for coalesce to skip
+    zero = F.lit(0)
+    value = F.coalesce(
+        F.when(~has_br, F.nullif(metre, zero)),
+        F.when(is_html, F.coalesce(F.nullif(line_hits, zero), F.nullif(span_hits, zero))),
+        comma_rule,
     )
     return F.when(is_missing_text(raw), F.lit(0)).otherwise(value).cast("bigint")
 

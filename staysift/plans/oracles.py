@@ -320,6 +320,25 @@ def _io() -> dict[str, str]:
               / (count(CASE WHEN h THEN v END) + count(CASE WHEN NOT h THEN v END) - 2)) AS d
             FROM (SELECT {fc} AS v, Attractions IS NOT NULL AS h FROM listings_raw))"""
     q["regplot_band"] = _regplot_band_sql()
+    share = "CAST(0.2 AS DOUBLE)"
+    widths = " + ".join(
+        f"(SELECT least(count(DISTINCT coalesce(CAST({c} AS VARCHAR), '__MISSING__')), {cap}) FROM tr)"
+        for c, cap in (("countyCode", 250), ("cityCode", 120), ("cityName", 80))
+    )
+    q["feature_matrix"] = O.with_base(f"""
+    , c AS (SELECT *, md5(concat_ws('|', HotelCode, '42')) AS h FROM joined WHERE hotel_star_rating IS NOT NULL),
+      n AS (SELECT hotel_star_rating AS cls, count(*) AS cnt FROM c GROUP BY 1),
+      q AS (SELECT *, floor(cnt * {share}) AS base,
+              ceil(sum(cnt) OVER () * {share}) - sum(floor(cnt * {share})) OVER () AS need,
+              row_number() OVER (ORDER BY cnt * {share} - floor(cnt * {share}) DESC, cls) - 1 AS pos FROM n),
+      qq AS (SELECT cls, base + CASE WHEN pos < need THEN 1 ELSE 0 END AS quota FROM q),
+      r AS (SELECT c.*, row_number() OVER (PARTITION BY hotel_star_rating ORDER BY h) - 1 AS rk FROM c),
+      s AS (SELECT r.*, CASE WHEN r.rk < qq.quota THEN 'test' ELSE 'train' END AS split
+            FROM r JOIN qq ON r.hotel_star_rating = qq.cls),
+      tr AS (SELECT * FROM s WHERE split = 'train')
+    SELECT split, CAST(count(*) AS BIGINT) AS rows, CAST(6 + {widths} AS BIGINT) AS width,
+      {O.rnd('avg(CAST(hotel_star_rating AS DOUBLE))')} AS mean_label
+    FROM s GROUP BY split""")
     return q
 
 

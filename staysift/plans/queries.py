@@ -514,7 +514,7 @@ def q_feature_matrix(spark, sf_dir):
     return both.groupBy("split").agg(
         F.count(F.lit(1)).cast("bigint").alias("rows"),
         F.lit(width).cast("bigint").alias("width"),
-        F.avg("label").alias("mean_label"),
+        rnd(F.avg("label")).alias("mean_label"),
     )
 
 
