@@ -17,19 +17,28 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 HEADLINE = [
+    # cleaning and enrichment (full pipeline from the raw tables)
     "null_safe_left_join",
     "keyword_hits",
     "poi_count",
     "dedupe_keep_max",
+    "csv_roundtrip",
+    "stream_enrich",
+    # profile / explore (read the written joined table)
     "mean_by_label",
+    "city_stats",
     "correlation_matrix",
     "missing_profile",
     "box_summary_lineitem",
+    # statistics
     "mann_whitney",
     "ols_simple",
+    "regplot_band",
+    # sampling, features, models
     "exact_sample",
     "stratified_split",
     "metrics_by_bucket",
+    "feature_matrix",
     "permutation_test",
 ]
 

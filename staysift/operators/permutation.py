@@ -93,12 +93,14 @@ def permutation_test(
     ).groupBy("r.feature").agg(F.sum("r.c").alias("coef"))
 
     # base order: rank of each row by hash(key, seed) -> labels by position
-    h0 = base.withColumn("__h", hash_key(key_cols, seed)).withColumn("__hn", hash_number(F.col("__h")))
-    labels = rows_before(h0, ["__hn", "__h"], (), None, out_col="__k", uniform_bits=HASH_BITS).select("__k", "__y")
+    # only the 60-bit number travels through the shuffles; the row key breaks
+    # (astronomically rare) ties
+    h0 = base.withColumn("__hn", hash_number(hash_key(key_cols, seed)))
+    labels = rows_before(h0, ["__hn", *key_cols], (), None, out_col="__k", uniform_bits=HASH_BITS).select("__k", "__y")
 
     perms = base.select(*key_cols, *wcols, F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))).alias("perm"))
-    ph = perms.withColumn("__h", hash_key(key_cols, seed, F.col("perm"))).withColumn("__hn", hash_number(F.col("__h")))
-    ranked = rows_before(ph, ["__hn", "__h"], ["perm"], None, out_col="__k", uniform_bits=HASH_BITS)
+    ph = perms.withColumn("__hn", hash_number(hash_key(key_cols, seed, F.col("perm"))))
+    ranked = rows_before(ph, ["__hn", *key_cols], ["perm"], None, out_col="__k", uniform_bits=HASH_BITS)
 
     n_rows = base.count()
     lab = F.broadcast(labels) if n_rows <= LABEL_BROADCAST_MAX_ROWS else labels

@@ -174,6 +174,9 @@ def ols_simple(df: DataFrame, x: str, y: str) -> DataFrame:
 # --- bootstrap band -------------------------------------------------------------
 
 
+BOOT_PRIME = 2_147_483_647  # 2^31 - 1
+
+
 def _poisson1_from_uniform(u: Column, kmax: int = 12) -> Column:
     """Inverse CDF of Poisson(1) on a uniform in [0, 1) (thresholds by rule)."""
     cdf = 0.0
@@ -199,18 +202,24 @@ def regression_band(
 ) -> DataFrame:
     """Regression line with a bootstrap confidence band, as a table.
 
-    Poisson bootstrap: every row gets an independent Poisson(1) weight per
-    replicate, derived from a hash of (row id, seed, replicate), so no resample
-    is materialised. Each task explodes its rows over the replicates and folds
+    Poisson bootstrap: every row gets a Poisson(1) weight per replicate from a
+    seeded hash of its id (pairwise independent across replicates), so no
+    resample is materialised. Each task explodes its rows over the replicates and folds
     them straight into a partial aggregate (five weighted sums per replicate), so
     only ``n_boot`` small rows per task cross the shuffle. Output: one row per
     grid x with the fit and the band.
     """
     xs, ys = F.col(x).cast("double"), F.col(y).cast("double")
     base = df.where(xs.isNotNull() & ys.isNotNull()).select(*id_cols, xs.alias("__x"), ys.alias("__y"))
+    # one md5 per row gives (a, b); replicate r draws u = ((a + b*r) mod p) / p,
+    # a pairwise-independent family, so the exploded rows need no hashing
+    h = hash_key(id_cols, seed)
+    keyed = base.withColumn("__a", F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % F.lit(BOOT_PRIME)).withColumn(
+        "__bb", F.conv(F.substring(h, 9, 8), 16, 10).cast("bigint") % F.lit(BOOT_PRIME - 1) + 1
+    )
     # replicate -1 carries weight 1 everywhere: the fit on the full data
-    reps = base.select("*", F.explode(F.sequence(F.lit(-1), F.lit(n_boot - 1))).alias("rep"))
-    u = hash_number(hash_key(id_cols, seed, F.col("rep"))) / F.lit(float(2**60))
+    reps = keyed.select("*", F.explode(F.sequence(F.lit(-1), F.lit(n_boot - 1))).alias("rep"))
+    u = ((F.col("__a") + F.col("__bb") * F.col("rep")) % F.lit(BOOT_PRIME)) / F.lit(float(BOOT_PRIME))
     w = F.when(F.col("rep") < 0, F.lit(1.0)).otherwise(_poisson1_from_uniform(u).cast("double"))
     sums = reps.withColumn("__w", w).groupBy("rep").agg(
         F.sum("__w").alias("sw"),

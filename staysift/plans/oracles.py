@@ -353,13 +353,14 @@ def _regplot_band_sql(n_boot: int = 100, grid: int = 50, seed: int = 42, level:
         whens.append(f"WHEN u < CAST('{cdf!r}' AS DOUBLE) THEN {k}")
     poisson = "CASE " + " ".join(whens) + " ELSE 13 END"
     alpha = (1 - level) / 2
-    h = f"md5(concat_ws('|', HotelCode, '{seed}', CAST(rep AS VARCHAR)))"
+    h = f"md5(concat_ws('|', HotelCode, '{seed}'))"
     return O.with_base(f"""
     , base AS (SELECT HotelCode, CAST(facilities_count AS DOUBLE) AS x, CAST(hotel_star_rating AS DOUBLE) AS y
                FROM joined WHERE hotel_star_rating IS NOT NULL AND facilities_count IS NOT NULL),
-      reps AS (SELECT b.*, r.rep,
-                 ('0x' || substr({h}, 1, 15))::BIGINT / CAST(1152921504606846976 AS DOUBLE) AS u
-               FROM base b, range(-1, {n_boot}) r(rep)),
+      keyed AS (SELECT *, ('0x' || substr({h}, 1, 8))::BIGINT % 2147483647 AS a,
+                 ('0x' || substr({h}, 9, 8))::BIGINT % 2147483646 + 1 AS bb FROM base),
+      reps AS (SELECT k.*, r.rep, ((a + bb * r.rep) % 2147483647) / CAST(2147483647 AS DOUBLE) AS u
+               FROM keyed k, range(-1, {n_boot}) r(rep)),
       w AS (SELECT rep, x, y, CASE WHEN rep < 0 THEN 1.0 ELSE CAST({poisson} AS DOUBLE) END AS w FROM reps),
       sums AS (SELECT rep, sum(w) AS sw, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * x) AS sxx,
                  sum(w * x * y) AS sxy, min(x) AS lo, max(x) AS hi FROM w GROUP BY rep),
