@@ -52,20 +52,51 @@ def has_decode_errors(df: DataFrame) -> bool:
     return df.where(F.instr(row_text, REPLACEMENT_CHAR) > 0).limit(1).count() > 0
 
 
+def _utf8_or_latin1(name: str) -> str:
+    try:
+        return name.encode("latin-1").decode("utf-8")
+    except (UnicodeEncodeError, UnicodeDecodeError):
+        return name
+
+
+def redecode_utf8(df: DataFrame) -> DataFrame:
+    """Per value: the UTF-8 reading of its bytes when they are valid UTF-8, else
+    the ISO-8859-1 text as read. Applied to a frame read as ISO-8859-1 (a
+    lossless byte-to-char mapping); headers are re-decoded the same way."""
+    cols = []
+    for name in df.columns:
+        c = F.col(f"`{name}`")
+        as_utf8 = F.try_validate_utf8(F.encode(c, FALLBACK_ENCODING).cast("string"))
+        cols.append(F.coalesce(as_utf8, c).alias(_utf8_or_latin1(name)))
+    return df.select(*cols)
+
+
 def read_text_csv(
     spark: SparkSession,
     path: str,
     encoding: str | None = None,
     multi_line: bool = False,
+    fallback: str = "value",
 ) -> DataFrame:
-    """CSV with every column as text; with ``encoding=None`` try UTF-8 and fall
-    back to ISO-8859-1 when bytes did not decode.
+    """CSV with every column as text.
+
+    With ``encoding=None`` the file is UTF-8 where it decodes and ISO-8859-1
+    where it does not:
+
+    * ``fallback="value"`` (default, one pass): read as ISO-8859-1, which maps
+      bytes 1:1 and parses identically (delimiters and quotes are ASCII, never
+      part of a UTF-8 multi-byte sequence), then re-decode each value as UTF-8
+      where its bytes are valid UTF-8;
+    * ``fallback="file"``: read as UTF-8 and, if any value failed to decode,
+      re-read the whole input as ISO-8859-1 (two passes over a clean input).
 
     ``multi_line=True`` is needed only for quoted fields with line breaks; it
     makes each file a single split, so keep it off for large inputs.
     """
     if encoding is not None:
         return _csv(spark, path, encoding, multi_line)
+    if fallback == "value":
+        return redecode_utf8(_csv(spark, path, FALLBACK_ENCODING, multi_line))
     df = _csv(spark, path, "UTF-8", multi_line)
     if has_decode_errors(df):
         df = _csv(spark, path, FALLBACK_ENCODING, multi_line)

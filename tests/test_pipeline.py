@@ -37,6 +37,10 @@ def test_encoding_fallback_and_bom(spark):
         f.write("countyCode,cityName,HotelRating,Map\nDE,Köln,FourStar,1|2\n".encode("latin-1"))
     df = readers.read_listings_csv(spark, p)
     assert df.first().cityName == "Köln"
+    assert readers.read_text_csv(spark, p, fallback="file").first().cityName == "Köln"
+    p3 = os.path.join(work, "utf8.csv")
+    _write(p3, "countyCode,cityName,HotelRating,Map\nDE,Tōkyō,FourStar,1|2\n")
+    assert readers.read_listings_csv(spark, p3).first().cityName == "Tōkyō"
     p2 = os.path.join(work, "bom.csv")
     with open(p2, "wb") as f:
         f.write("﻿countyCode,cityName,HotelRating,Map\nNA,Windhoek,OneStar,1|2\n".encode("utf-8"))
