@@ -23,6 +23,8 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of DataFrames that went out of scope are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
