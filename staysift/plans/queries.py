@@ -9,15 +9,22 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import staysift.functions as X
-from staysift.operators import enrich, lookup, schema
+from staysift.operators import enrich, explore, lookup, models, permutation, profile, sampling, schema, stats
+from staysift.operators import features as feat
 from staysift.plans import fixtures as fx
 from staysift.plans.jobs import clean_and_join
+from staysift.session import scratch_path
+from staysift.sources import readers, sinks
+from staysift.streaming.enrich_stream import enrich_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -225,7 +232,6 @@ REGISTRY: dict[str, Query] = {
 
 # --- profile / explore ----------------------------------------------------------
 
-from staysift.operators import explore, profile, stats  # noqa: E402
 
 MEASURES = ["city_population", "attractions_count", "facilities_count", "facilities_keyword_hits", "hotel_latitude"]
 NUMERIC = [
@@ -389,11 +395,7 @@ REGISTRY.update({
 
 # --- sampling, features, models, permutation -------------------------------------
 
-from pyspark.ml.feature import VectorAssembler  # noqa: E402
-from pyspark.ml.functions import vector_to_array  # noqa: E402
 
-from staysift.operators import features as feat  # noqa: E402
-from staysift.operators import models, permutation, sampling  # noqa: E402
 
 IMPUTE_FIXTURE = """
 SELECT o_orderkey,
@@ -478,15 +480,10 @@ def _coef_frame(spark, model):
 
 def q_linear_fit(spark, sf_dir):
     data = _linear_data(spark, sf_dir)
-    model = LinearRegressionNormal().fit(data)
+    model = models.linear().setSolver("normal").fit(data)
     return _coef_frame(spark, model).withColumn("estimate", rnd("estimate", 4))
 
 
-def LinearRegressionNormal():
-    m = models.linear()
-    return m.setSolver("normal")
-
-
 def q_ridge_fit(spark, sf_dir):
     data = _linear_data(spark, sf_dir)
     sd, n = models.label_scale(data)
@@ -612,16 +609,11 @@ REGISTRY.update({
 
 # --- sources, sinks, streaming, expanded analysis --------------------------------
 
-import os as _os  # noqa: E402
-import uuid as _uuid  # noqa: E402
 
-from staysift.session import scratch_path  # noqa: E402
-from staysift.sources import readers, sinks  # noqa: E402
-from staysift.streaming.enrich_stream import enrich_stream  # noqa: E402
 
 
 def _fresh_dir(spark, tag: str) -> str:
-    return scratch_path(spark, f"{tag}-{_uuid.uuid4().hex}")
+    return scratch_path(spark, f"{tag}-{uuid.uuid4().hex}")
 
 
 def q_csv_roundtrip(spark, sf_dir):
@@ -634,7 +626,7 @@ def q_csv_roundtrip(spark, sf_dir):
 def q_stream_enrich(spark, sf_dir):
     """The cleaning + enrichment join run as a stream over landed files."""
     base = _fresh_dir(spark, "stream")
-    landing, out, ckpt = (_os.path.join(base, d) for d in ("landing", "out", "ckpt"))
+    landing, out, ckpt = (os.path.join(base, d) for d in ("landing", "out", "ckpt"))
     raw = fx.listings_raw(spark, sf_dir)
     sinks.write_table(raw, landing, "parquet")
     r = _cleaned(spark, sf_dir)

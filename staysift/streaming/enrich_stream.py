@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from staysift.operators.enrich import attach_population, clean_listings
 from staysift.operators.schema import finalize_joined
+from staysift.session import materialize
 
 
 def enrich_stream(
@@ -38,7 +39,10 @@ def enrich_stream(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(input_dir)
     cleaned = clean_listings(raw, country_dim)
-    joined = finalize_joined(attach_population(cleaned, gazetteer_clean))
+    # the static side of a stream-static join is re-evaluated every micro-batch:
+    # materialise the (small, de-duplicated) lookup once
+    static = materialize(gazetteer_clean.select("country_iso2", "city_join_key", "Population"))
+    joined = finalize_joined(attach_population(cleaned, static))
     writer = (
         joined.writeStream.format("parquet")
         .option("path", output_dir)
