@@ -3,12 +3,14 @@
 Each registered query has an independent DuckDB formulation here. The helpers
 below build DuckDB expressions (RE2 regexes, list lambdas, ``QUALIFY``) for the
 same semantics the Spark column expressions implement; the fixture SQL is shared
-with Spark (see ``fixtures.py``). Float outputs are rounded with
-``floor(x * 1e6 + 0.5) / 1e6`` on both sides.
+with Spark (see ``fixtures.py``). Float outputs are rounded to a relative binary grid (about 9 significant
+digits) with the same exact formula on both sides.
 """
 
 from __future__ import annotations
 
+import math
+
 from staysift.functions.text import FACILITY_KEYWORDS, STAR_WORDS, STRICT_STAR_LABELS
 from staysift.plans.fixtures import COUNTRY_DIM_SQL, GAZETTEER_RAW_SQL, LISTINGS_RAW_SQL
 
@@ -16,8 +18,11 @@ WS = r"[\t\n\x0B\f\r\x{85}\p{Z}]"
 
 
 def rnd(e: str, digits: int = 6) -> str:
-    scale = f"1e{digits}"
-    return f"(floor(({e}) * {scale} + 0.5) / {scale})"
+    bits = math.ceil(digits * math.log2(10)) + 10
+    x = f"({e})"
+    scale = f"pow(2.0, {bits - 1} - floor(log2(abs({x}))))"
+    return (f"(CASE WHEN {x} = 0 OR isnan({x}) OR isinf({x}) THEN {x} "
+            f"ELSE floor({x} * {scale} + 0.5) / {scale} END)")
 
 
 def strip(e: str) -> str:
