@@ -6,9 +6,10 @@ pinv(X'X) (X with the intercept column). So a permuted fit is one distributed do
 product, and the only driver-side step is the pseudo-inverse of X'X, whose size
 is bounded by the feature count (the one-hot caps), not by the rows.
 
-Permutations are seeded hash orders: in permutation m, the row at hash rank k
-(key, seed, m) receives the label of the row at base rank k (key, seed). All
-ranks come from ``ranking.rows_before`` (bucketed), never a global window.
+Permutations are seeded orders: in permutation m, the row at rank k of the
+order key_m (an affine hash of the row's md5, see ``permutation_test``) receives
+the label of the row at rank k of the base md5 order. All ranks come from
+``ranking.rows_before`` (bucketed), never a global window.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from staysift.session import materialize
 
 # Labels table is broadcast to the permutation rows up to this many rows.
 LABEL_BROADCAST_MAX_ROWS = 2_000_000
+PERM_PRIME = 2_147_483_647  # 2^31 - 1
 
 
 def _nonzeros(features: str) -> F.Column:
@@ -83,8 +85,18 @@ def permutation_test(
     p-value per tested feature (one row per feature)."""
     weighted = coefficient_weights(df, feature_names, tested, features)
     wcols = [f"w_{f}" for f in tested]
+    # one md5 per row yields four 31-bit numbers; permutation m orders rows by
+    # ((a1 + b1*m) mod P) * 2^31 + ((a2 + b2*m) mod P), a pairwise-independent
+    # family, so the n * n_permutations exploded rows need no hashing at all
+    h = hash_key(key_cols, seed)
+    chunk = lambda i: F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("bigint")
     # reused by four jobs below: cut the lineage once (shared checkpoint folder)
-    base = materialize(weighted.select(*key_cols, F.col(label).cast("double").alias("__y"), *wcols))
+    base = materialize(weighted.select(
+        *key_cols, F.col(label).cast("double").alias("__y"), *wcols,
+        hash_number(h).alias("__hn"),
+        (chunk(0) % PERM_PRIME).alias("__a1"), (chunk(1) % (PERM_PRIME - 1) + 1).alias("__b1"),
+        (chunk(2) % PERM_PRIME).alias("__a2"), (chunk(3) % (PERM_PRIME - 1) + 1).alias("__b2"),
+    ))
 
     observed = base.select(
         F.explode(F.array(*[
@@ -93,14 +105,18 @@ def permutation_test(
     ).groupBy("r.feature").agg(F.sum("r.c").alias("coef"))
 
     # base order: rank of each row by hash(key, seed) -> labels by position
-    # only the 60-bit number travels through the shuffles; the row key breaks
-    # (astronomically rare) ties
-    h0 = base.withColumn("__hn", hash_number(hash_key(key_cols, seed)))
-    labels = rows_before(h0, ["__hn", *key_cols], (), None, out_col="__k", uniform_bits=HASH_BITS).select("__k", "__y")
-
-    perms = base.select(*key_cols, *wcols, F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))).alias("perm"))
-    ph = perms.withColumn("__hn", hash_number(hash_key(key_cols, seed, F.col("perm"))))
-    ranked = rows_before(ph, ["__hn", *key_cols], ["perm"], None, out_col="__k", uniform_bits=HASH_BITS)
+    # base order: rank by the row hash; only numbers travel through the
+    # shuffles and the row key breaks (astronomically rare) ties
+    labels = rows_before(base, ["__hn", *key_cols], (), None, out_col="__k", uniform_bits=HASH_BITS).select("__k", "__y")
+
+    m = F.col("perm").cast("bigint")
+    perms = base.select(
+        *key_cols, *wcols, "__a1", "__b1", "__a2", "__b2",
+        F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))).alias("perm"),
+    )
+    key = ((F.col("__a1") + F.col("__b1") * m) % PERM_PRIME) * F.lit(2**31) + (F.col("__a2") + F.col("__b2") * m) % PERM_PRIME
+    ph = perms.select(*key_cols, *wcols, "perm", key.alias("__pk"))
+    ranked = rows_before(ph, ["__pk", *key_cols], ["perm"], None, out_col="__k", uniform_bits=62)
 
     n_rows = base.count()
     lab = F.broadcast(labels) if n_rows <= LABEL_BROADCAST_MAX_ROWS else labels

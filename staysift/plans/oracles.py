@@ -269,9 +269,15 @@ def _models() -> dict[str, str]:
       w AS (SELECT r.o_orderkey, r.y, r.r1 / ss.s1 AS w1, r.r2 / ss.s2 AS w2 FROM r, ss),
       obs AS (SELECT sum(w1 * y) AS c1, sum(w2 * y) AS c2 FROM w),
       base AS (SELECT y, row_number() OVER (ORDER BY md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), '42'))) - 1 AS k FROM w),
-      p AS (SELECT w.o_orderkey, w.w1, w.w2, g.perm FROM w, range(50) g(perm)),
+      hk AS (SELECT w.*, md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), '42')) AS h FROM w),
+      ab AS (SELECT o_orderkey, w1, w2, ('0x' || substr(h, 1, 8))::BIGINT % 2147483647 AS a1,
+                    ('0x' || substr(h, 9, 8))::BIGINT % 2147483646 + 1 AS b1,
+                    ('0x' || substr(h, 17, 8))::BIGINT % 2147483647 AS a2,
+                    ('0x' || substr(h, 25, 8))::BIGINT % 2147483646 + 1 AS b2 FROM hk),
+      p AS (SELECT ab.*, g.perm FROM ab, range(50) g(perm)),
       pr AS (SELECT perm, w1, w2, row_number() OVER (PARTITION BY perm ORDER BY
-               md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), '42', CAST(perm AS VARCHAR)))) - 1 AS k FROM p),
+               ((a1 + b1 * perm) % 2147483647) * 2147483648 + (a2 + b2 * perm) % 2147483647, o_orderkey) - 1 AS k
+             FROM p),
       nulls AS (SELECT perm, sum(pr.w1 * base.y) AS n1, sum(pr.w2 * base.y) AS n2 FROM pr JOIN base ON pr.k = base.k
                 GROUP BY perm)
       SELECT 'f1' AS feature, {O.rnd('obs.c1')} AS observed_coefficient,
