@@ -91,7 +91,7 @@ def test_results_independent_of_shuffle_partitions(spark):
             spark.conf.set("spark.sql.shuffle.partitions", parts)
             for n in names:
                 rows = E.queries()[n](spark, small).collect()
-                results.setdefault(n, []).append(sorted(tuple(r) for r in rows))
+                results.setdefault(n, []).append(sorted((tuple(r) for r in rows), key=repr))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     for n, (a, b) in results.items():
