@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,9 +14,20 @@ from staysift.operators.schema import JOINED_TABLE_STEM, finalize_joined
 
 @dataclass
 class CleanResult:
+    """Cleaned listings and gazetteer; the joined table is planned on first
+    access (planning it counts the gazetteer for the broadcast decision)."""
+
     listings: DataFrame
     gazetteer: DataFrame
-    joined: DataFrame | None
+    also_join: bool = True
+    join_kwargs: dict = field(default_factory=dict)
+    _joined: DataFrame | None = None
+
+    @property
+    def joined(self) -> DataFrame | None:
+        if self.also_join and self._joined is None:
+            self._joined = finalize_joined(attach_population(self.listings, self.gazetteer, **self.join_kwargs))
+        return self._joined
 
 
 def clean_and_join(
@@ -32,10 +43,7 @@ def clean_and_join(
     """
     listings = clean_listings(listings_raw, country_dim)
     gazetteer = clean_gazetteer(gazetteer_raw, country_dim)
-    joined = None
-    if also_join:
-        joined = finalize_joined(attach_population(listings, gazetteer, **join_kwargs))
-    return CleanResult(listings, gazetteer, joined)
+    return CleanResult(listings, gazetteer, also_join, dict(join_kwargs))
 
 
 def run_cleaning(

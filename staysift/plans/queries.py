@@ -640,8 +640,9 @@ def q_stream_enrich(spark, sf_dir):
     landing, out, ckpt = (os.path.join(base, d) for d in ("landing", "out", "ckpt"))
     raw = fx.listings_raw(spark, sf_dir)
     sinks.write_table(raw, landing, "parquet")
-    r = _cleaned(spark, sf_dir)
-    q = enrich_stream(spark, landing, raw.schema, r.gazetteer, fx.country_dim(spark, sf_dir), out, ckpt)
+    dim = fx.country_dim(spark, sf_dir)
+    gazetteer = enrich.clean_gazetteer(fx.gazetteer_raw(spark, sf_dir), dim)
+    q = enrich_stream(spark, landing, raw.schema, gazetteer, dim, out, ckpt)
     q.awaitTermination()
     return q_null_safe_left_join_from(spark.read.parquet(out))
 
