@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from staysift.operators.ranking import hash_key, hash_number, rows_before
+from staysift.operators.ranking import hash_key, rows_before
 
 
 # --- p-value helpers (vectorised, applied to aggregated rows only) -------------
