@@ -58,8 +58,23 @@ def joined_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cleaned(spark, sf_dir).joined
 
 
+_CLEANING_SOURCES = ("functions/text.py", "functions/geo.py", "operators/schema.py", "operators/lookup.py",
+                     "operators/enrich.py", "plans/fixtures.py", "plans/jobs.py")
+
+
+def _code_signature() -> str:
+    """Hash of the code that produces the joined table, so a changed cleaning
+    rule never reuses a table written by older code."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for rel in _CLEANING_SOURCES:
+        with open(os.path.join(root, rel), "rb") as f:
+            h.update(f.read())
+    return h.hexdigest()[:12]
+
+
 def _input_signature(sf_dir: str, tables=("orders", "customer", "nation")) -> str:
-    parts = [os.path.abspath(sf_dir)]
+    parts = [os.path.abspath(sf_dir), _code_signature()]
     for t in tables:
         p = os.path.join(sf_dir, f"{t}.parquet")
         parts.append(f"{t}:{os.path.getmtime(p) if os.path.exists(p) else 0}:{os.path.getsize(p) if os.path.exists(p) else 0}")
