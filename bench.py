@@ -55,7 +55,14 @@ def main() -> None:
     from staysift.session import build_session
 
     shuffle_partitions = max(8, cpus * 2)
-    spark = build_session("staysift-bench", master=f"local[{cpus}]", shuffle_partitions=shuffle_partitions)
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times for later analysis
+        import tempfile
+
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": tempfile.mkdtemp(prefix="bench-events-")}
+    spark = build_session(
+        "staysift-bench", master=f"local[{cpus}]", shuffle_partitions=shuffle_partitions, extra_conf=extra
+    )
     names = only or HEADLINE
     timings: dict[str, float] = {}
     for name in names:

@@ -121,6 +121,32 @@ class FeaturePrep:
         )
 
 
+def save_feature_prep(prep: FeaturePrep, spark: SparkSession, path: str) -> str:
+    """Persist the fitted constants (JSON) and, for pooled categoricals, the
+    training levels (Parquet) under ``path``."""
+    import os
+
+    spark.createDataFrame([(prep.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(
+        os.path.join(path, "prep")
+    )
+    for spec in prep.categorical:
+        if spec.pooled and spec.train_levels is not None:
+            spec.train_levels.write.mode("overwrite").parquet(os.path.join(path, f"levels_{spec.column}"))
+    return path
+
+
+def load_feature_prep(spark: SparkSession, path: str) -> FeaturePrep:
+    """Inverse of ``save_feature_prep``."""
+    import os
+
+    doc = json.loads(spark.read.text(os.path.join(path, "prep")).first().value)
+    specs = []
+    for c in doc["categorical"]:
+        levels = spark.read.parquet(os.path.join(path, f"levels_{c['column']}")) if c["pooled"] else None
+        specs.append(CategoricalSpec(c["column"], c["cap"], list(c["kept"]), c["pooled"], levels))
+    return FeaturePrep(list(doc["numeric"]), doc["medians"], doc["means"], doc["scales"], specs)
+
+
 def _encoder(spark: SparkSession, idx_col: str, vec_col: str, size: int) -> OneHotEncoderModel:
     """One-hot encoder of a known width; the last slot (unknown) is dropped."""
     fit_on = spark.range(size).select(F.col("id").cast("double").alias(idx_col))

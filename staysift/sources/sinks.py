@@ -42,11 +42,13 @@ def write_json_doc(spark: SparkSession, doc: dict[str, Any], path: str) -> str:
 def save_feature_bundle(out_dir: str, matrices, meta: dict[str, Any] | None = None) -> dict[str, str]:
     """Train/test matrices (key, label, features) as Parquet, the fitted
     preprocessing constants as JSON, and optional metadata."""
+    from staysift.operators.features import save_feature_prep
+
     spark = matrices.train.sparkSession
     paths = {
         "train": write_table(matrices.train, os.path.join(out_dir, "train")),
         "test": write_table(matrices.test, os.path.join(out_dir, "test")),
-        "preprocessor": write_json_doc(spark, json.loads(matrices.prep.to_json()), os.path.join(out_dir, "preprocessor")),
+        "preprocessor": save_feature_prep(matrices.prep, spark, os.path.join(out_dir, "preprocessor")),
     }
     if meta:
         paths["meta"] = write_json_doc(spark, meta, os.path.join(out_dir, "feature_matrix_meta"))

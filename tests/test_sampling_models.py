@@ -126,3 +126,21 @@ def test_train_and_compare(spark):
     assert imp.count() == len(fm.prep.feature_names)
     with pytest.raises(KeyError):
         models.coefficient(runs[0].model, fm.prep.feature_names, "nope")
+
+
+def test_feature_bundle_roundtrip(spark):
+    import os
+    import tempfile
+
+    from staysift.sources.sinks import save_feature_bundle
+
+    df = _tiny_joined(spark, 200).withColumn("cityName", F.concat(F.lit("C"), (F.monotonically_increasing_id() % 90).cast("string")))
+    fm = features.build_feature_matrices(df, ["HotelCode"], test_share=0.25, seed=3)
+    assert any(s.pooled for s in fm.prep.categorical)
+    out = tempfile.mkdtemp(prefix="staysift-bundle-")
+    paths = save_feature_bundle(os.path.join(out, "b"), fm, meta={"rows_train": fm.train.count()})
+    back = features.load_feature_prep(spark, paths["preprocessor"])
+    assert back.feature_names == fm.prep.feature_names
+    a = fm.prep.transform(df).select("HotelCode", "features").orderBy("HotelCode").collect()
+    b = back.transform(df).select("HotelCode", "features").orderBy("HotelCode").collect()
+    assert [r.features for r in a] == [r.features for r in b]
