@@ -59,7 +59,7 @@ def joined_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CLEANING_SOURCES = ("functions/text.py", "functions/geo.py", "operators/schema.py", "operators/lookup.py",
-                     "operators/enrich.py", "plans/fixtures.py", "plans/jobs.py")
+                     "operators/enrich.py", "plans/fixtures.py", "plans/jobs.py", "plans/queries.py")
 
 
 def _code_signature() -> str:
