@@ -68,6 +68,7 @@ class FeaturePrep:
     scales: dict[str, float]
     categorical: list[CategoricalSpec] = field(default_factory=list)
     output_col: str = "features"
+    _encoders: dict = field(default_factory=dict, repr=False, compare=False)
 
     @property
     def feature_names(self) -> list[str]:
@@ -99,8 +100,10 @@ class FeaturePrep:
                 out = out.withColumn(idx_col, F.coalesce(kept_idx, pooled, F.lit(unknown))).drop("__lvl")
             else:
                 out = out.withColumn(idx_col, F.coalesce(kept_idx, F.lit(unknown)))
-            encoder = _encoder(spark, idx_col, vec_col, spec.size() + 1)
-            out = encoder.transform(out)
+            key = (idx_col, vec_col, spec.size() + 1)
+            if key not in self._encoders:  # fitted once, reused for every split
+                self._encoders[key] = _encoder(spark, *key)
+            out = self._encoders[key].transform(out)
             vec_inputs.append(vec_col)
         assembled = VectorAssembler(inputCols=vec_inputs, outputCol=self.output_col).transform(out)
         drop = [c for c in assembled.columns if c.startswith("__num_") or c.startswith("__idx_") or c.startswith("__ohe_")]
@@ -214,9 +217,13 @@ def build_feature_matrices(
     drop_identifiers: bool = True,
     numeric: Sequence[str] = NUMERIC_FEATURES,
     categorical: Sequence[tuple[str, int]] = CATEGORICAL_CAPS,
+    materialize_input: bool = True,
 ) -> FeatureMatrices:
     """Split (exact sizes, stratified when few classes), fit on train only,
-    transform both sides. Output frames: key columns, ``label``, ``features``."""
+    transform both sides. Output frames: key columns, ``label``, ``features``.
+
+    ``materialize_input`` checkpoints the projected input first; turn it off
+    when ``df`` is already a scan of a written table."""
     from staysift.operators.sampling import with_split_flag
     from staysift.operators.schema import rename_aliases
     from staysift.session import materialize
@@ -229,7 +236,7 @@ def build_feature_matrices(
     ))
     # one pass over the (possibly long) upstream plan; the split's ranking jobs,
     # the fit aggregations and both transforms read the checkpoint instead
-    source = materialize(df.select(*needed))
+    source = materialize(df.select(*needed)) if materialize_input else df.select(*needed)
     flagged = materialize(with_split_flag(source, list(key_cols), target, test_share, seed, stratify))
     train = flagged.where(F.col("split") == "train").drop("split")
     test = flagged.where(F.col("split") == "test").drop("split")

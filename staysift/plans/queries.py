@@ -525,7 +525,8 @@ def q_lasso_fit(spark, sf_dir):
 
 def _matrices(spark, sf_dir):
     j = written_joined_table(spark, sf_dir).dropna(subset=["hotel_star_rating"])
-    return feat.build_feature_matrices(j, ["HotelCode"], "hotel_star_rating", 0.2, 42, True)
+    # the input is a scan of the written table: no extra checkpoint needed
+    return feat.build_feature_matrices(j, ["HotelCode"], "hotel_star_rating", 0.2, 42, True, materialize_input=False)
 
 
 def q_feature_matrix(spark, sf_dir):
