@@ -85,7 +85,7 @@ FACILITY_KEYWORDS: tuple[str, ...] = (
 )
 # Patterns of the attraction counter.
 METRE_SPAN = r"within\s+\d+\s*metre"
-DISTANCE_SPAN = r"[-\x{2013}\x{2014}]\s*\d+\.?\d*\s*(?:km|mi)\b"
+DISTANCE_SPAN = r"[-\u2013\u2014]\s*\d+\.?\d*\s*(?:km|mi)\b"
 LINE_BREAK = r"<br\s*/?>"
 AIRPORT_MARK = "preferred airport"
 # --- end of fixed values -----------------------------------------------------------
