@@ -185,8 +185,10 @@ def to_number(c: ColumnOrName) -> Column:
 
 
 def strip_tags(c: ColumnOrName) -> Column:
-    """Replace every ``<...>`` tag with a space."""
-    return F.regexp_replace(_col(c), HTML_TAG, " ")
+    """Replace every ``<...>`` tag with a space (the regex only runs on text
+    that contains a ``<``)."""
+    c = _col(c)
+    return F.when(F.instr(c, "<") > 0, F.regexp_replace(c, HTML_TAG, " ")).otherwise(c)
 
 
 def plain_text(c: ColumnOrName) -> Column:
