@@ -29,7 +29,7 @@ from staysift.functions.text import (
     star_rating,
     to_number,
 )
-from staysift.operators.lookup import iso2_lookup
+from staysift.operators.lookup import iso2_lookup, row_count
 from staysift.operators.schema import canonical_columns
 
 # Right side of an enrichment join is broadcast up to this many rows.
@@ -85,15 +85,19 @@ def null_safe_left_join(
     broadcast_max_rows: int = JOIN_BROADCAST_MAX_ROWS,
     hot_keys: Column | None = None,
     salt_buckets: int = SALT_BUCKETS,
+    right_rows: int | None = None,
 ) -> DataFrame:
     """Left equi-join attaching ``attrs`` from ``right`` (unique per key).
 
     With ``null_safe`` (the default, matching the source semantics) a NULL key
     matches a NULL key. The left row count is unchanged because ``right`` must be
-    unique per key (use ``dedupe_keep_max`` first).
+    unique per key (use ``dedupe_keep_max`` first). ``right_rows`` passes a known
+    row count and skips counting.
     """
+    n_right = right_rows if right_rows is not None else row_count(right)
+    small = n_right <= broadcast_max_rows
     right = right.select(*keys, *attrs)
-    if right.count() <= broadcast_max_rows:
+    if small:
         r = F.broadcast(right)
         joined = left.join(r, _key_condition(left, r, keys, null_safe), "left")
         return joined.select(*[left[c] for c in left.columns], *[r[a] for a in attrs])
@@ -163,6 +167,7 @@ def attach_population(listings: DataFrame, gazetteer: DataFrame, **join_kwargs)
     right = gazetteer.select(
         "country_iso2", "city_join_key", to_number("Population").alias("city_population")
     )
+    join_kwargs.setdefault("right_rows", row_count(gazetteer))  # remembered when the gazetteer is reused
     return null_safe_left_join(
         listings, right, ["country_iso2", "city_join_key"], ["city_population"], **join_kwargs
     )
