@@ -144,3 +144,37 @@ def test_feature_bundle_roundtrip(spark):
     a = fm.prep.transform(df).select("HotelCode", "features").orderBy("HotelCode").collect()
     b = back.transform(df).select("HotelCode", "features").orderBy("HotelCode").collect()
     assert [r.features for r in a] == [r.features for r in b]
+
+
+def _lasso_cd(x, y, alpha, iters=5000):
+    """Coordinate descent for (1/2n)||y - b0 - Xw||^2 + alpha ||w||_1."""
+    n, p = x.shape
+    xc, yc = x - x.mean(0), y - y.mean()
+    w = np.zeros(p)
+    norms = (xc ** 2).sum(0) / n
+    for _ in range(iters):
+        for j in range(p):
+            r = yc - xc @ w + xc[:, j] * w[j]
+            rho = xc[:, j] @ r / n
+            w[j] = np.sign(rho) * max(abs(rho) - alpha, 0.0) / norms[j]
+    return w
+
+
+def test_lasso_alpha_convention(spark):
+    rng = np.random.default_rng(7)
+    n = 400
+    x = rng.normal(size=(n, 3)) * np.array([1.0, 3.0, 0.5])
+    y = 1 + x @ np.array([0.8, -0.3, 0.0]) + rng.normal(scale=0.5, size=n)
+    df = spark.createDataFrame([(float(y[i]), *map(float, x[i])) for i in range(n)], "label double, a double, b double, c double")
+    data = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
+    for alpha in (0.001, 0.1):
+        got = models.lasso(alpha).fit(data).coefficients.toArray()
+        assert np.allclose(got, _lasso_cd(x, y, alpha), atol=2e-4), alpha
+
+
+def test_param_draws_are_seeded(spark):
+    est = models.forest()
+    a = models.sample_param_maps(est, models.FOREST_SEARCH, 12, 42)
+    b = models.sample_param_maps(est, models.FOREST_SEARCH, 12, 42)
+    assert len(a) == 12 and [sorted((p.name, v) for p, v in m.items()) for m in a] == [
+        sorted((p.name, v) for p, v in m.items()) for m in b]
