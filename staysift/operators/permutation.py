@@ -80,9 +80,11 @@ def permutation_test(
     seed: int = 42,
     features: str = "features",
     label: str = "label",
+    batch_size: int | None = 100,
 ) -> DataFrame:
     """Observed coefficients, null distribution summary and empirical two-sided
-    p-value per tested feature (one row per feature)."""
+    p-value per tested feature (one row per feature). Permutations run in
+    batches of ``batch_size`` (``None``: all in one plan)."""
     weighted = coefficient_weights(df, feature_names, tested, features)
     wcols = [f"w_{f}" for f in tested]
     # one md5 per row yields four 31-bit numbers; permutation m orders rows by
@@ -109,22 +111,38 @@ def permutation_test(
     # shuffles and the row key breaks (astronomically rare) ties
     labels = rows_before(base, ["__hn", *key_cols], (), None, out_col="__k", uniform_bits=HASH_BITS).select("__k", "__y")
 
-    m = F.col("perm").cast("bigint")
-    perms = base.select(
-        *key_cols, *wcols, "__a1", "__b1", "__a2", "__b2",
-        F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))).alias("perm"),
-    )
-    key = ((F.col("__a1") + F.col("__b1") * m) % PERM_PRIME) * F.lit(2**31) + (F.col("__a2") + F.col("__b2") * m) % PERM_PRIME
-    ph = perms.select(*key_cols, *wcols, "perm", key.alias("__pk"))
-    ranked = rows_before(ph, ["__pk", *key_cols], ["perm"], None, out_col="__k", uniform_bits=62)
-
     n_rows = base.count()
     lab = F.broadcast(labels) if n_rows <= LABEL_BROADCAST_MAX_ROWS else labels
-    paired = ranked.join(lab, "__k", "inner")
-    nulls = paired.groupBy("perm").agg(*[F.sum(F.col(f"w_{f}") * F.col("__y")).alias(f) for f in tested])
-    null_long = nulls.select(
-        "perm",
-        F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("coef")) for f in tested])).alias("r"),
-    ).select("perm", "r.feature", "r.coef")
+
+    def null_coefficients(first: int, last: int) -> DataFrame:
+        """Coefficients under permutations first..last (one row per perm and feature)."""
+        m = F.col("perm").cast("bigint")
+        perms = base.select(
+            *key_cols, *wcols, "__a1", "__b1", "__a2", "__b2",
+            F.explode(F.sequence(F.lit(first), F.lit(last))).alias("perm"),
+        )
+        key = ((F.col("__a1") + F.col("__b1") * m) % PERM_PRIME) * F.lit(2**31) + (
+            F.col("__a2") + F.col("__b2") * m
+        ) % PERM_PRIME
+        ph = perms.select(*key_cols, *wcols, "perm", key.alias("__pk"))
+        ranked = rows_before(ph, ["__pk", *key_cols], ["perm"], None, out_col="__k", uniform_bits=62)
+        paired = ranked.join(lab, "__k", "inner")
+        nulls = paired.groupBy("perm").agg(*[F.sum(F.col(f"w_{f}") * F.col("__y")).alias(f) for f in tested])
+        return nulls.select(
+            "perm",
+            F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("coef")) for f in tested])).alias("r"),
+        ).select("perm", "r.feature", "r.coef")
+
+    if batch_size is None or n_permutations <= batch_size:
+        null_long = null_coefficients(0, n_permutations - 1)
+    else:
+        # one job per batch bounds the exploded shuffle to n * batch_size rows;
+        # only the per-permutation coefficients (n_permutations * features
+        # numbers) come back
+        rows = []
+        for first in range(0, n_permutations, batch_size):
+            last = min(n_permutations, first + batch_size) - 1
+            rows += [tuple(r) for r in null_coefficients(first, last).collect()]
+        null_long = base.sparkSession.createDataFrame(rows, "perm int, feature string, coef double")
     out = null_summary(null_long, observed, "feature", "coef")
     return out.withColumn("null_hypothesis", F.concat(F.lit("Coefficient for "), F.col("feature"), F.lit(" equals 0")))

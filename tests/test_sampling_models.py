@@ -178,3 +178,19 @@ def test_param_draws_are_seeded(spark):
     b = models.sample_param_maps(est, models.FOREST_SEARCH, 12, 42)
     assert len(a) == 12 and [sorted((p.name, v) for p, v in m.items()) for m in a] == [
         sorted((p.name, v) for p, v in m.items()) for m in b]
+
+
+def test_permutation_batches_match_single_plan(spark):
+    rng = np.random.default_rng(11)
+    n = 300
+    rows = [(i, float(rng.normal()), float(rng.normal()), float(rng.normal())) for i in range(n)]
+    df = spark.createDataFrame(rows, "k int, label double, a double, b double")
+    data = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    one = permutation.permutation_test(data, ["k"], ["a", "b"], ["a", "b"], 30, 5, batch_size=None)
+    many = permutation.permutation_test(data, ["k"], ["a", "b"], ["a", "b"], 30, 5, batch_size=7)
+    key = lambda r: r.feature
+    for x, y in zip(sorted(one.collect(), key=key), sorted(many.collect(), key=key)):
+        assert x.empirical_p_value_two_sided == y.empirical_p_value_two_sided
+        assert x.null_mean == pytest.approx(y.null_mean, rel=1e-12)
+        assert x.null_std == pytest.approx(y.null_std, rel=1e-12)
+        assert x.n_permutations == y.n_permutations == 30
