@@ -18,6 +18,7 @@ from staysift.operators.schema import (
     JOINED_COLUMNS,
     LISTING_CLEANING_COLUMNS,
     LISTING_HEADER_ALIASES,
+    header_key,
     keep_columns_by_key,
     null_missing_tokens,
     rename_aliases,
@@ -116,7 +117,7 @@ def read_listings_csv(
     if columns == "cleaning":
         df = keep_columns_by_key(df, LISTING_CLEANING_COLUMNS, LISTING_HEADER_ALIASES)
     df = strip_headers(df)
-    df = null_missing_tokens(df, exclude=[c for c in df.columns if c.lower().replace(" ", "") == "countycode"])
+    df = null_missing_tokens(df, exclude=[c for c in df.columns if header_key(c) == "countycode"])
     return df.limit(limit) if limit is not None else df
 
 

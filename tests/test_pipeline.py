@@ -46,6 +46,10 @@ def test_encoding_fallback_and_bom(spark):
         f.write("﻿countyCode,cityName,HotelRating,Map\nNA,Windhoek,OneStar,1|2\n".encode("utf-8"))
     df2 = readers.read_listings_csv(spark, p2)
     assert "countyCode" in df2.columns and df2.first().countyCode == "NA"
+    p4 = os.path.join(work, "variant.csv")
+    _write(p4, "County_Code,City Name,Hotel Rating,Map\nNA,Windhoek,NA,1|2\n")
+    row = readers.read_listings_csv(spark, p4).first()
+    assert (row["County_Code"], row["Hotel Rating"]) == ("NA", None)
 
 
 def test_find_table_file(spark):
