@@ -125,7 +125,8 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, qs: Sequenc
     src = _not_null(df.select(*group, F.col(value).cast("double").alias("__v")), [*group, "__v"])
     counts = src.groupBy(*group, "__v").agg(F.count(F.lit(1)).alias("__c"))
     ranked, offsets = bucketed_prefix(counts, ["__v"], group, "__c", out_col="__before")
-    n = counts.groupBy(*group).agg(F.sum("__c").alias("__n"))
+    # group sizes from the small bucket table (no second pass over the counts)
+    n = offsets.groupBy(*group).agg(F.sum("__bt").alias("__n"))
     targets = _quantile_targets(n, group, qs)
     # locate each target's bucket on the small bucket table first ...
     t, o = targets.alias("t"), offsets.alias("o")
