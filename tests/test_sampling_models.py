@@ -194,3 +194,22 @@ def test_permutation_batches_match_single_plan(spark):
         assert x.null_mean == pytest.approx(y.null_mean, rel=1e-12)
         assert x.null_std == pytest.approx(y.null_std, rel=1e-12)
         assert x.n_permutations == y.n_permutations == 30
+
+
+def test_listing_permutation_observed_equals_lstsq(spark):
+    """On the real (singular, one-hot) listing design, the refit-free observed
+    coefficients equal a least-squares fit of the collected training matrix."""
+    from staysift.plans import queries as Q
+
+    small = "/root/testdata/sf0.001"
+    fm = Q._matrices(spark, small)
+    names = fm.prep.feature_names
+    rows = fm.train.select("label", "features").collect()
+    x = np.array([r.features.toArray() for r in rows])
+    y = np.array([r.label for r in rows])
+    beta = np.linalg.lstsq(np.column_stack([np.ones(len(y)), x]), y, rcond=None)[0]
+    out = permutation.permutation_test(fm.train, ["HotelCode"], names, ["city_population", "attractions_count"],
+                                       n_permutations=5, seed=42)
+    got = {r.feature: r.observed_coefficient for r in out.collect()}
+    for f in ("city_population", "attractions_count"):
+        assert got[f] == pytest.approx(beta[names.index(f) + 1], rel=1e-6, abs=1e-9)
