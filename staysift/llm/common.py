@@ -46,30 +46,25 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def ranked_in_groups(df: DataFrame, groups: list[str], key: str, rows_per_bucket: int, out: str) -> DataFrame:
-    """0-based rank of each row in its group in the order of ``key``, a uniform
-    64-bit hash column (ties in any order).
-
-    No task sorts a whole group: a group's rows are cut into equal slices of the hash
-    range, small enough to sort, and slice counts give the offsets.
+def ranked_in_groups(
+    df: DataFrame, groups: list[str], key: str, out: str, total: int, rows_per_slice: int = 100_000
+) -> DataFrame:
+    """0-based rank ``out`` of each row in its group (non-null columns ``groups``) in the
+    order of ``key``, a uniform 64-bit hash column (ties in any order).
+
+    No task sorts a whole group: the hash range is cut into equal slices, enough of them
+    that a slice of all ``total`` rows is small, and slice counts give the offsets.
     """
-    total = df.count()
-    slices = max(1, -(-total // rows_per_bucket))
+    slices = max(1, -(-total // rows_per_slice))
     top = F.shiftrightunsigned(F.col(key), 33)  # 31 bits, non-negative
-    cut = df.withColumn("__slice", F.shiftright(top * F.lit(slices), 31))
+    cut = df.withColumn("__slice", F.shiftright(top * F.lit(slices).cast("long"), 31))
     by = [*groups, "__slice"]
     ahead = Window.partitionBy(*groups).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cut.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).select(
-        *by, F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__before")
-    )
+    offsets = cut.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = offsets.select(*by, F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__before"))
     inside = F.row_number().over(Window.partitionBy(*by).orderBy(key)) - 1
-    return (
-        cut.withColumn("__in", inside)
-        .join(offsets.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(by)], "__before"),
-              on=[F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(by)])
-        .withColumn(out, (F.col("__in") + F.col("__before")).cast("long"))
-        .drop("__in", "__before", "__slice", *[f"__k{i}" for i in range(len(by))])
-    )
+    ranked = cut.withColumn("__in", inside).join(offsets, by)
+    return ranked.withColumn(out, (F.col("__in") + F.col("__before")).cast("long")).drop("__in", "__before", "__slice")
 
 
 def text_blocks(batches: Iterator[pa.RecordBatch], text: int, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -33,3 +33,29 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digest(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     )
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staysift.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024, 2)
+
+
+@query
+def op6_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Law ``rows``: counts at most one apart (24 shards)."""
+    from pyspark.sql import functions as F
+
+    from staysift.llm.sharding import shuffle_into_shards
+
+    data = F.col("text").cast("binary")
+    narrow = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text").cast("long"), F.lit(0)) + 8).alias("size"),
+        F.crc32(F.coalesce(data, F.lit(b""))).alias("text_crc32"),
+    )
+    return shuffle_into_shards(narrow, 24).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
