@@ -59,3 +59,21 @@ def op6_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op8_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staysift.llm.common import held_out
+    from staysift.llm.toxicity import score_toxicity
+
+    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("held_out", held_out("doc_id")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op9_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staysift.llm.common import held_out
+    from staysift.llm.quality_crf import score_quality
+
+    scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("held_out", held_out("doc_id")).select("doc_id", "held_out", "score", "predicted")
