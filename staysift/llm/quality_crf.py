@@ -127,7 +127,7 @@ class QualityModel:
 
 
 def fit_chain(
-    docs: list[np.ndarray], good: np.ndarray, rounds: int = 150, l2: float = 1e-3, rate: float = 0.1
+    docs: list[np.ndarray], good: np.ndarray, rounds: int = 300, l2: float = 1e-3, rate: float = 0.1
 ) -> tuple[np.ndarray, np.ndarray]:
     """Maximum likelihood of the line labels (each line has its document's label) by
     full-batch gradient steps with adaptive rates; forward-backward runs over all documents
