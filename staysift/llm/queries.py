@@ -77,3 +77,22 @@ def op9_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.withColumn("held_out", held_out("doc_id")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op1_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staysift.llm.ann import search
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+@query
+def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staysift.llm.common import held_out
+    from staysift.llm.language_id import identify_languages
+
+    found = identify_languages(table(spark, sf_dir, "documents"))
+    return found.withColumn("held_out", held_out("doc_id")).select(
+        "doc_id", "held_out", "lang_pred", "score", "languages"
+    )
