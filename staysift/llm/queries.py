@@ -96,3 +96,10 @@ def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", held_out("doc_id")).select(
         "doc_id", "held_out", "lang_pred", "score", "languages"
     )
+
+
+@query
+def op3_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staysift.llm.ngram_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
