@@ -103,3 +103,42 @@ def op3_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     from staysift.llm.ngram_join import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
+@query
+def op10_bm25_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: the whole texts of all ``benchmark`` items; answers: all ``documents``."""
+    from pyspark.sql import functions as F
+
+    from staysift.llm.bm25 import build_index, search
+
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    found = search(build_index(table(spark, sf_dir, "documents")), items, k=10)
+    return found.withColumn("score", F.round("score", 6))
+
+
+ORACLES["op10_bm25_top_k"] = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+sizes AS (
+  SELECT doc_id, len(regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS n
+  FROM documents
+), facts AS (SELECT count(*) AS docs, avg(n) AS mean_n FROM sizes),
+asked AS (
+  SELECT DISTINCT item_id AS query_id,
+         unnest(regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), idf AS (
+  SELECT term, ln(1 + (docs - count(*) + 0.5) / (count(*) + 0.5)) AS idf
+  FROM tf, facts GROUP BY term, docs
+), scored AS (
+  SELECT query_id, doc_id, sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / mean_n))) AS score
+  FROM asked JOIN tf USING (term) JOIN idf USING (term) JOIN sizes USING (doc_id), facts
+  GROUP BY query_id, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 10
+"""
