@@ -125,6 +125,35 @@ def fit(sample: list[tuple[str, str]], penalty: float) -> LanguageModel:
     return LanguageModel(names, np.log(smooth / smooth.sum(axis=0)).astype(np.float32), penalty)
 
 
+def fit_sample(
+    docs: DataFrame,
+    sample_docs: int = 4000,
+    max_chars: int = 4000,
+    penalty: float = 4.0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+) -> LanguageModel:
+    """Fit on a bounded sample of training documents (see :func:`training_sample`)."""
+    sample = training_sample(docs, sample_docs, max_chars, id_col, text_col, lang_col)
+    return fit([(r["lang"], r["text"]) for r in sample.collect()], penalty)
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, of which one language makes up at least the
+    share ``least``: a map. Rows without a determinable language go."""
+    at = docs.columns.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for block in text_blocks(batches, at):
+            found = [known.predict(t) for t in block.column(at).to_pylist()]
+            yield block.filter(pa.array([lang != UNDETERMINED and score >= least for lang, score, _ in found]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify_languages(
     docs: DataFrame,
     training_docs: DataFrame | None = None,
@@ -143,10 +172,9 @@ def identify_languages(
     to learn from is ``und`` with score 0. NULL ids and repeated rows are kept; other columns
     are not read; an empty table gives no rows.
     """
-    sample = training_sample(
-        docs if training_docs is None else training_docs, sample_docs, max_chars, id_col, text_col, lang_col
+    model = fit_sample(
+        docs if training_docs is None else training_docs, sample_docs, max_chars, penalty, id_col, text_col, lang_col
     )
-    model = fit([(r["lang"], r["text"]) for r in sample.collect()], penalty)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 

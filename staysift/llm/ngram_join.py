@@ -352,3 +352,22 @@ def jaccard_components(
             F.coalesce("root", "rep", "id").alias("component_id"),
         )
     )
+
+
+def keep_one_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, with one document left of each component: the
+    one of smallest id, once. Rows with a NULL id stay."""
+    found = stored(jaccard_components(docs, size, percent, id_col, text_col), "ngram-components")
+    gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    repeated = found.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    kept = docs.join(gone, id_col, "left_anti")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    # rows that repeat an id: the one of least hash, once
+    again = repeated.select(id_col)
+    rows = kept.join(again, id_col, "left_semi").withColumn("__h", F.xxhash64(*docs.columns))
+    first = rows.groupBy(id_col).agg(F.min("__h").alias("__h"))
+    once = rows.join(first, [id_col, "__h"], "left_semi").dropDuplicates([id_col])
+    return kept.join(again, id_col, "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))

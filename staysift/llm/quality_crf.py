@@ -192,6 +192,26 @@ def fit(texts: list[str], good: np.ndarray, share: float, longest: int = 100) ->
     return model
 
 
+def fit_sample(
+    docs: DataFrame, labels: DataFrame, per_class: int = 600, max_chars: int = 20_000, id_col: str = "doc_id", text_col: str = "text"
+) -> QualityModel:
+    """Fit on a bounded sample of training documents (see :func:`labelled_sample`)."""
+    sample, share = labelled_sample(docs, labels, "quality", per_class, max_chars, id_col, text_col)
+    return fit(sample["text"].tolist(), sample["label"].to_numpy(dtype=int), share)
+
+
+def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches ``threshold``: a map."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches, at):
+            scores = model.score([t or "" for t in block.column(at).to_pylist()])
+            yield block.filter(pa.array(scores >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -210,10 +230,7 @@ def score_quality(
     of both classes the score is the base rate (0.5 without any). NULL ids and repeated
     rows are kept; other columns are not read; an empty table gives no rows.
     """
-    sample, share = labelled_sample(
-        docs if training_docs is None else training_docs, labels, "quality", per_class, max_chars, id_col, text_col
-    )
-    model = fit(sample["text"].tolist(), sample["label"].to_numpy(dtype=int), share)
+    model = fit_sample(docs if training_docs is None else training_docs, labels, per_class, max_chars, id_col, text_col)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
