@@ -31,6 +31,7 @@ from staysift.functions.text import (
 )
 from staysift.operators.lookup import iso2_lookup, row_count
 from staysift.operators.schema import canonical_columns
+from staysift.session import written
 
 # Right side of an enrichment join is broadcast up to this many rows.
 JOIN_BROADCAST_MAX_ROWS = 2_000_000
@@ -76,6 +77,21 @@ def default_hot_keys(keys: Sequence[str]) -> Column:
     return cond
 
 
+def detect_hot_keys(left: DataFrame, keys: Sequence[str], share: float = 0.01, most: int = 100) -> Column:
+    """Keys that hold at least ``share`` of the rows, found by counting (at most ``most``
+    of them, the commonest), and NULL or empty ones."""
+    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total = left.count()
+    top = counts.where(F.col("__n") >= share * total).orderBy(F.desc("__n"), *keys).limit(most).collect()
+    cond = default_hot_keys(keys)
+    for row in top:
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.lit(row[k]))
+        cond = cond | same
+    return cond
+
+
 def null_safe_left_join(
     left: DataFrame,
     right: DataFrame,
@@ -102,13 +118,14 @@ def null_safe_left_join(
         joined = left.join(r, _key_condition(left, r, keys, null_safe), "left")
         return joined.select(*[left[c] for c in left.columns], *[r[a] for a in attrs])
 
-    hot = hot_keys if hot_keys is not None else default_hot_keys(keys)
+    hot = hot_keys if hot_keys is not None else detect_hot_keys(left, keys)
     salt_l = F.when(hot, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salt_buckets)))
     l2 = left.withColumn("__salt", F.coalesce(salt_l, F.lit(0)).cast("int"))
     fan = F.when(hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
     r2 = right.withColumn("__salt", F.explode(fan))
     cond = _key_condition(l2, r2, keys, null_safe) & (l2["__salt"] == r2["__salt"])
-    joined = l2.join(r2, cond, "left")
+    # beyond the broadcast limit Spark must not choose a broadcast from an estimate
+    joined = l2.join(r2.hint("merge"), cond, "left")
     return joined.select(*[l2[c] for c in left.columns], *[r2[a] for a in attrs])
 
 
@@ -167,7 +184,11 @@ def attach_population(listings: DataFrame, gazetteer: DataFrame, **join_kwargs)
     right = gazetteer.select(
         "country_iso2", "city_join_key", to_number("Population").alias("city_population")
     )
-    join_kwargs.setdefault("right_rows", row_count(gazetteer))  # remembered when the gazetteer is reused
+    if join_kwargs.get("right_rows") is None:
+        if join_kwargs.get("broadcast_max_rows", JOIN_BROADCAST_MAX_ROWS) < 0:
+            join_kwargs["right_rows"] = 0  # never broadcast: its size does not matter
+        else:  # the dedupe runs once, for the count and for the join
+            right = written(right, "gazetteer")
     return null_safe_left_join(
         listings, right, ["country_iso2", "city_join_key"], ["city_population"], **join_kwargs
     )

@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staysift.operators.lookup import checked_broadcast
 from staysift.operators.ranking import bucketed_prefix
+from staysift.session import written
 
 
 def _and(conds):
@@ -122,8 +124,17 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, qs: Sequenc
     Memory per task stays bounded by a range bucket, never a whole group.
     Returns (group..., q, quantile).
     """
+    return quantiles_of_counts(value_counts(df, group, value), group, qs)
+
+
+def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """Distinct (group, value) with their count: ``(group..., __v, __c)``."""
     src = _not_null(df.select(*group, F.col(value).cast("double").alias("__v")), [*group, "__v"])
-    counts = src.groupBy(*group, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    return src.groupBy(*group, "__v").agg(F.count(F.lit(1)).alias("__c"))
+
+
+def quantiles_of_counts(counts: DataFrame, group: Sequence[str], qs: Sequence[float]) -> DataFrame:
+    """:func:`exact_quantiles` of an already counted table (see :func:`value_counts`)."""
     ranked, offsets = bucketed_prefix(counts, ["__v"], group, "__c", out_col="__before")
     # group sizes from the small bucket table (no second pass over the counts)
     n = offsets.groupBy(*group).agg(F.sum("__bt").alias("__n"))
@@ -158,14 +169,16 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, qs: Sequenc
 def box_summary(df: DataFrame, group: str, value: str, whisker: float = 1.5) -> DataFrame:
     """Box-plot numbers per group: q1, median, q3, whiskers (most extreme values
     within ``whisker`` IQRs of the box), outlier count, n."""
-    qs = exact_quantiles(df, [group], value, [0.25, 0.5, 0.75])
+    # the source is read once: quartiles, whiskers and outliers all come from its counts
+    counts = written(value_counts(df, [group], value), "box-counts")
+    qs = quantiles_of_counts(counts, [group], [0.25, 0.5, 0.75])
     wide = qs.groupBy(group).agg(
         F.max(F.when(F.col("q") == 0.25, F.col("quantile"))).alias("q1"),
         F.max(F.when(F.col("q") == 0.5, F.col("quantile"))).alias("median"),
         F.max(F.when(F.col("q") == 0.75, F.col("quantile"))).alias("q3"),
     )
-    src = _not_null(df.select(group, F.col(value).cast("double").alias("__val")), [group, "__val"])
-    j = src.join(wide, group, "inner")  # one row per group; AQE broadcasts it when small
+    # one row per group, broadcast after a count; the counted side is never the build side
+    j = counts.withColumnRenamed("__v", "__val").join(checked_broadcast(written(wide, "box-quartiles")), group, "inner")
     iqr = F.col("q3") - F.col("q1")
     lo_fence = F.col("q1") - F.lit(whisker) * iqr
     hi_fence = F.col("q3") + F.lit(whisker) * iqr
@@ -173,25 +186,7 @@ def box_summary(df: DataFrame, group: str, value: str, whisker: float = 1.5) ->
     return j.groupBy(group, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("__val"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("__val"))).alias("whisker_high"),
-        F.sum((~inside).cast("bigint")).cast("bigint").alias("outliers"),
-        F.count(F.lit(1)).cast("bigint").alias("n"),
+        F.sum(F.when(~inside, F.col("__c")).otherwise(0)).cast("bigint").alias("outliers"),
+        F.sum("__c").cast("bigint").alias("n"),
     )
 
-
-def approx_box_summary(df: DataFrame, group: str, value: str, accuracy: int = 10_000) -> DataFrame:
-    """Quartiles from ``percentile_approx`` (bounded sketch per group)."""
-    v = F.col(value)
-    q = F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy)
-    return (
-        _not_null(df, [group, value])
-        .groupBy(group)
-        .agg(q.alias("__q"))
-        .select(group, F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"))
-    )
-
-
-def label_column(c: Column, labels: dict[int, str]) -> Column:
-    expr = None
-    for k, v in labels.items():
-        expr = F.when(c == k, F.lit(v)) if expr is None else expr.when(c == k, F.lit(v))
-    return expr

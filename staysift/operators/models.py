@@ -75,9 +75,12 @@ def forest(
     num_trees: int = 100, max_depth: int = 20, seed: int = 42, min_leaf: int = 1,
     feature_subset: str = "all", features: str = "features", label: str = "label",
 ) -> RandomForestRegressor:
-    """Random forest; every split considers all features by default."""
+    """Random forest; every split considers all features by default. Trees deeper than
+    Spark's limit of 30 are an error, not another model."""
+    if max_depth > 30:
+        raise ValueError(f"max_depth {max_depth} is over Spark's limit of 30")
     return RandomForestRegressor(
-        featuresCol=features, labelCol=label, numTrees=num_trees, maxDepth=min(max_depth, 30),
+        featuresCol=features, labelCol=label, numTrees=num_trees, maxDepth=max_depth,
         minInstancesPerNode=min_leaf, featureSubsetStrategy=feature_subset, seed=seed,
     )
 
@@ -149,11 +152,11 @@ def metrics_by_bucket(scored: DataFrame, bucket: Column | str, label: str = "lab
 
 
 def coefficient(model, feature_names: Sequence[str], feature: str) -> float:
-    """Coefficient of a named feature; unknown names raise with the list."""
-    names = list(feature_names)
-    if feature not in names:
-        raise KeyError(f"Feature {feature!r} not found. Present: {names}")
-    return float(model.coefficients[names.index(feature)])
+    """Coefficient of a named feature; an unknown name is an error."""
+    by_name = dict(zip(feature_names, model.coefficients.toArray(), strict=True))
+    if feature not in by_name:
+        raise KeyError(f"the model has no feature {feature!r}; it has {', '.join(by_name)}")
+    return float(by_name[feature])
 
 
 def feature_importance(model, feature_names: Sequence[str], spark) -> DataFrame:
@@ -218,6 +221,9 @@ def train_regressor(
         maps = sample_param_maps(est, grid, draws if n_draw is not None else 10**9, seed)
         cv = cross_validate(est, maps, folds, seed, parallelism).fit(train)
         chosen = best_params(cv)
+        if name == "ridge":  # back from Spark's scale to alpha
+            sd, n = label_scale(train)
+            chosen = {"alpha": chosen["regParam"] * n / sd}
         model = cv.bestModel
     else:
         model = est.fit(train)

@@ -6,14 +6,18 @@ pinv(X'X) (X with the intercept column). So a permuted fit is one distributed do
 product, and the only driver-side step is the pseudo-inverse of X'X, whose size
 is bounded by the feature count (the one-hot caps), not by the rows.
 
-Permutations are seeded orders: in permutation m, the row at rank k of the
-order key_m (an affine hash of the row's md5, see ``permutation_test``) receives
-the label of the row at rank k of the base md5 order. All ranks come from
-``ranking.rows_before`` (bucketed), never a global window.
+Rows are numbered once, in the order of a seeded md5 (bucketed ranks, no global
+window). Permutation m then is arithmetic: row k receives the label of row
+``(a_m * k + b_m) mod p``, with p the next prime, applied again while that is not a row
+number. Such maps are bijections, and on p rows they move every pair of rows to every
+pair of places equally often, so the null distribution has the mean and the variance of
+uniform permutations. Each permutation costs one equi-join on the row number.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -23,11 +27,37 @@ from pyspark.sql import functions as F
 
 from staysift.operators.ranking import HASH_BITS, hash_key, hash_number, rows_before
 from staysift.operators.stats import null_summary
-from staysift.session import materialize
+from staysift.session import written
 
-# Labels table is broadcast to the permutation rows up to this many rows.
+# Labels (16 bytes a row) are broadcast to the permutation rows up to this many rows.
 LABEL_BROADCAST_MAX_ROWS = 2_000_000
-PERM_PRIME = 2_147_483_647  # 2^31 - 1
+
+
+def next_prime(n: int) -> int:
+    """The smallest prime that is at least ``n``."""
+    while n < 2 or any(n % d == 0 for d in range(2, math.isqrt(n) + 1)):
+        n += 1
+    return n
+
+
+def affine_map(seed: int | str, m: int, prime: int) -> tuple[int, int]:
+    """Multiplier (1 to p - 1) and offset (0 to p - 1) of permutation ``m``."""
+    number = lambda part: int(hashlib.md5(f"{seed}|{m}|{part}".encode()).hexdigest()[:15], 16)
+    return number("a") % (prime - 1) + 1, number("b") % prime
+
+
+def permuted_index(k: str, a: str, b: str, n: int, prime: int) -> F.Column:
+    """``(a * k + b) mod prime``, applied again while the result is ``n`` or more (at most
+    ``prime - n`` times: the numbers from ``n`` on are that many)."""
+    kind = "bigint" if prime < 3_000_000_000 else "decimal(38,0)"  # the product must fit
+    step = lambda x: ((F.col(a).cast(kind) * x.cast(kind) + F.col(b).cast(kind)) % F.lit(prime).cast(kind)).cast("bigint")
+    first = step(F.col(k))
+    if prime == n:
+        return first
+    walk = F.aggregate(
+        F.sequence(F.lit(1), F.lit(prime - n)), first, lambda x, _: F.when(x < n, x).otherwise(step(x))
+    )
+    return F.when(first < n, first).otherwise(walk)
 
 
 def _nonzeros(features: str) -> F.Column:
@@ -63,7 +93,7 @@ def coefficient_weights(
     out = df.withColumn("__nz", _nonzeros(features))
     for f in tested:
         if f not in names:
-            raise KeyError(f"Feature {f!r} not found. Present: {names}")
+            raise KeyError(f"the model has no feature {f!r}; it has {', '.join(names)}")
         row = pinv[names.index(f) + 1]
         lit = F.array(*[F.lit(float(v)) for v in row])
         w = F.aggregate("__nz", F.lit(0.0), lambda acc, s: acc + s["x"] * F.element_at(lit, s["i"] + 1))
@@ -87,18 +117,14 @@ def permutation_test(
     batches of ``batch_size`` (``None``: all in one plan)."""
     weighted = coefficient_weights(df, feature_names, tested, features)
     wcols = [f"w_{f}" for f in tested]
-    # one md5 per row yields four 31-bit numbers; permutation m orders rows by
-    # ((a1 + b1*m) mod P) * 2^31 + ((a2 + b2*m) mod P), a pairwise-independent
-    # family, so the n * n_permutations exploded rows need no hashing at all
-    h = hash_key(key_cols, seed)
-    chunk = lambda i: F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("bigint")
-    # reused by four jobs below: cut the lineage once (shared checkpoint folder)
-    base = materialize(weighted.select(
-        *key_cols, F.col(label).cast("double").alias("__y"), *wcols,
-        hash_number(h).alias("__hn"),
-        (chunk(0) % PERM_PRIME).alias("__a1"), (chunk(1) % (PERM_PRIME - 1) + 1).alias("__b1"),
-        (chunk(2) % PERM_PRIME).alias("__a2"), (chunk(3) % (PERM_PRIME - 1) + 1).alias("__b2"),
-    ))
+    hashed = weighted.select(
+        *key_cols, F.col(label).cast("double").alias("__y"), *wcols, hash_number(hash_key(key_cols, seed)).alias("__hn")
+    )
+    # rows are numbered once, in the order of their hash (the row key breaks ties)
+    numbered = rows_before(hashed, ["__hn", *key_cols], (), None, out_col="__k", uniform_bits=HASH_BITS)
+    base = written(numbered.select("__k", "__y", *wcols), "permutation-base")
+    n_rows = base.count()
+    prime = next_prime(max(n_rows, 2))
 
     observed = base.select(
         F.explode(F.array(*[
@@ -106,28 +132,21 @@ def permutation_test(
         ])).alias("r")
     ).groupBy("r.feature").agg(F.sum("r.c").alias("coef"))
 
-    # base order: rank of each row by hash(key, seed) -> labels by position
-    # base order: rank by the row hash; only numbers travel through the
-    # shuffles and the row key breaks (astronomically rare) ties
-    labels = rows_before(base, ["__hn", *key_cols], (), None, out_col="__k", uniform_bits=HASH_BITS).select("__k", "__y")
-
-    n_rows = base.count()
+    labels = base.select(F.col("__k").alias("__at"), "__y")
     lab = F.broadcast(labels) if n_rows <= LABEL_BROADCAST_MAX_ROWS else labels
 
     def null_coefficients(first: int, last: int) -> DataFrame:
         """Coefficients under permutations first..last (one row per perm and feature)."""
-        m = F.col("perm").cast("bigint")
-        perms = base.select(
-            *key_cols, *wcols, "__a1", "__b1", "__a2", "__b2",
-            F.explode(F.sequence(F.lit(first), F.lit(last))).alias("perm"),
+        maps = [affine_map(seed, m, prime) for m in range(first, last + 1)]
+        each = F.explode(F.array(*[
+            F.struct(F.lit(m).alias("perm"), F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
+            for m, (a, b) in enumerate(maps, start=first)
+        ])).alias("m")
+        perms = base.select("__k", *wcols, each)
+        moved = perms.select("m.perm", *wcols, permuted_index("__k", "m.a", "m.b", n_rows, prime).alias("__at"))
+        nulls = moved.join(lab, "__at").groupBy("perm").agg(
+            *[F.sum(F.col(f"w_{f}") * F.col("__y")).alias(f) for f in tested]
         )
-        key = ((F.col("__a1") + F.col("__b1") * m) % PERM_PRIME) * F.lit(2**31) + (
-            F.col("__a2") + F.col("__b2") * m
-        ) % PERM_PRIME
-        ph = perms.select(*key_cols, *wcols, "perm", key.alias("__pk"))
-        ranked = rows_before(ph, ["__pk", *key_cols], ["perm"], None, out_col="__k", uniform_bits=62)
-        paired = ranked.join(lab, "__k", "inner")
-        nulls = paired.groupBy("perm").agg(*[F.sum(F.col(f"w_{f}") * F.col("__y")).alias(f) for f in tested])
         return nulls.select(
             "perm",
             F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("coef")) for f in tested])).alias("r"),

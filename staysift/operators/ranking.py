@@ -104,27 +104,3 @@ def rows_before(
     ranked, _ = bucketed_prefix(df, order_cols, group_cols, weight, buckets, out_col, uniform_bits)
     return ranked.drop("__b")
 
-
-def first_k_flag(
-    df: DataFrame,
-    order_cols: Sequence[str],
-    k: Column,
-    group_cols: Sequence[str] = (),
-    buckets: int = DEFAULT_BUCKETS,
-    out_col: str = "__in_first_k",
-) -> DataFrame:
-    """Flag rows among the first ``k`` of their group (``k`` may be a column
-    carried on each row, e.g. a per-class quota)."""
-    ranked = rows_before(df, order_cols, group_cols, None, buckets, "__rank", HASH_BITS)
-    return ranked.withColumn(out_col, F.col("__rank") < k).drop("__rank")
-
-
-def ordinal(
-    df: DataFrame,
-    order_cols: Sequence[str],
-    group_cols: Sequence[str] = (),
-    buckets: int = DEFAULT_BUCKETS,
-    out_col: str = "__ord",
-) -> DataFrame:
-    """Exact 0-based position of each row within its group."""
-    return rows_before(df, order_cols, group_cols, None, buckets, out_col, HASH_BITS)

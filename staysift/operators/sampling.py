@@ -32,11 +32,6 @@ def exact_sample(df: DataFrame, n: int, key_cols: Sequence[str], seed: int = 42)
     return ranked.where(F.col("__rank") < n).drop("__h", "__hn", "__rank")
 
 
-def approx_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Bernoulli sample (size varies around ``fraction``)."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-
-
 def class_count(df: DataFrame, label: str) -> int:
     """Distinct non-NULL labels (the stratification gate)."""
     return df.agg(F.countDistinct(label).alias("k")).first().k

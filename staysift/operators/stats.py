@@ -177,8 +177,14 @@ def ols_simple(df: DataFrame, x: str, y: str) -> DataFrame:
 BOOT_PRIME = 2_147_483_647  # 2^31 - 1
 
 
-def _poisson1_from_uniform(u: Column, kmax: int = 12) -> Column:
-    """Inverse CDF of Poisson(1) on a uniform in [0, 1) (thresholds by rule)."""
+def _poisson1_from_uniform(u: Column, grid: int = BOOT_PRIME) -> Column:
+    """Inverse CDF of Poisson(1) on a uniform grid in [0, 1). Thresholds end where the
+    remaining tail is below one step of the grid: no draw can lie beyond."""
+    kmax, rest, term = 0, 1.0 - math.exp(-1.0), math.exp(-1.0)
+    while rest * grid >= 1.0:
+        kmax += 1
+        term /= kmax
+        rest -= term
     cdf = 0.0
     term = math.exp(-1.0)
     expr = None

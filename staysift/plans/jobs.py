@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from staysift.operators.enrich import attach_population, clean_gazetteer, clean_listings
 from staysift.operators.lookup import iso_country_dim
 from staysift.operators.schema import JOINED_TABLE_STEM, finalize_joined
+from staysift.session import spread
 
 
 @dataclass
@@ -41,7 +42,7 @@ def clean_and_join(
 
     The result is lazy; nothing runs until a sink or an action.
     """
-    listings = clean_listings(listings_raw, country_dim)
+    listings = clean_listings(spread(listings_raw), country_dim)
     gazetteer = clean_gazetteer(gazetteer_raw, country_dim)
     return CleanResult(listings, gazetteer, also_join, dict(join_kwargs))
 
@@ -58,20 +59,24 @@ def run_cleaning(
     listings_encoding: str | None = None,
     gazetteer_encoding: str = "UTF-8",
     country_dim: DataFrame | None = None,
+    multi_line: bool = True,
+    malformed: str = "keep",
 ) -> dict[str, str]:
     """Read both CSVs, clean, write ``hotels_clean``, ``world_cities_clean`` and
     (optionally) the joined table; returns the written paths.
 
     The cleaned gazetteer is written first and read back for the join, so the
     join plans from a materialised, counted table (no recomputation of the
-    dedupe, lineage cut at a shared location).
+    dedupe, lineage cut at a shared location). ``multi_line`` and ``malformed`` go to
+    the listings reader: line breaks inside quoted values, rows of another width.
     """
     from staysift.sources.readers import read_gazetteer_csv, read_listings_csv
     from staysift.sources.sinks import write_table
 
     dim = country_dim if country_dim is not None else iso_country_dim(spark)
     world = read_gazetteer_csv(spark, gazetteer_path, encoding=gazetteer_encoding, limit=gazetteer_limit)
-    hotels = read_listings_csv(spark, listings_path, encoding=listings_encoding, limit=listings_limit)
+    hotels = read_listings_csv(spark, listings_path, encoding=listings_encoding, limit=listings_limit,
+                               multi_line=multi_line, malformed=malformed)
     result = clean_and_join(hotels, world, dim, also_join=False)
 
     written: dict[str, str] = {}

@@ -224,3 +224,47 @@ def with_base(body: str, joined: bool = True) -> str:
     if joined:
         ctes.append(f"joined AS ({JOINED_SELECT})")
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+
+def normal_p(z: str) -> str:
+    """Two-sided normal p-value: the density integrated from |z| over 12 deviations by
+    Simpson's rule in 6000 steps (a scalar subquery of the row that holds ``z``)."""
+    return f"""(SELECT least(1.0, 2 * sum(CASE WHEN g.i IN (0, 6000) THEN 1 WHEN g.i % 2 = 1 THEN 4 ELSE 2 END
+          * exp(-pow(abs({z}) + g.i * 0.002, 2) / 2)) * 0.002 / 3 / sqrt(2 * pi())) FROM range(0, 6001) g(i))"""
+
+
+def t_p(t: str, dof: str) -> str:
+    """As :func:`normal_p` for Student's t with ``dof`` (many) degrees of freedom."""
+    return f"""(SELECT least(1.0, 2 * sum(CASE WHEN g.i IN (0, 6000) THEN 1 WHEN g.i % 2 = 1 THEN 4 ELSE 2 END
+          * exp(-({dof} + 1) / 2.0 * ln(1 + pow(abs({t}) + g.i * 0.002, 2) / {dof}))) * 0.002 / 3) FROM range(0, 6001) g(i))
+          * exp(lgamma(({dof} + 1) / 2.0) - lgamma({dof} / 2.0)) / sqrt({dof} * pi())"""
+
+
+def p_label(p: str) -> str:
+    return (f"CASE WHEN {p} < 0.01 THEN 'strong evidence against null' "
+            f"WHEN {p} < 0.05 THEN 'moderate evidence against null' ELSE 'no significant evidence' END")
+
+
+def d_label(d: str) -> str:
+    return (f"CASE WHEN abs({d}) < 0.2 THEN 'negligible' WHEN abs({d}) < 0.5 THEN 'small' "
+            f"WHEN abs({d}) < 0.8 THEN 'medium' ELSE 'large' END")
+
+
+def cohens_d_value(src: str, v: str, high: str) -> str:
+    """Cohen's d (high minus low) as a one-row query with the column ``d``."""
+    hi, lo = f"CASE WHEN {high} THEN {v} END", f"CASE WHEN NOT ({high}) THEN {v} END"
+    return f"""SELECT (avg({hi}) - avg({lo})) / sqrt(((count({hi}) - 1) * var_samp({hi}) + (count({lo}) - 1) * var_samp({lo}))
+        / (count({hi}) + count({lo}) - 2)) AS d FROM {src}"""
+
+
+def mann_whitney_value(src: str, v: str, high: str) -> str:
+    """U of the high sample and z (ties and continuity corrected): columns ``u1``, ``z``."""
+    return f"""SELECT u1, (greatest(u1, n1 * n2 - u1) - n1 * n2 / 2.0 - 0.5)
+          / sqrt(n1 * n2 / 12.0 * ((n1 + n2 + 1) - tie / ((n1 + n2) * (n1 + n2 - 1)))) AS z
+      FROM (SELECT *, r1 - n1 * (n1 + 1) / 2.0 AS u1 FROM (
+        SELECT CAST(sum(nh) AS DOUBLE) AS n1, CAST(sum(cnt - nh) AS DOUBLE) AS n2,
+               sum(nh * (before + (cnt + 1) / 2.0)) AS r1, sum(CAST(cnt AS DOUBLE) * cnt * cnt - cnt) AS tie
+        FROM (SELECT *, sum(cnt) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - cnt AS before
+              FROM (SELECT CAST({v} AS DOUBLE) AS v, sum(CASE WHEN {high} THEN 1 ELSE 0 END) AS nh, count(*) AS cnt
+                    FROM {src} WHERE {v} IS NOT NULL AND ({high}) IS NOT NULL GROUP BY 1))))"""

@@ -186,15 +186,18 @@ def _explore() -> dict[str, str]:
     q["mann_whitney"] = f"""WITH c AS (
         SELECT CAST(value AS DOUBLE) AS v, sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS nh,
                sum(CASE WHEN event_type = 'click' THEN 0 ELSE 1 END) AS nl, count(*) AS cnt
-        FROM events WHERE event_type IN ('click', 'purchase') AND value IS NOT NULL GROUP BY 1),
+        FROM events WHERE event_type IS NOT NULL AND value IS NOT NULL GROUP BY 1),
       r AS (SELECT *, sum(cnt) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - cnt AS before FROM c),
       a AS (SELECT CAST(sum(nh) AS DOUBLE) AS n1, CAST(sum(nl) AS DOUBLE) AS n2,
                    sum(nh * (before + (cnt + 1) / 2.0)) AS r1,
                    sum(CAST(cnt AS DOUBLE) * cnt * cnt - cnt) AS tie FROM r),
-      u AS (SELECT *, r1 - n1 * (n1 + 1) / 2.0 AS u1 FROM a)
+      u AS (SELECT *, r1 - n1 * (n1 + 1) / 2.0 AS u1 FROM a),
+      s AS (SELECT *, (greatest(u1, n1 * n2 - u1) - n1 * n2 / 2.0 - 0.5)
+          / sqrt(n1 * n2 / 12.0 * ((n1 + n2 + 1) - tie / ((n1 + n2) * (n1 + n2 - 1)))) AS z FROM u),
+      p AS (SELECT *, {O.normal_p('s.z')} AS p_value FROM s)
       SELECT CAST(n1 AS BIGINT) AS n_high, CAST(n2 AS BIGINT) AS n_low, {O.rnd('u1')} AS u_statistic,
-        {O.rnd('(greatest(u1, n1 * n2 - u1) - n1 * n2 / 2.0 - 0.5) / sqrt(n1 * n2 / 12.0 * ((n1 + n2 + 1) - tie / ((n1 + n2) * (n1 + n2 - 1))))')} AS z
-      FROM u"""
+        {O.rnd('z')} AS z, {O.rnd('p_value')} AS p_value, {O.p_label('p_value')} AS interpretation
+      FROM p"""
     q["ols_simple"] = f"""SELECT n, {O.rnd('b')} AS coefficient, {O.rnd('a')} AS intercept, {O.rnd('r2')} AS r_squared,
         {O.rnd('b / sqrt((1 - r2) * syy / (n - 2) / sxx)')} AS t
       FROM (SELECT CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n,
@@ -269,15 +272,18 @@ def _models() -> dict[str, str]:
       w AS (SELECT r.o_orderkey, r.y, r.r1 / ss.s1 AS w1, r.r2 / ss.s2 AS w2 FROM r, ss),
       obs AS (SELECT sum(w1 * y) AS c1, sum(w2 * y) AS c2 FROM w),
       base AS (SELECT y, row_number() OVER (ORDER BY md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), '42'))) - 1 AS k FROM w),
-      hk AS (SELECT w.*, md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), '42')) AS h FROM w),
-      ab AS (SELECT o_orderkey, w1, w2, ('0x' || substr(h, 1, 8))::BIGINT % 2147483647 AS a1,
-                    ('0x' || substr(h, 9, 8))::BIGINT % 2147483646 + 1 AS b1,
-                    ('0x' || substr(h, 17, 8))::BIGINT % 2147483647 AS a2,
-                    ('0x' || substr(h, 25, 8))::BIGINT % 2147483646 + 1 AS b2 FROM hk),
-      p AS (SELECT ab.*, g.perm FROM ab, range(50) g(perm)),
-      pr AS (SELECT perm, w1, w2, row_number() OVER (PARTITION BY perm ORDER BY
-               ((a1 + b1 * perm) % 2147483647) * 2147483648 + (a2 + b2 * perm) % 2147483647, o_orderkey) - 1 AS k
-             FROM p),
+      num AS (SELECT w1, w2, row_number() OVER (ORDER BY md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), '42'))) - 1 AS k FROM w),
+      n AS (SELECT count(*) AS n FROM w),
+      pp AS (SELECT min(c) AS p FROM n, (SELECT unnest(range((SELECT count(*) FROM w), (SELECT count(*) + 2000 FROM w))) AS c)
+             WHERE NOT EXISTS (SELECT 1 FROM range(2, 20000) d(d) WHERE d * d <= c AND c % d = 0)),
+      co AS (SELECT perm, p, n, ('0x' || substr(md5('42|' || perm || '|a'), 1, 15))::BIGINT % (p - 1) + 1 AS a,
+               ('0x' || substr(md5('42|' || perm || '|b'), 1, 15))::BIGINT % p AS b FROM pp, n, range(400) g(perm)),
+      s1 AS (SELECT c.*, w1, w2, (a * k + b) % p AS x FROM num, co c),
+      s2 AS (SELECT * REPLACE (CASE WHEN x < n THEN x ELSE (a * x + b) % p END AS x) FROM s1),
+      s3 AS (SELECT * REPLACE (CASE WHEN x < n THEN x ELSE (a * x + b) % p END AS x) FROM s2),
+      s4 AS (SELECT * REPLACE (CASE WHEN x < n THEN x ELSE (a * x + b) % p END AS x) FROM s3),
+      s5 AS (SELECT * REPLACE (CASE WHEN x < n THEN x ELSE (a * x + b) % p END AS x) FROM s4),
+      pr AS (SELECT perm, w1, w2, x AS k FROM s5),
       nulls AS (SELECT perm, sum(pr.w1 * base.y) AS n1, sum(pr.w2 * base.y) AS n2 FROM pr JOIN base ON pr.k = base.k
                 GROUP BY perm)
       SELECT 'f1' AS feature, {O.rnd('obs.c1')} AS observed_coefficient,
@@ -348,7 +354,7 @@ def _io() -> dict[str, str]:
     return q
 
 
-def _regplot_band_sql(n_boot: int = 100, grid: int = 50, seed: int = 42, level: float = 0.95) -> str:
+def _regplot_band_sql(n_boot: int = 1000, grid: int = 100, seed: int = 42, level: float = 0.95) -> str:
     """Poisson bootstrap band with the same hash-derived weights as Spark."""
     import math
 

@@ -23,7 +23,7 @@ from staysift.operators import enrich, explore, lookup, models, permutation, pro
 from staysift.operators import features as feat
 from staysift.plans import fixtures as fx
 from staysift.plans.jobs import clean_and_join
-from staysift.session import scratch_path
+from staysift.session import scratch_path, spread
 from staysift.sources import readers, sinks
 from staysift.streaming.enrich_stream import enrich_stream
 
@@ -47,6 +47,11 @@ def rnd(c: Column | str, digits: int = 6) -> Column:
     return F.when(special, c).otherwise(F.floor(c * scale + 0.5) / scale)
 
 
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw listings, dealt over all cores (the fixture's table is one split)."""
+    return spread(fx.listings_raw(spark, sf_dir))
+
+
 def _cleaned(spark: SparkSession, sf_dir: str):
     return clean_and_join(
         fx.listings_raw(spark, sf_dir), fx.gazetteer_raw(spark, sf_dir), fx.country_dim(spark, sf_dir)
@@ -73,14 +78,25 @@ def _code_signature() -> str:
     return h.hexdigest()[:12]
 
 
-def _input_signature(sf_dir: str, tables=("orders", "customer", "nation")) -> str:
-    parts = [os.path.abspath(sf_dir), _code_signature()]
+def _input_signature(spark: SparkSession, sf_dir: str, tables=("orders", "customer", "nation")) -> str:
+    """Hash of the code and of the inputs' length and modification time, as the Hadoop
+    file system that holds them reports it (a missing input is an error)."""
+    parts = [sf_dir.rstrip("/"), _code_signature()]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for t in tables:
-        p = os.path.join(sf_dir, f"{t}.parquet")
-        parts.append(f"{t}:{os.path.getmtime(p) if os.path.exists(p) else 0}:{os.path.getsize(p) if os.path.exists(p) else 0}")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        fs = path.getFileSystem(conf)
+        size = fs.getContentSummary(path).getLength()
+        parts.append(f"{t}:{fs.getFileStatus(path).getModificationTime()}:{size}")
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
+def _is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a written table was committed (a half-written folder has no marker)."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def written_joined_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined table as the cleaning job writes it: computed once per input
     set, written as Parquet under the shared checkpoint folder, then read back
@@ -88,12 +104,10 @@ def written_joined_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table). Reading cuts the cleaning lineage out of the analysis plans."""
     from staysift.session import scratch_path
 
-    path = scratch_path(spark, f"joined-{_input_signature(sf_dir)}")
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - not written yet
+    path = scratch_path(spark, f"joined-{_input_signature(spark, sf_dir)}")
+    if not _is_complete(spark, path):
         joined_table(spark, sf_dir).write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    return spark.read.parquet(path)
 
 
 # --- cleaning -----------------------------------------------------------------
@@ -126,7 +140,7 @@ def q_canonical_headers(spark, sf_dir):
 
 
 def q_star_label_parse(spark, sf_dir):
-    raw = fx.listings_raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     return raw.select(
         "HotelCode",
         "HotelRating",
@@ -136,7 +150,7 @@ def q_star_label_parse(spark, sf_dir):
 
 
 def q_lat_lon_parse(spark, sf_dir):
-    raw = fx.listings_raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     lat, lon = X.lat_lon("Map")
     lat2, lon2 = X.lat_lon_loose("Map")
     return raw.select(
@@ -150,20 +164,20 @@ def q_lat_lon_parse(spark, sf_dir):
 
 def q_city_join_key(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents")
-    raw = fx.listings_raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     a = docs.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), X.city_join_key("text").alias("city_key"))
     b = raw.select(F.concat(F.lit("h"), F.col("HotelCode")).alias("id"), X.city_join_key("cityName").alias("city_key"))
     return a.unionByName(b)
 
 
 def q_poi_count(spark, sf_dir):
-    raw = fx.listings_raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     return raw.select("HotelCode", X.attractions_count("Attractions").alias("attractions_count"))
 
 
 def q_facility_tokens(spark, sf_dir):
     pages = fx.table(spark, sf_dir, "pages")
-    raw = fx.listings_raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     a = pages.select(
         F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("id"),
         X.facility_token_count("html").alias("facility_tokens"),
@@ -179,7 +193,7 @@ def q_facility_tokens(spark, sf_dir):
 
 def q_keyword_hits(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents")
-    raw = fx.listings_raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     a = docs.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), X.keyword_hits("text").alias("hits"))
     b = raw.select(F.concat(F.lit("h"), F.col("HotelCode")).alias("id"), X.keyword_hits("HotelFacilities").alias("hits"))
     return a.unionByName(b)
@@ -199,7 +213,7 @@ def q_text_length_flag(spark, sf_dir):
 
 
 def q_country_lookup(spark, sf_dir):
-    raw = fx.listings_raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     dim = fx.country_dim(spark, sf_dir)
     out = lookup.iso2_lookup(raw, "countyCode", "countyName", "country_iso2", dim)
     out = lookup.iso2_lookup(out, "countyCode", None, "iso2_from_code", dim)
@@ -377,9 +391,11 @@ def q_cohens_d(spark, sf_dir):
 
 
 def q_mann_whitney(spark, sf_dir):
-    ev = fx.table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "purchase"))
-    out = stats.mann_whitney(ev, "value", F.col("event_type") == "click")
-    return _round_cols(out.select("n_high", "n_low", "u_statistic", "z"), ["u_statistic", "z"])
+    """Values of click events against those of all other events."""
+    out = stats.mann_whitney(fx.table(spark, sf_dir, "events"), "value", F.col("event_type") == "click")
+    out = out.withColumn("interpretation", X.p_value_label("p_value"))
+    return _round_cols(
+        out.select("n_high", "n_low", "u_statistic", "z", "p_value", "interpretation"), ["u_statistic", "z", "p_value"])
 
 
 def q_ols_simple(spark, sf_dir):
@@ -391,7 +407,7 @@ def q_ols_simple(spark, sf_dir):
 
 def q_regplot_band(spark, sf_dir):
     j = written_joined_table(spark, sf_dir).where(F.col("hotel_star_rating").isNotNull())
-    out = stats.regression_band(j, "facilities_count", "hotel_star_rating", ["HotelCode"], n_boot=100, grid=50)
+    out = stats.regression_band(j, "facilities_count", "hotel_star_rating", ["HotelCode"], n_boot=1000, grid=100)
     return _round_cols(out, ["x", "fit", "band_low", "band_high"])
 
 
@@ -544,7 +560,7 @@ def q_feature_matrix(spark, sf_dir):
 
 def _run(spark, sf_dir, name, params=None, tune=False, draws=4):
     fm = _matrices(spark, sf_dir)
-    train, test = fm.train.cache(), fm.test.cache()
+    train, test = fm.train, fm.test
     return models.train_regressor(train, test, name, params, tune, folds=3, draws=draws, seed=42), fm
 
 
@@ -558,7 +574,7 @@ def _metrics_frame(spark, run):
 
 
 def q_forest_fit(spark, sf_dir):
-    run, _ = _run(spark, sf_dir, "rf", {"n_estimators": 30, "max_depth": 8})
+    run, _ = _run(spark, sf_dir, "rf", {"n_estimators": 100, "max_depth": 20})
     return _metrics_frame(spark, run)
 
 
@@ -573,13 +589,13 @@ def q_tuned_ridge(spark, sf_dir):
 
 
 def q_random_search(spark, sf_dir):
-    run, _ = _run(spark, sf_dir, "lasso", tune=True, draws=4)
+    run, _ = _run(spark, sf_dir, "lasso", tune=True, draws=12)
     return _metrics_frame(spark, run)
 
 
 def q_model_comparison(spark, sf_dir):
     fm = _matrices(spark, sf_dir)
-    train, test = fm.train.cache(), fm.test.cache()
+    train, test = fm.train, fm.test
     runs = [
         models.train_regressor(train, test, "linear"),
         models.train_regressor(train, test, "ridge", {"alpha": 10.0}),
@@ -597,7 +613,7 @@ def q_feature_importance(spark, sf_dir):
 def q_permutation_test(spark, sf_dir):
     df = _sql_fixture(spark, sf_dir, PERM_FIXTURE, ("orders",))
     data = VectorAssembler(inputCols=["f1", "f2"], outputCol="features").transform(df).withColumnRenamed("y", "label")
-    out = permutation.permutation_test(data, ["o_orderkey"], ["f1", "f2"], ["f1", "f2"], n_permutations=50, seed=42)
+    out = permutation.permutation_test(data, ["o_orderkey"], ["f1", "f2"], ["f1", "f2"], n_permutations=400, seed=42)
     out = out.select("feature", "observed_coefficient", "empirical_p_value_two_sided", "null_mean", "null_std",
                      "n_permutations")
     return _round_cols(out, ["observed_coefficient", "empirical_p_value_two_sided", "null_mean", "null_std"])
@@ -607,7 +623,7 @@ def q_listing_permutation_test(spark, sf_dir):
     fm = _matrices(spark, sf_dir)
     out = permutation.permutation_test(
         fm.train, ["HotelCode"], fm.prep.feature_names, ["city_population", "attractions_count"],
-        n_permutations=40, seed=42,
+        n_permutations=400, seed=42,
     )
     return out.select("feature", "observed_coefficient", "empirical_p_value_two_sided", "null_mean", "null_std")
 
@@ -670,7 +686,7 @@ def q_null_safe_left_join_from(df):
 def q_expanded_features(spark, sf_dir):
     """Expanded-analysis features on the raw listings: strict stars, raw token
     count, description length, presence flag, loose coordinates."""
-    raw = fx.listings_raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     lat, lon = X.lat_lon_loose("Map")
     return raw.select(
         "HotelCode",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -95,3 +96,27 @@ def materialize(df, eager: bool = True):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def spread(df):
+    """Deal the rows over all cores when the input comes in fewer splits.
+
+    A gzip file, a multi-line CSV file or a Parquet file of one row group is a single
+    split, and the text expressions that follow would run in one task. Only a plan
+    without an exchange is looked at (asking it for its partitions runs nothing);
+    streams and anything with enough splits are returned as they are. Rows do not change.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def written(df, tag: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back: cuts
+    the lineage like a checkpoint, but keeps columns prunable and filters pushable."""
+    path = scratch_path(df.sparkSession, f"{tag}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -30,7 +30,9 @@ REPLACEMENT_CHAR = "\ufffd"
 FALLBACK_ENCODING = "ISO-8859-1"
 
 
-def _csv(spark: SparkSession, path: str, encoding: str, multi_line: bool) -> DataFrame:
+def _csv(spark: SparkSession, path: str, encoding: str, multi_line: bool, malformed: str = "keep") -> DataFrame:
+    if malformed not in ("keep", "fail"):
+        raise ValueError("malformed must be 'keep' or 'fail'")
     return (
         spark.read.option("header", True)
         .option("encoding", encoding)
@@ -38,7 +40,7 @@ def _csv(spark: SparkSession, path: str, encoding: str, multi_line: bool) -> Dat
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", True)
         .option("inferSchema", False)
-        .option("mode", "PERMISSIVE")
+        .option("mode", "FAILFAST" if malformed == "fail" else "PERMISSIVE")
         .csv(path)
     )
 
@@ -77,6 +79,7 @@ def read_text_csv(
     encoding: str | None = None,
     multi_line: bool = False,
     fallback: str = "value",
+    malformed: str = "keep",
 ) -> DataFrame:
     """CSV with every column as text.
 
@@ -90,16 +93,18 @@ def read_text_csv(
     * ``fallback="file"``: read as UTF-8 and, if any value failed to decode,
       re-read the whole input as ISO-8859-1 (two passes over a clean input).
 
-    ``multi_line=True`` is needed only for quoted fields with line breaks; it
-    makes each file a single split, so keep it off for large inputs.
+    ``multi_line=True`` keeps quoted fields with line breaks whole; it makes each
+    file a single split, so large inputs should come as many files. A row with too
+    few or too many fields is padded or cut (``malformed="keep"``) or an error
+    (``malformed="fail"``).
     """
     if encoding is not None:
-        return _csv(spark, path, encoding, multi_line)
+        return _csv(spark, path, encoding, multi_line, malformed)
     if fallback == "value":
-        return redecode_utf8(_csv(spark, path, FALLBACK_ENCODING, multi_line))
-    df = _csv(spark, path, "UTF-8", multi_line)
+        return redecode_utf8(_csv(spark, path, FALLBACK_ENCODING, multi_line, malformed))
+    df = _csv(spark, path, "UTF-8", multi_line, malformed)
     if has_decode_errors(df):
-        df = _csv(spark, path, FALLBACK_ENCODING, multi_line)
+        df = _csv(spark, path, FALLBACK_ENCODING, multi_line, malformed)
     return df
 
 
@@ -109,11 +114,16 @@ def read_listings_csv(
     encoding: str | None = None,
     columns: str = "cleaning",
     limit: int | None = None,
-    multi_line: bool = False,
+    multi_line: bool = True,
+    malformed: str = "keep",
 ) -> DataFrame:
     """Listings CSV: optional pruning to the cleaning columns, missing tokens
-    to NULL (except the country code: ``NA`` is Namibia), optional first-N."""
-    df = read_text_csv(spark, path, encoding, multi_line)
+    to NULL (except the country code: ``NA`` is Namibia), optional first-N.
+
+    Listings hold free text, so quoted line breaks are read as part of their value by
+    default. Each file is then one split: deliver a large input as many files, or pass
+    ``multi_line=False`` for one known to have no line breaks inside values."""
+    df = read_text_csv(spark, path, encoding, multi_line, malformed=malformed)
     if columns == "cleaning":
         df = keep_columns_by_key(df, LISTING_CLEANING_COLUMNS, LISTING_HEADER_ALIASES)
     df = strip_headers(df)
@@ -127,9 +137,10 @@ def read_gazetteer_csv(
     encoding: str = "UTF-8",
     columns: str = "cleaning",
     limit: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Gazetteer CSV; ``columns='cleaning'`` keeps Country, City, Population."""
-    df = read_text_csv(spark, path, encoding)
+    df = read_text_csv(spark, path, encoding, multi_line)
     if columns == "cleaning":
         df = keep_columns_by_key(df, GAZETTEER_KEEP_KEYS)
     df = null_missing_tokens(strip_headers(df), exclude=["Country"])
@@ -196,7 +207,7 @@ def read_datasets(
 
 def peek(spark: SparkSession, path: str, n: int = 5, encoding: str | None = None) -> DataFrame:
     """First ``n`` rows of a CSV."""
-    return read_text_csv(spark, path, encoding).limit(n)
+    return read_text_csv(spark, path, encoding, multi_line=True).limit(n)
 
 
 def head_lines(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
@@ -212,7 +223,7 @@ def read_run_metrics(spark: SparkSession, pattern: str) -> DataFrame:
 
 def read_expanded_source(spark: SparkSession, path: str) -> DataFrame:
     """All listing columns, ISO-8859-1, stripped headers (expanded analysis)."""
-    return strip_headers(read_text_csv(spark, path, FALLBACK_ENCODING))
+    return strip_headers(read_text_csv(spark, path, FALLBACK_ENCODING, multi_line=True))
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:
