@@ -14,6 +14,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from staysift.session import spread
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -119,11 +121,10 @@ JOIN ({COUNTRY_DIM_SQL}) d ON c.c_nationkey = d.nationkey
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = TABLES) -> None:
-    """Register each driver parquet table as a temp view of the same name."""
+    """Register each driver parquet table as a temp view of the same name (a missing
+    table is an error, so no view of another folder can answer instead)."""
     for name in names:
-        path = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(path):
-            spark.read.parquet(path).createOrReplaceTempView(name)
+        table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -131,7 +132,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fixture(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    register_tables(spark, sf_dir, ("nation", "customer", "orders"))
+    """``sql`` over the driver tables. Each order becomes a listing with text to parse, so
+    the orders are dealt over all cores where their file is one split."""
+    register_tables(spark, sf_dir, ("nation", "customer"))
+    spread(table(spark, sf_dir, "orders")).createOrReplaceTempView("orders")
     return spark.sql(sql)
 
 

@@ -236,9 +236,9 @@ def normal_p(z: str) -> str:
 
 def t_p(t: str, dof: str) -> str:
     """As :func:`normal_p` for Student's t with ``dof`` (many) degrees of freedom."""
-    return f"""(SELECT least(1.0, 2 * sum(CASE WHEN g.i IN (0, 6000) THEN 1 WHEN g.i % 2 = 1 THEN 4 ELSE 2 END
-          * exp(-({dof} + 1) / 2.0 * ln(1 + pow(abs({t}) + g.i * 0.002, 2) / {dof}))) * 0.002 / 3) FROM range(0, 6001) g(i))
-          * exp(lgamma(({dof} + 1) / 2.0) - lgamma({dof} / 2.0)) / sqrt({dof} * pi())"""
+    area = f"""(SELECT 2 * sum(CASE WHEN g.i IN (0, 6000) THEN 1 WHEN g.i % 2 = 1 THEN 4 ELSE 2 END
+          * exp(-({dof} + 1) / 2.0 * ln(1 + pow(abs({t}) + g.i * 0.002, 2) / {dof}))) * 0.002 / 3 FROM range(0, 6001) g(i))"""
+    return f"least(1.0, {area} * exp(lgamma(({dof} + 1) / 2.0) - lgamma({dof} / 2.0)) / sqrt({dof} * pi()))"
 
 
 def p_label(p: str) -> str:

@@ -323,14 +323,29 @@ def _io() -> dict[str, str]:
         {O.rnd(lat2)} AS latitude, {O.rnd(lon2)} AS longitude
       FROM listings_raw"""
     fc = O.raw_tokens("HotelFacilities")
-    q["expanded_tests"] = _RAW + f"""SELECT {O.rnd('d')} AS cohens_d,
-        CASE WHEN abs(d) < 0.2 THEN 'negligible' WHEN abs(d) < 0.5 THEN 'small'
-             WHEN abs(d) < 0.8 THEN 'medium' ELSE 'large' END AS effect_size
-      FROM (SELECT (avg(CASE WHEN h THEN v END) - avg(CASE WHEN NOT h THEN v END)) / sqrt(
-              ((count(CASE WHEN h THEN v END) - 1) * var_samp(CASE WHEN h THEN v END)
-               + (count(CASE WHEN NOT h THEN v END) - 1) * var_samp(CASE WHEN NOT h THEN v END))
-              / (count(CASE WHEN h THEN v END) + count(CASE WHEN NOT h THEN v END) - 2)) AS d
-            FROM (SELECT {fc} AS v, Attractions IS NOT NULL AS h FROM listings_raw))"""
+    parts = []
+    for split, src, high in (("rating", "rated", "star >= 4"), ("attractions", "e", "info")):
+        d = O.cohens_d_value(src, "v", high)
+        parts.append(f"""SELECT 'cohens_d' AS test, '{split}' AS split, {O.rnd('d')} AS statistic,
+            CAST(NULL AS DOUBLE) AS p_value, {O.d_label('d')} AS interpretation FROM ({d})""")
+        m = O.mann_whitney_value(src, "v", high)
+        parts.append(f"""SELECT 'mann_whitney', '{split}', {O.rnd('u1')}, {O.rnd('p')}, {O.p_label('p')}
+            FROM (SELECT u1, {O.normal_p('m.z')} AS p FROM ({m}) m)""")
+    parts.append(f"""SELECT 'ols', 'rating', {O.rnd('b')}, {O.rnd('p')}, {O.p_label('p')}
+        FROM (SELECT b, {O.t_p('s.t', 's.dof')} AS p FROM (SELECT b, CAST(n AS DOUBLE) - 2 AS dof, b / sqrt((1 - r2) * syy / (n - 2) / sxx) AS t
+          FROM (SELECT regr_count(star, v) AS n, regr_slope(star, v) AS b, regr_r2(star, v) AS r2,
+                       regr_sxx(star, v) AS sxx, regr_syy(star, v) AS syy FROM e)) s)""")
+    q["expanded_tests"] = _RAW + f""", e AS (SELECT {fc} AS v, {O.strict_star('HotelRating')} AS star,
+          Attractions IS NOT NULL AS info FROM listings_raw), rated AS (SELECT * FROM e WHERE star IS NOT NULL)
+        """ + " UNION ALL ".join(parts)
+    parts = []
+    for x, y in (("l_tax", "l_discount"), ("l_linenumber", "l_quantity")):
+        parts.append(f"""SELECT '{x}' AS feature, CAST(n AS BIGINT) AS n, {O.rnd('t')} AS t, {O.rnd('p')} AS p_value,
+            {O.p_label('p')} AS interpretation FROM (SELECT n, t, {O.t_p('s.t', 's.dof')} AS p
+              FROM (SELECT n, CAST(n AS DOUBLE) - 2 AS dof, b / sqrt((1 - r2) * syy / (n - 2) / sxx) AS t
+                FROM (SELECT regr_count({y}, {x}) AS n, regr_slope({y}, {x}) AS b, regr_r2({y}, {x}) AS r2,
+                             regr_sxx({y}, {x}) AS sxx, regr_syy({y}, {x}) AS syy FROM lineitem)) s)""")
+    q["ols_p_value"] = " UNION ALL ".join(parts)
     q["regplot_band"] = _regplot_band_sql()
     share = "CAST(0.2 AS DOUBLE)"
     widths = " + ".join(
@@ -393,4 +408,7 @@ def all_oracles() -> dict[str, str]:
     out.update(_explore())
     out.update(_models())
     out.update(_io())
+    from staysift.plans.io_queries import oracles
+
+    out.update(oracles())
     return out

@@ -47,11 +47,6 @@ def rnd(c: Column | str, digits: int = 6) -> Column:
     return F.when(special, c).otherwise(F.floor(c * scale + 0.5) / scale)
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw listings, dealt over all cores (the fixture's table is one split)."""
-    return spread(fx.listings_raw(spark, sf_dir))
-
-
 def _cleaned(spark: SparkSession, sf_dir: str):
     return clean_and_join(
         fx.listings_raw(spark, sf_dir), fx.gazetteer_raw(spark, sf_dir), fx.country_dim(spark, sf_dir)
@@ -140,7 +135,7 @@ def q_canonical_headers(spark, sf_dir):
 
 
 def q_star_label_parse(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
+    raw = fx.listings_raw(spark, sf_dir)
     return raw.select(
         "HotelCode",
         "HotelRating",
@@ -150,7 +145,7 @@ def q_star_label_parse(spark, sf_dir):
 
 
 def q_lat_lon_parse(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
+    raw = fx.listings_raw(spark, sf_dir)
     lat, lon = X.lat_lon("Map")
     lat2, lon2 = X.lat_lon_loose("Map")
     return raw.select(
@@ -163,21 +158,21 @@ def q_lat_lon_parse(spark, sf_dir):
 
 
 def q_city_join_key(spark, sf_dir):
-    docs = fx.table(spark, sf_dir, "documents")
-    raw = _raw(spark, sf_dir)
+    docs = spread(fx.table(spark, sf_dir, "documents"))
+    raw = fx.listings_raw(spark, sf_dir)
     a = docs.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), X.city_join_key("text").alias("city_key"))
     b = raw.select(F.concat(F.lit("h"), F.col("HotelCode")).alias("id"), X.city_join_key("cityName").alias("city_key"))
     return a.unionByName(b)
 
 
 def q_poi_count(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
+    raw = fx.listings_raw(spark, sf_dir)
     return raw.select("HotelCode", X.attractions_count("Attractions").alias("attractions_count"))
 
 
 def q_facility_tokens(spark, sf_dir):
-    pages = fx.table(spark, sf_dir, "pages")
-    raw = _raw(spark, sf_dir)
+    pages = spread(fx.table(spark, sf_dir, "pages"))
+    raw = fx.listings_raw(spark, sf_dir)
     a = pages.select(
         F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("id"),
         X.facility_token_count("html").alias("facility_tokens"),
@@ -192,15 +187,15 @@ def q_facility_tokens(spark, sf_dir):
 
 
 def q_keyword_hits(spark, sf_dir):
-    docs = fx.table(spark, sf_dir, "documents")
-    raw = _raw(spark, sf_dir)
+    docs = spread(fx.table(spark, sf_dir, "documents"))
+    raw = fx.listings_raw(spark, sf_dir)
     a = docs.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), X.keyword_hits("text").alias("hits"))
     b = raw.select(F.concat(F.lit("h"), F.col("HotelCode")).alias("id"), X.keyword_hits("HotelFacilities").alias("hits"))
     return a.unionByName(b)
 
 
 def q_text_length_flag(spark, sf_dir):
-    docs = fx.table(spark, sf_dir, "documents")
+    docs = spread(fx.table(spark, sf_dir, "documents"))
     labels = fx.table(spark, sf_dir, "labels")
     j = docs.join(labels, "doc_id", "left")
     return j.select(
@@ -213,7 +208,7 @@ def q_text_length_flag(spark, sf_dir):
 
 
 def q_country_lookup(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
+    raw = fx.listings_raw(spark, sf_dir)
     dim = fx.country_dim(spark, sf_dir)
     out = lookup.iso2_lookup(raw, "countyCode", "countyName", "country_iso2", dim)
     out = lookup.iso2_lookup(out, "countyCode", None, "iso2_from_code", dim)
@@ -686,7 +681,7 @@ def q_null_safe_left_join_from(df):
 def q_expanded_features(spark, sf_dir):
     """Expanded-analysis features on the raw listings: strict stars, raw token
     count, description length, presence flag, loose coordinates."""
-    raw = _raw(spark, sf_dir)
+    raw = fx.listings_raw(spark, sf_dir)
     lat, lon = X.lat_lon_loose("Map")
     return raw.select(
         "HotelCode",
@@ -702,16 +697,53 @@ def q_expanded_features(spark, sf_dir):
 
 
 def q_expanded_tests(spark, sf_dir):
-    """Effect size and rank test of facility count, attractions info vs none."""
+    """All tests of facility count: effect size and rank test, high-rated (4 and up)
+    against the other rated listings and attractions info against none, and the simple
+    regression of the rating; each with its p-value (none for effect sizes) and label."""
     e = q_expanded_features(spark, sf_dir)
-    d = stats.cohens_d(e, "facility_count", F.col("has_attractions") == 1).select(
-        rnd("cohens_d").alias("cohens_d"), X.effect_size_label("cohens_d").alias("effect_size"))
-    return d
+    rated = e.where(F.col("hotel_star_rating").isNotNull())
+    null = F.lit(None).cast("double")
+    parts = []
+    for split, df, high in (
+        ("rating", rated, F.col("hotel_star_rating") >= 4),
+        ("attractions", e, F.col("has_attractions") == 1),
+    ):
+        d = stats.cohens_d(df, "facility_count", high)
+        parts.append(d.select(
+            F.lit("cohens_d").alias("test"), F.lit(split).alias("split"), rnd("cohens_d").alias("statistic"),
+            null.alias("p_value"), X.effect_size_label("cohens_d").alias("interpretation")))
+        m = stats.mann_whitney(df, "facility_count", high)
+        parts.append(m.select(
+            F.lit("mann_whitney"), F.lit(split), rnd("u_statistic"), rnd("p_value"), X.p_value_label("p_value")))
+    o = stats.ols_simple(e, "facility_count", "hotel_star_rating")
+    parts.append(o.select(
+        F.lit("ols"), F.lit("rating"), rnd("coefficient"), rnd("p_value"), X.p_value_label("p_value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
 
 
+def q_ols_p_value(spark, sf_dir):
+    """Simple regressions with weak slopes: t, p-value and label."""
+    li = fx.table(spark, sf_dir, "lineitem")
+    parts = []
+    for x, y in (("l_tax", "l_discount"), ("l_linenumber", "l_quantity")):
+        o = stats.ols_simple(li, x, y)
+        parts.append(o.select(F.lit(x).alias("feature"), "n", rnd("t").alias("t"), rnd("p_value").alias("p_value"),
+                              X.p_value_label("p_value").alias("interpretation")))
+    return parts[0].union(parts[1])
+
+
+REGISTRY["ols_p_value"] = q_ols_p_value
 REGISTRY.update({
     "csv_roundtrip": q_csv_roundtrip,
     "stream_enrich": q_stream_enrich,
     "expanded_features": q_expanded_features,
     "expanded_tests": q_expanded_tests,
 })
+
+
+from staysift.plans import io_queries  # noqa: E402
+
+REGISTRY.update(io_queries.REGISTRY)

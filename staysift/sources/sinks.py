@@ -65,5 +65,5 @@ def save_model_run(spark: SparkSession, run, out_dir: str, extra: dict[str, Any]
 
 def write_report(df: DataFrame, path: str) -> str:
     """A (small) result table as JSON lines."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.repartition(1).write.mode("overwrite").json(path)
     return path
