@@ -63,11 +63,11 @@ def ridge(alpha: float, label_sd: float, n: int, features: str = "features", lab
     )
 
 
-def lasso(alpha: float, features: str = "features", label: str = "label", max_iter: int = 10_000) -> LinearRegression:
+def lasso(alpha: float, features: str = "features", label: str = "label", max_iter: int = 10_000, tol: float = 1e-10) -> LinearRegression:
     """Lasso with the (1/2n) squared-loss convention: regParam = alpha."""
     return LinearRegression(
         featuresCol=features, labelCol=label, regParam=alpha, elasticNetParam=1.0,
-        standardization=False, maxIter=max_iter,
+        standardization=False, maxIter=max_iter, tol=tol,
     )
 
 

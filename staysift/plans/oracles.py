@@ -261,6 +261,18 @@ def _models() -> dict[str, str]:
           UNION ALL SELECT 'x1', {O.rnd('b1', digits)} FROM b
           UNION ALL SELECT 'x2', {O.rnd('b2', digits)} FROM b"""
 
+    # both coefficients stay non-zero at this penalty: the optimality conditions are the
+    # normal equations with the penalty times each sign taken off the right side
+    q["lasso_fit"] = f"""WITH f AS ({LINEAR_FIXTURE}),
+          s AS (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) AS a11, var_pop(x2) AS a22,
+                  covar_pop(x1, x2) AS a12, covar_pop(x1, y) AS c1, covar_pop(x2, y) AS c2 FROM f),
+          g AS (SELECT *, sign(c1 * a22 - a12 * c2) AS s1, sign(a11 * c2 - a12 * c1) AS s2 FROM s),
+          r AS (SELECT *, c1 - 0.001 * s1 AS r1, c2 - 0.001 * s2 AS r2 FROM g),
+          b AS (SELECT *, (r1 * a22 - a12 * r2) / (a11 * a22 - a12 * a12) AS b1,
+                  (a11 * r2 - a12 * r1) / (a11 * a22 - a12 * a12) AS b2 FROM r)
+          SELECT 'intercept' AS term, {O.rnd('my - b1 * m1 - b2 * m2', 3)} AS estimate FROM b
+          UNION ALL SELECT 'x1', {O.rnd('b1', 3)} FROM b
+          UNION ALL SELECT 'x2', {O.rnd('b2', 3)} FROM b"""
     q["linear_fit"] = ridge_sql("0", 4)
     q["ridge_fit"] = ridge_sql("10.0", 4)
     q["permutation_test"] = f"""WITH f AS ({PERM_FIXTURE}),
