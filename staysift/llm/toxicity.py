@@ -1,8 +1,9 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary and one on toxic text. A window
-of a document is compressed with the ordinary dictionary and with both; the bytes that
-the toxic dictionary saves measure how close the window is to toxic text. Window
+Zstandard dictionaries are trained on ordinary and on toxic text (small and larger
+ones: a small one holds only the surest words, a larger one rarer ones as well). A
+window of a document is compressed with the ordinary dictionary alone and with a toxic
+one added; the bytes that the latter saves measure how close the window is to toxic text. Window
 savings, cut at thresholds, are calibrated to a probability on labelled documents that
 took no part in the training of the dictionaries.
 
@@ -27,7 +28,7 @@ from staysift.llm.common import text_blocks
 from staysift.llm.labelled import fit_logistic, labelled_sample, predict_logistic, with_prior
 
 WINDOW = 96  # bytes, cut at a space where there is one in the window's second half
-ORDINARY_BYTES, TOXIC_BYTES = 16_384, 1_024  # dictionary sizes
+ORDINARY_BYTES, TOXIC_BYTES = 16_384, (512, 1_024, 2_048)  # dictionary sizes
 THRESHOLDS = (0, 1, 2, 3, 5)  # bytes saved by a window
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
 
@@ -35,13 +36,14 @@ _WORD = re.compile(rb"[a-z\x80-\xff]+")
 @dataclass
 class ToxicityModel:
     ordinary: bytes
-    toxic: bytes
+    toxic: list[bytes]
     logistic: tuple[np.ndarray, np.ndarray, np.ndarray] | None
     base_rate: float
 
-    def compressors(self) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
-        # the toxic part comes first: offsets into the ordinary part stay the same
-        return _compressor(self.ordinary), _compressor(self.toxic + self.ordinary)
+    def compressors(self) -> list[zstandard.ZstdCompressor]:
+        """With the ordinary dictionary, then with each toxic one added. The toxic part comes
+        first: offsets into the ordinary part stay the same."""
+        return [_compressor(t + self.ordinary) for t in (b"", *self.toxic)]
 
     def score(self, features: np.ndarray) -> np.ndarray:
         if self.logistic is None:
@@ -76,13 +78,17 @@ def windows(text: str) -> list[bytes]:
     return out or [b""]
 
 
-def window_features(text: str, plain: zstandard.ZstdCompressor, both: zstandard.ZstdCompressor) -> list[float]:
+def window_features(text: str, plain: zstandard.ZstdCompressor, *added: zstandard.ZstdCompressor) -> list[float]:
     parts = windows(text)
-    saved = np.array([len(plain.compress(w)) - len(both.compress(w)) for w in parts], dtype=float)
-    top = np.sort(saved)[::-1][:3]
-    over = [float(np.maximum(saved - t, 0).mean()) for t in THRESHOLDS]
-    hits = [float(np.log1p((saved > t).sum())) for t in THRESHOLDS]
-    return [float(saved.mean()), float(top[0]), float(top.mean()), *over, *hits, float(np.log(len(parts)))]
+    alone = np.array([len(plain.compress(w)) for w in parts], dtype=float)
+    out = [float(np.log(len(parts)))]
+    for compressor in added:
+        saved = alone - [len(compressor.compress(w)) for w in parts]
+        top = np.sort(saved)[::-1][:3]
+        out += [float(saved.mean()), float(top[0]), float(top.mean())]
+        out += [float(np.maximum(saved - t, 0).mean()) for t in THRESHOLDS]
+        out += [float(np.log1p((saved > t).sum())) for t in THRESHOLDS]
+    return out
 
 
 def _trained(size: int, samples: list[bytes]) -> bytes:
@@ -95,7 +101,7 @@ def _trained(size: int, samples: list[bytes]) -> bytes:
 
 
 def fit(texts: list[str], toxic: np.ndarray, share: float) -> ToxicityModel:
-    """Train both dictionaries on three in five of the documents, calibrate on the rest
+    """Train the dictionaries on three in five of the documents, calibrate on the rest
     (to the ``share`` of toxic ones among all labelled)."""
     data = [t.lower().encode() for t in texts]
     train = np.arange(len(texts)) % 5 < 3
@@ -113,12 +119,12 @@ def fit(texts: list[str], toxic: np.ndarray, share: float) -> ToxicityModel:
             plain.append(d)
         elif use and (words := [w for w in _WORD.findall(d) if w in marked]):
             # the commonest first: the same neighbours make the segments that training picks
-            left.append(b" " + b" ".join(sorted(words, key=lambda w: (-seen[True][w], w))) + b" ")
-    model = ToxicityModel(_trained(ORDINARY_BYTES, plain), _trained(TOXIC_BYTES, left), None, share)
+            left.append(b" " + b" ".join(sorted(set(words), key=lambda w: (-seen[True][w], w))) + b" ")
+    model = ToxicityModel(_trained(ORDINARY_BYTES, plain), [_trained(n, left) for n in TOXIC_BYTES], None, share)
     y = toxic[~train]
     if len(y) and 0 < y.sum() < len(y):
-        pair = model.compressors()
-        x = np.array([window_features(t, *pair) for t, use in zip(texts, train, strict=True) if not use])
+        tools = model.compressors()
+        x = np.array([window_features(t, *tools) for t, use in zip(texts, train, strict=True) if not use])
         model.logistic = with_prior(fit_logistic(x, y.astype(float)), y, share)
     return model
 
@@ -147,9 +153,9 @@ def score_toxicity(
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = model.compressors()
+        tools = model.compressors()
         for block in text_blocks(batches, 1):
-            features = [window_features(t or "", *pair) for t in block.column(1).to_pylist()]
+            features = [window_features(t or "", *tools) for t in block.column(1).to_pylist()]
             scores = model.score(np.array(features))
             yield pa.RecordBatch.from_arrays([block.column(0), pa.array(scores)], ["id", "score"])
 
