@@ -83,27 +83,30 @@ def top_k(df: DataFrame, by: str, k: int, ascending: bool = False, tie_breakers:
     return df.orderBy(order, *[F.asc(t) for t in tie_breakers]).limit(k)
 
 
+CORR_PAIRS = 12  # pairs per aggregate: 6 buffer fields each, under the limit of 100
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair, pairwise-complete (a pair uses
-    the rows where both are non-NULL), in one aggregation pass.
+    the rows where both are non-NULL). Pairs are aggregated a dozen at a time: a wider
+    aggregate would pass the field limit of whole-stage code generation.
 
     Returned long: (col_a, col_b, corr) for all ordered pairs, diagonal = 1 when
     the column has variance."""
     cols = list(columns)
-    aggs = []
-    names = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            name = f"{i}_{cols.index(b)}"
-            aggs.append(F.corr(a, b).alias(name))
-            names.append((a, b, name))
-    wide = df.agg(*aggs)
-    rows = []
-    for a, b, name in names:
-        rows.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(name).alias("corr")))
-        if a != b:
-            rows.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(name).alias("corr")))
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    out = None
+    for start in range(0, len(pairs), CORR_PAIRS):
+        part = pairs[start : start + CORR_PAIRS]
+        wide = df.agg(*[F.corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(part)])
+        rows = [
+            F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), F.col(f"c{k}").alias("corr"))
+            for k, (a, b) in enumerate(part)
+            for x, y in dict.fromkeys([(a, b), (b, a)])
+        ]
+        long = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+        out = long if out is None else out.unionByName(long)
+    return out
 
 
 def _quantile_targets(counts: DataFrame, group: Sequence[str], qs: Sequence[float]) -> DataFrame:

@@ -662,15 +662,18 @@ def q_csv_roundtrip(spark, sf_dir):
 
 
 def q_stream_enrich(spark, sf_dir):
-    """The cleaning + enrichment join run as a stream over landed files."""
+    """The cleaning + enrichment join run as a stream over landed files, one file per
+    micro-batch: two files land and are processed, then two more land and the query is
+    started again from its checkpoint."""
     base = _fresh_dir(spark, "stream")
     landing, out, ckpt = (os.path.join(base, d) for d in ("landing", "out", "ckpt"))
     raw = fx.listings_raw(spark, sf_dir)
-    sinks.write_table(raw, landing, "parquet")
+    half = F.col("HotelCode").cast("bigint") % 2 == 0
     dim = fx.country_dim(spark, sf_dir)
     gazetteer = enrich.clean_gazetteer(fx.gazetteer_raw(spark, sf_dir), dim)
-    q = enrich_stream(spark, landing, raw.schema, gazetteer, dim, out, ckpt)
-    q.awaitTermination()
+    for part in (raw.where(half), raw.where(~half)):
+        sinks.write_table(part.repartition(2), landing, "parquet", mode="append")
+        enrich_stream(spark, landing, raw.schema, gazetteer, dim, out, ckpt, max_files_per_trigger=1).awaitTermination()
     return q_null_safe_left_join_from(spark.read.parquet(out))
 
 

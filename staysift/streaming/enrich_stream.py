@@ -16,7 +16,6 @@ from pyspark.sql.types import StructType
 
 from staysift.operators.enrich import attach_population, clean_listings
 from staysift.operators.schema import finalize_joined
-from staysift.session import materialize
 
 
 def enrich_stream(
@@ -30,8 +29,10 @@ def enrich_stream(
     fmt: str = "parquet",
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    interval: str = "30 seconds",
 ):
-    """Start the streaming clean-and-enrich query; returns the StreamingQuery."""
+    """Start the streaming clean-and-enrich query; returns the StreamingQuery. Without
+    ``available_now`` a micro-batch starts every ``interval``."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("escape", '"')
@@ -40,14 +41,13 @@ def enrich_stream(
     raw = reader.load(input_dir)
     cleaned = clean_listings(raw, country_dim)
     # the static side of a stream-static join is re-evaluated every micro-batch:
-    # materialise the (small, de-duplicated) lookup once
-    static = materialize(gazetteer_clean.select("country_iso2", "city_join_key", "Population"))
-    joined = finalize_joined(attach_population(cleaned, static))
+    # attach_population writes the de-duplicated lookup once and reads it back
+    joined = finalize_joined(attach_population(cleaned, gazetteer_clean))
     writer = (
         joined.writeStream.format("parquet")
         .option("path", output_dir)
         .option("checkpointLocation", checkpoint_dir)
         .outputMode("append")
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
