@@ -104,25 +104,22 @@ def continent(region: ColumnOrName, mapping: dict[str, str] = CONTINENT_BY_SUB_R
     return map_with_default(region, mapping)
 
 
-# --- fixed values: country names in use that the ISO 3166 table spells otherwise ----
+# --- fixed values: English short names that the ISO 3166 table spells otherwise ----
 COUNTRY_NAME_ALIASES: dict[str, str] = {
-    "American Samoa": "AS", "Antigua": "AG", "Antigua and Barbuda": "AG", "Bosnia Herzegovina": "BA",
-    "Bosnia and Herzegovina": "BA", "Brunei Darussalam": "BN", "Cocos Islands": "CC", "Congo": "CG",
-    "Congo Republic": "CG", "Czechia": "CZ", "DR Congo": "CD", "Eswatini": "SZ", "Great Britain": "GB",
-    "Ireland(Republic of)": "IE", "Myanmar": "MM", "North Korea": "KP", "Northern Mariana Isl": "MP",
-    "Russian Federation": "RU", "Samoa": "WS", "Sao Tome and Principe": "ST", "Sint Maarten": "SX",
-    "South Korea": "KR", "St. Barths": "BL", "St. Helena": "SH", "St. Kitts and Nevis": "KN", "St. Lucia": "LC",
-    "St. Pierre and Miquelon": "PM", "St. Vincent and the Grenadines": "VC", "St Vincent & Grenadi": "VC",
-    "Swaziland": "SZ", "Trinidad and Tobago": "TT", "Turks & Caicos Islan": "TC", "Turks and Caicos Islands": "TC",
-    "United Kingdom": "GB", "Virgin Islands (USA)": "VI", "United States Virgin Islands": "VI",
-    "British Virgin Islands": "VG", "Yemen Republic": "YE",
+    "American Samoa": "AS", "Antigua and Barbuda": "AG", "Bosnia and Herzegovina": "BA", "Brunei Darussalam": "BN",
+    "Cocos (Keeling) Islands": "CC", "Congo Republic": "CG", "DR Congo": "CD", "Eswatini": "SZ", "Myanmar": "MM",
+    "North Korea": "KP", "Samoa": "WS", "Sao Tome and Principe": "ST", "Sint Maarten": "SX", "South Korea": "KR",
+    "St. Barths": "BL", "St. Helena": "SH", "St. Kitts and Nevis": "KN", "St. Lucia": "LC",
+    "St. Pierre and Miquelon": "PM", "St. Vincent and the Grenadines": "VC", "Trinidad and Tobago": "TT",
+    "Turks and Caicos Islands": "TC", "United Kingdom": "GB", "United States Virgin Islands": "VI",
+    "British Virgin Islands": "VG", "Wallis and Futuna Islands": "WF",
 }
 # --- end of fixed values -----------------------------------------------------------
 
 
 def iso_country_rows() -> list[tuple[str, str]]:
-    """(ISO2, English name): the ISO 3166 table shipped with ``tzdata`` and the other
-    names in use (``COUNTRY_NAME_ALIASES``)."""
+    """(ISO2, English name): the ISO 3166 table shipped with ``tzdata`` and the short
+    names that it spells otherwise (``COUNTRY_NAME_ALIASES``)."""
     text = resources.files("tzdata").joinpath("zoneinfo/iso3166.tab").read_text(encoding="utf-8")
     rows = []
     for line in text.splitlines():

@@ -20,13 +20,13 @@ from staysift.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Country names that the ISO table spells otherwise, and their codes; held here as
-# literals so that the oracle does not depend on the code it checks.
+# Country names and their codes: short names that the ISO table spells otherwise, and
+# spellings of the listing data that are no short names (no code). Held here as literals so
+# that the oracle does not depend on the code it checks.
 NAME_CODES = {
-    "United Kingdom": "GB", "South Korea": "KR", "Myanmar": "MM", "Samoa": "WS", "Swaziland": "SZ", "Antigua": "AG",
-    "Brunei Darussalam": "BN", "Yemen Republic": "YE", "Bosnia Herzegovina": "BA", "Ireland(Republic of)": "IE",
-    "Russian Federation": "RU", "Turks & Caicos Islan": "TC", "St Vincent & Grenadi": "VC", "Virgin Islands (USA)": "VI",
-    "Northern Mariana Isl": "MP", "Germany": "DE", "Namibia": "NA", "Atlantis": None,
+    "United Kingdom": "GB", "South Korea": "KR", "Myanmar": "MM", "Samoa": "WS", "Brunei Darussalam": "BN",
+    "Eswatini": "SZ", "Bosnia and Herzegovina": "BA", "St. Lucia": "LC", "Trinidad and Tobago": "TT", "Germany": "DE",
+    "Namibia": "NA", "Antigua": None, "Turks & Caicos Islan": None, "St Vincent & Grenadi": None, "Atlantis": None,
 }
 
 
