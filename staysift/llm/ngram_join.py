@@ -40,6 +40,7 @@ FAN_IN = 64  # partial sketches added up by one task
 MAX_MATCHES = 5  # the longest adaptive prefix requires so many shared elements
 VERIFY_COST = 30.0  # of verifying a candidate, in postings read
 LIST_ROWS = 20_000  # members of a posting list per salt
+LONG_LIST = 32  # members of a posting list from which its pairs are made once, not per token
 BROADCAST_IDS = 1_000_000  # ids of documents to fetch texts of; more are joined by shuffle
 CACHE_WORDS = 500_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -210,6 +211,47 @@ def _possible(percent: int, a: str = "a_", b: str = "b_"):
     )
 
 
+def _crossing(apart: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs ``(a, b)`` of different components among the members of lists.
+
+    A pair of a long list usually shares many long lists. Their rows carry the long
+    lists of their document, so that the pair is made once, at the first one that both have,
+    and only if these and the short lists of either can reach the needed number; short
+    lists make a row for each shared token.
+    """
+    common = ("id", "n", "l", "pos", "root")
+    differ = F.col("a_root") < F.col("b_root")
+    short = apart.where(F.col("members") <= LONG_LIST)
+    side = lambda p: short.select("token", *[F.col(c).alias(p + c) for c in common])
+    few = side("a_").join(side("b_"), "token").where(differ & _possible(percent)).withColumn("shared", F.lit(1))
+    long = apart.where(F.col("members") > LONG_LIST)
+    pair = F.when(F.col("members") > LONG_LIST, F.struct("pos", "token"))
+    own = apart.groupBy("row").agg(
+        F.array_sort(F.collect_list(pair)).alias("both"), F.count(F.when(F.col("members") <= LONG_LIST, 1)).alias("short")
+    ).select("row", "short", F.col("both.pos").alias("at_pos"), F.col("both.token").alias("long"))
+    long = long.join(own, "row").withColumn("at", F.array_position("long", F.col("token")).cast("int") - 1)
+    side = lambda p: long.select("token", *[F.col(c).alias(p + c) for c in (*common, "long", "at_pos", "short", "at")])
+    overlap = F.ceil(F.lit(percent) * (F.col("a_n") + F.col("b_n")) / (100 + percent) - 1e-9)
+    matches = F.least("a_l", "b_l")
+    counting = lambda p: F.slice(
+        p + "long", F.lit(1), F.size(F.filter(p + "at_pos", lambda x: x < F.col(p + "n") - overlap + matches))
+    )
+    shared = F.size(F.array_intersect(counting("a_"), counting("b_")))
+    met = F.arrays_overlap(F.expr("slice(a_long, 1, a_at)"), F.expr("slice(b_long, 1, b_at)"))
+    # if any long list counts for the pair by its position, the first common one does
+    many = side("a_").join(side("b_"), "token").where(
+        differ & _possible(percent) & ~met & (shared + F.least("a_short", "b_short") >= matches)
+    )
+    many = many.withColumn("shared", shared)
+    keep = [F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"), "shared", F.least("a_l", "b_l").alias("l")]
+    return (
+        few.select(*keep).union(many.select(*keep)).groupBy("a", "b")
+        .agg(F.sum("shared").alias("shared"), F.max("l").alias("l"))
+        .where((F.col("a") != F.col("b")) & (F.col("shared") >= F.col("l")))
+        .select("a", "b")
+    )
+
+
 def _candidates(hits: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` that share as many counting tokens as their smaller ``l``."""
     return (
@@ -307,15 +349,16 @@ def jaccard_components(
     levels = _add_sketches(parts, tasks)
     reps = classes.select(F.col("rep").alias("id")).distinct()
     prefixes = _prefixes(docs, levels, size, percent).join(reps, "id")
-    lists = prefixes.select("id", "n", "l", F.posexplode(F.arrays_zip("tokens", "salts")).alias("pos", "t")).select(
+    prefixes = prefixes.withColumn("row", F.xxhash64("id", "tokens"))  # an id may have several texts
+    lists = prefixes.select("id", "n", "l", "row", F.posexplode(F.arrays_zip("tokens", "salts")).alias("pos", "t")).select(
         F.col("t.tokens").alias("token"),
         F.pmod(F.xxhash64("id"), F.col("t.salts")).cast("int").alias("salt"),
-        F.col("t.salts").alias("salts"), "id", "n", "l", "pos",
+        F.col("t.salts").alias("salts"), "id", "n", "l", "row", "pos",
     )
     # the head of a list has the fewest rarer elements of its own: the likely original
     heads = Window.partitionBy("token", "salt").orderBy("pos", "id").rowsBetween(Window.unboundedPreceding, 0)
     members = stored(
-        lists.withColumn("head", F.first(F.struct("id", "n", "l", "pos")).over(heads)).where(
+        lists.withColumn("head", F.first(F.struct("id", "n", "l", "row", "pos")).over(heads)).where(
             (F.col("id") != F.col("head.id")) | (F.col("salts") > 1)
         ),
         "ngram-lists",
@@ -335,13 +378,14 @@ def jaccard_components(
     links = _verified(docs, first, size, percent)
     roots = components(links)
     # second round: members of one list that are still apart
-    listed = members.select("token", "id", "n", "l", "pos").union(members.select("token", "head.*").select("token", "id", "n", "l", "pos"))
+    one = ["token", "id", "n", "l", "row", "pos"]
+    listed = members.select(one).union(members.select("token", "head.*").select(one))
     placed = listed.distinct().join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    apart = placed.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("token")
-    apart = stored(placed.join(apart, "token"), "ngram-apart")
-    side = lambda p: apart.select("token", *[F.col(c).alias(p + c) for c in ("id", "n", "l", "pos", "root")])
-    crossing = side("a_").join(side("b_"), "token").where((F.col("a_root") < F.col("b_root")) & _possible(percent))
-    more = _verified(docs, _candidates(crossing), size, percent)
+    roots_of = placed.groupBy("token").agg(
+        F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("members")
+    )
+    apart = stored(placed.join(roots_of.where("r0 < r1").select("token", "members"), "token"), "ngram-apart")
+    more = _verified(docs, _crossing(apart, percent), size, percent)
     roots = components(links.union(more))
     return (
         sets.join(classes, "sig", "left")
