@@ -142,3 +142,22 @@ asked AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 10
 """
+
+
+@query
+def bm25_document_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: the whole texts of the ``documents`` with an id divisible by 20; answers: all ``documents``."""
+    from pyspark.sql import functions as F
+
+    from staysift.llm.bm25 import build_index, search
+
+    docs = table(spark, sf_dir, "documents")
+    asked = docs.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    return search(build_index(docs), asked, k=10).withColumn("score", F.round("score", 6))
+
+
+ORACLES["bm25_document_queries"] = (
+    ORACLES["op10_bm25_top_k"]
+    .replace("SELECT DISTINCT item_id AS query_id", "SELECT DISTINCT doc_id AS query_id")
+    .replace("FROM benchmark", "FROM documents WHERE doc_id % 20 = 0")
+)
