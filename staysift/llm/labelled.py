@@ -10,22 +10,16 @@ from pyspark.sql import functions as F
 from staysift.llm.common import held_out
 
 
-def labelled_sample(
-    docs: DataFrame,
-    labels: DataFrame,
-    label: str,
-    per_class: int,
-    max_chars: int,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> tuple[pd.DataFrame, float]:
-    """At most ``per_class`` training documents of each class (0, 1): columns ``text``
-    (its first ``max_chars`` characters) and ``label``; and the share of class 1 among all
-    training labels (0.5 if there are none).
+def labelled_rows(
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[DataFrame, float]:
+    """At most ``per_class`` training documents of each class (0, 1): columns ``id``,
+    ``text`` (whole) and ``label``; and the share of class 1 among all training labels
+    (0.5 if there are none).
 
     Only ids that are not held out take part; NULL ids, labels and texts do not. The
     choice is by a hash of the id, so it does not depend on partitioning. A document with
-    both labels counts as 1. The sample's size bounds what reaches the driver.
+    both labels counts as 1; a repeated id is one document of its least text.
     """
     known = (
         labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("label"))
@@ -40,11 +34,25 @@ def labelled_sample(
     for value in (0, 1):
         part = known.where(F.col("label") == value).orderBy("h", "id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    texts = docs.select(
-        F.col(id_col).alias("id"), F.substring(F.col(text_col).cast("string"), 1, max_chars).alias("text")
-    ).where(F.col("text").isNotNull())
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     # at most 2 * per_class ids
     rows = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    return rows, share
+
+
+def labelled_sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    per_class: int,
+    max_chars: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> tuple[pd.DataFrame, float]:
+    """The rows and the share of :func:`labelled_rows` on the driver, each text by its first
+    ``max_chars`` characters. The sample's size bounds what reaches the driver."""
+    cut = docs.withColumn(text_col, F.substring(F.col(text_col).cast("string"), 1, max_chars))
+    rows, share = labelled_rows(cut, labels, label, per_class, id_col, text_col)
     return rows.toPandas().sort_values("id").reset_index(drop=True), share
 
 

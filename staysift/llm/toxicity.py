@@ -23,13 +23,15 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from staysift.llm.common import text_blocks
-from staysift.llm.labelled import fit_logistic, labelled_sample, predict_logistic, with_prior
+from staysift.llm.common import remove_stored, stored, text_blocks
+from staysift.llm.labelled import fit_logistic, labelled_rows, predict_logistic, with_prior
 
 WINDOW = 96  # bytes, cut at a space where there is one in the window's second half
 ORDINARY_BYTES, TOXIC_BYTES = 16_384, (512, 1_024, 2_048)  # dictionary sizes
 THRESHOLDS = (0, 1, 2, 3, 5)  # bytes saved by a window
+PIECE, PIECES = 256, 24  # training text of an ordinary document: bytes of a piece, most pieces
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
 
 
@@ -93,39 +95,94 @@ def window_features(text: str, plain: zstandard.ZstdCompressor, *added: zstandar
 
 def _trained(size: int, samples: list[bytes]) -> bytes:
     """A dictionary's content; too little text to train on is its own dictionary."""
-    cut = [s[i : i + 256] for s in samples for i in range(0, len(s), 256)]
+    cut = [s[i : i + PIECE] for s in samples for i in range(0, len(s), PIECE)]
     try:
         return zstandard.train_dictionary(size, cut).as_bytes()
     except zstandard.ZstdError:
         return b"".join(cut)[:size]
 
 
-def fit(texts: list[str], toxic: np.ndarray, share: float) -> ToxicityModel:
-    """Train the dictionaries on three in five of the documents, calibrate on the rest
-    (to the ``share`` of toxic ones among all labelled)."""
-    data = [t.lower().encode() for t in texts]
-    train = np.arange(len(texts)) % 5 < 3
-    seen = {True: Counter(), False: Counter()}
-    for d, y in zip(np.array(data, dtype=object)[train], toxic[train], strict=True):
-        seen[bool(y)].update(set(_WORD.findall(d)))
-    n_toxic, n_plain = max(1, int(toxic[train].sum())), max(1, int((1 - toxic[train]).sum()))
+def spread(data: bytes) -> bytes:
+    """Whole pieces of a text, evenly spread from its first to its last: all, up to ``PIECES``."""
+    n = -(-len(data) // PIECE)
+    if n <= PIECES:
+        return data
+    return b"".join(data[i * PIECE : (i + 1) * PIECE] for i in np.linspace(0, n - 1, PIECES).round().astype(int).tolist())
+
+
+def fit_sample(rows: DataFrame, share: float) -> ToxicityModel:
+    """Train the dictionaries on three in five of the documents ``rows`` (id, text, label),
+    calibrate on the rest (to the ``share`` of toxic ones among all labelled).
+
+    Tasks read the whole texts. The driver gets the ids and labels, the marked words of
+    toxic documents, spread pieces of ordinary ones, and the features of calibration.
+    """
+    rows = stored(rows.select("id", "text", "label").repartition(16, "id"), "toxicity-sample")
+    known = rows.select("id", "label").toPandas().sort_values("id")
+    first = np.arange(len(known)) % 5 < 3
+    toxic = known["label"].to_numpy(dtype=int)
+    train = set(known["id"][first].tolist())
+    n_toxic, n_plain = max(1, int(toxic[first].sum())), max(1, int((1 - toxic[first]).sum()))
     least = max(3, n_toxic // 200)
+
+    def documents(batches: Iterator[pa.RecordBatch], wanted: bool) -> Iterator[tuple]:
+        for block in text_blocks(batches, 1):
+            for row in zip(*(c.to_pylist() for c in block.columns), strict=True):
+                if (row[0] in train) == wanted:
+                    yield row
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = (Counter(), Counter())
+        for _, text, y in documents(batches, True):
+            seen[y].update(set(_WORD.findall(text.lower().encode())))
+        words = list(seen[0] | seen[1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(words, pa.binary()), *(pa.array([c[w] for w in words], pa.int64()) for c in seen)],
+            ["word", "plain", "toxic"],
+        )
+
     marked = {
-        w for w, n in seen[True].items() if n >= least and n / n_toxic > 8 * (seen[False][w] + 0.5) / n_plain
-    }
-    plain, left = [], []
-    for d, y, use in zip(data, toxic, train, strict=True):
-        if use and not y:
-            plain.append(d)
-        elif use and (words := [w for w in _WORD.findall(d) if w in marked]):
-            # the commonest first: the same neighbours make the segments that training picks
-            left.append(b" " + b" ".join(sorted(set(words), key=lambda w: (-seen[True][w], w))) + b" ")
+        bytes(r["word"]): r["toxic"]
+        for r in rows.mapInArrow(count, "word binary, plain bigint, toxic bigint")
+        .groupBy("word").agg(F.sum("plain").alias("plain"), F.sum("toxic").alias("toxic"))
+        .where((F.col("toxic") >= least) & (F.col("toxic") / n_toxic > 8 * (F.col("plain") + 0.5) / n_plain))
+        .collect()
+    }
+
+    def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, text, y in documents(batches, True):
+            data = text.lower().encode()
+            if y:
+                # the commonest first: the same neighbours make the segments that training picks
+                words = sorted({w for w in _WORD.findall(data) if w in marked}, key=lambda w: (-marked[w], w))
+                data = b" " + b" ".join(words) + b" " if words else b""
+            else:
+                data = spread(data)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key], id_type), pa.array([y], pa.int32()), pa.array([data], pa.binary())], ["id", "label", "data"]
+            )
+
+    kind = rows.schema["id"].dataType.simpleString()
+    id_type = to_arrow_type(rows.schema["id"].dataType)
+    parts = sorted(rows.mapInArrow(taken, f"id {kind}, label int, data binary").collect(), key=lambda r: r["id"])
+    plain = [bytes(r["data"]) for r in parts if not r["label"]]
+    left = [bytes(r["data"]) for r in parts if r["label"] and r["data"]]
     model = ToxicityModel(_trained(ORDINARY_BYTES, plain), [_trained(n, left) for n in TOXIC_BYTES], None, share)
-    y = toxic[~train]
-    if len(y) and 0 < y.sum() < len(y):
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = model.compressors()
-        x = np.array([window_features(t, *tools) for t, use in zip(texts, train, strict=True) if not use])
-        model.logistic = with_prior(fit_logistic(x, y.astype(float)), y, share)
+        for key, text, y in documents(batches, False):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key], id_type), pa.array([y], pa.int32()),
+                 pa.array([window_features(text, *tools)], pa.list_(pa.float64()))], ["id", "label", "x"],
+            )
+
+    rest = toxic[~first]
+    if len(rest) and 0 < rest.sum() < len(rest):
+        parts = sorted(rows.mapInArrow(measured, f"id {kind}, label int, x array<double>").collect(), key=lambda r: r["id"])
+        y = np.array([r["label"] for r in parts])
+        model.logistic = with_prior(fit_logistic(np.array([r["x"] for r in parts]), y.astype(float)), y, share)
+    remove_stored(rows)
     return model
 
 
@@ -134,22 +191,21 @@ def score_toxicity(
     labels: DataFrame,
     training_docs: DataFrame | None = None,
     per_class: int = 3000,
-    max_chars: int = 6000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Score every whole text of ``docs``: id, ``score`` (0 to 1), ``predicted`` (score >= 0.5).
 
-    The model is fitted on at most ``per_class`` training documents of each class, of
-    ``max_chars`` characters each (see :func:`labelled_sample`). A NULL or empty text is
+    The model is fitted on at most ``per_class`` whole training documents of each class
+    (see :func:`labelled_rows`). A NULL or empty text is
     scored as one empty window; without labels of both classes the score is the base rate
     of toxic ones (0.5 without any). NULL ids and repeated rows are kept; other columns are not
     read; an empty table gives no rows.
     """
-    sample, share = labelled_sample(
-        docs if training_docs is None else training_docs, labels, "toxic", per_class, max_chars, id_col, text_col
+    rows, share = labelled_rows(
+        docs if training_docs is None else training_docs, labels, "toxic", per_class, id_col, text_col
     )
-    model = fit(sample["text"].tolist(), sample["label"].to_numpy(dtype=int), share)
+    model = fit_sample(rows, share)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
