@@ -105,6 +105,50 @@ def op3_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+@query
+def op11_line_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from staysift.llm.fill_in_middle import fill_in_middle, restored
+
+    moved = fill_in_middle(table(spark, sf_dir, "documents"))
+    return moved.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op11_line_fill_in_middle"] = r"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), cut AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines,
+         CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+  FROM hashed
+), placed AS (
+  SELECT *, len(lines) AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS low,
+         greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS high
+  FROM cut
+), parts AS (
+  SELECT *, coalesce(array_to_string(lines[1:low], ''), '') AS prefix,
+         coalesce(array_to_string(lines[low + 1:high], ''), '') AS middle,
+         coalesce(array_to_string(lines[high + 1:], ''), '') AS suffix,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM placed
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 @query
 def op10_bm25_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queries: the whole texts of all ``benchmark`` items; answers: all ``documents``."""
