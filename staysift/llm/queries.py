@@ -149,6 +149,13 @@ FROM parts
 """
 
 
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staysift.llm.importance import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op10_bm25_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queries: the whole texts of all ``benchmark`` items; answers: all ``documents``."""
