@@ -149,6 +149,13 @@ FROM parts
 """
 
 
+@query
+def op12_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staysift.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 @query
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from staysift.llm.importance import resample

@@ -64,6 +64,6 @@ def test_each_operator_has_its_query():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert "pipeline" in names
