@@ -29,6 +29,7 @@ from staysift.functions.text import (
     star_rating,
     to_number,
 )
+from staysift.operators.heavy_hitters import is_one_of, summarise_keys
 from staysift.operators.lookup import iso2_lookup, row_count
 from staysift.operators.schema import canonical_columns
 from staysift.session import written
@@ -78,18 +79,13 @@ def default_hot_keys(keys: Sequence[str]) -> Column:
 
 
 def detect_hot_keys(left: DataFrame, keys: Sequence[str], share: float = 0.01, most: int = 100) -> Column:
-    """Keys that hold at least ``share`` of the rows, found by counting (at most ``most``
-    of them, the commonest), and NULL or empty ones."""
-    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = left.count()
-    top = counts.where(F.col("__n") >= share * total).orderBy(F.desc("__n"), *keys).limit(most).collect()
-    cond = default_hot_keys(keys)
-    for row in top:
-        same = F.lit(True)
-        for k in keys:
-            same = same & F.col(k).eqNullSafe(F.lit(row[k]))
-        cond = cond | same
-    return cond
+    """Keys that may hold ``share`` of the rows (at most ``most`` of them, the commonest), and
+    NULL or empty ones. One pass over ``left`` keeps a bounded summary per task; a stream
+    is not looked at: its hot keys are the NULL and empty ones."""
+    hot = default_hot_keys(keys)
+    if left.isStreaming:
+        return hot
+    return hot | is_one_of(keys, summarise_keys(left, keys).above(share)[:most])
 
 
 def null_safe_left_join(

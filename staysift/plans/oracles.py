@@ -10,6 +10,7 @@ _RAW = f"WITH listings_raw AS ({LISTINGS_RAW_SQL}), dim AS ({COUNTRY_DIM_SQL})\n
 
 def _cleaning() -> dict[str, str]:
     lat, lon = O.lat_lon("Map")
+    q["stream_enrich_large"] = q["stream_enrich"]
     lat2, lon2 = O.lat_lon_loose("Map")
     q: dict[str, str] = {}
     q["canonical_headers"] = _RAW + f"""

@@ -25,7 +25,8 @@ from staysift.plans import fixtures as fx
 from staysift.plans.jobs import clean_and_join
 from staysift.session import scratch_path, spread
 from staysift.sources import readers, sinks
-from staysift.streaming.enrich_stream import enrich_stream
+from staysift.operators.bucketed import write_lookup
+from staysift.streaming.enrich_stream import ATTRS, KEYS, enrich_stream, population_lookup, read_enriched
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -661,20 +662,35 @@ def q_csv_roundtrip(spark, sf_dir):
     return readers.read_listings_csv(spark, path, columns="all")
 
 
-def q_stream_enrich(spark, sf_dir):
-    """The cleaning + enrichment join run as a stream over landed files, one file per
-    micro-batch: two files land and are processed, then two more land and the query is
-    started again from its checkpoint."""
+def _landed_stream(spark, sf_dir, start):
+    """Two files land and are processed, one per micro-batch; then two more land and the
+    query is started again from its checkpoint. ``start`` gets the landing folder, the
+    listings' schema, the country names and the output and checkpoint folders."""
     base = _fresh_dir(spark, "stream")
     landing, out, ckpt = (os.path.join(base, d) for d in ("landing", "out", "ckpt"))
     raw = fx.listings_raw(spark, sf_dir)
     half = F.col("HotelCode").cast("bigint") % 2 == 0
     dim = fx.country_dim(spark, sf_dir)
-    gazetteer = enrich.clean_gazetteer(fx.gazetteer_raw(spark, sf_dir), dim)
     for part in (raw.where(half), raw.where(~half)):
         sinks.write_table(part.repartition(2), landing, "parquet", mode="append")
-        enrich_stream(spark, landing, raw.schema, gazetteer, dim, out, ckpt, max_files_per_trigger=1).awaitTermination()
-    return q_null_safe_left_join_from(spark.read.parquet(out))
+        start(landing, raw.schema, dim, out, ckpt).awaitTermination()
+    return q_null_safe_left_join_from(read_enriched(spark, out))
+
+
+def q_stream_enrich(spark, sf_dir):
+    """The cleaning + enrichment join run as a stream over landed files."""
+    gazetteer = enrich.clean_gazetteer(fx.gazetteer_raw(spark, sf_dir), fx.country_dim(spark, sf_dir))
+    return _landed_stream(spark, sf_dir, lambda landing, schema, dim, out, ckpt: enrich_stream(
+        spark, landing, schema, gazetteer, dim, out, ckpt, max_files_per_trigger=1))
+
+
+def q_stream_enrich_large(spark, sf_dir):
+    """The same stream against a lookup that is not broadcast: written once in buckets, joined
+    batch by batch, with frequent keys carried from batch to batch and over the restart."""
+    gazetteer = enrich.clean_gazetteer(fx.gazetteer_raw(spark, sf_dir), fx.country_dim(spark, sf_dir))
+    lookup = write_lookup(population_lookup(gazetteer), KEYS, ATTRS, _fresh_dir(spark, "lookup"))
+    return _landed_stream(spark, sf_dir, lambda landing, schema, dim, out, ckpt: enrich_stream(
+        spark, landing, schema, None, dim, out, ckpt, max_files_per_trigger=1, lookup=lookup))
 
 
 def q_null_safe_left_join_from(df):
@@ -742,6 +758,7 @@ REGISTRY["ols_p_value"] = q_ols_p_value
 REGISTRY.update({
     "csv_roundtrip": q_csv_roundtrip,
     "stream_enrich": q_stream_enrich,
+    "stream_enrich_large": q_stream_enrich_large,
     "expanded_features": q_expanded_features,
     "expanded_tests": q_expanded_tests,
 })
