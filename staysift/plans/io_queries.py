@@ -7,6 +7,7 @@ import os
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,54 @@ def q_csv_multiline_roundtrip(spark, sf_dir):
     return readers.read_listings_csv(spark, path).select("HotelCode", "cityCode", "Attractions")
 
 
+CSV_HEADER = "custkey,name,nation,note"
+
+
+def csv_lines(customer: DataFrame) -> DataFrame:
+    """A CSV record per customer: most fit the header of four columns, with quoted commas, quotes
+    and line breaks among them; some have surplus fields and some too few."""
+    key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    name = F.col("c_name")
+    kind = F.col("c_custkey") % 20
+    line = (
+        F.when(kind == 0, F.concat_ws(",", key, name, nation, F.lit("a"), F.lit("surplus"), F.lit('"more, quoted"')))
+        .when(kind == 7, F.concat_ws(",", key, name))
+        .when(kind == 11, F.concat_ws(",", key, F.concat(F.lit('"'), name, F.lit(', ""x"""')), nation, F.lit('"one\ntwo"')))
+        .when(kind == 12, F.concat_ws(",", key, name, nation, F.lit("")))
+        .otherwise(F.concat_ws(",", key, name, nation, F.lit("Köln")))
+    )
+    return customer.select(line.alias("value"))
+
+
+def write_csv_lines(lines: DataFrame, path: str, header: str = CSV_HEADER) -> str:
+    """Lines as CSV files, each with the header."""
+
+    def with_header(frames):
+        yield pd.DataFrame({"value": [header]})
+        yield from frames
+
+    lines.mapInPandas(with_header, "value string").write.text(path)
+    return path
+
+
+def q_csv_rejects(spark, sf_dir):
+    """Every record of a CSV with malformed rows, kept or rejected with its reason."""
+    from staysift.sources.checked_csv import land_csv
+
+    path = write_csv_lines(csv_lines(fx.table(spark, sf_dir, "customer").repartition(4)), _dir(spark, "csv"))
+    landed = land_csv(spark, path, _dir(spark, "landing"), max_rejected_share=0.2)
+    none = F.lit(None).cast("string")
+    kept = landed.kept.select(
+        F.col("custkey").cast("bigint").alias("c_custkey"), F.lit("kept").alias("status"), none.alias("reason"),
+        F.lit(None).cast("int").alias("fields"), "name", F.col("nation").cast("int").alias("nation"), "note",
+    )
+    rejected = landed.rejected.select(
+        F.split_part("raw", F.lit(","), F.lit(1)).cast("bigint").alias("c_custkey"), F.lit("rejected").alias("status"),
+        "reason", "fields", none.alias("name"), F.lit(None).cast("int").alias("nation"), none.alias("note"),
+    )
+    return kept.unionByName(rejected)
+
+
 def q_country_lookup_default_dim(spark, sf_dir):
     """Names through the default country dimension, one per customer in turn."""
     names = F.array(*[F.lit(n) for n in NAME_CODES])
@@ -163,6 +212,7 @@ REGISTRY: dict[str, Query] = {
     "read_joined": q_read_joined,
     "read_catalogue": q_read_catalogue,
     "peek": q_peek,
+    "csv_rejects": q_csv_rejects,
     "cleaning_job": q_cleaning_job,
     "train_job": q_train_job,
     "feature_bundle": q_feature_bundle,
@@ -187,6 +237,14 @@ def oracles() -> dict[str, str]:
         "csv_multiline_roundtrip": raw + """SELECT HotelCode, cityCode,
             'line one, ' || HotelName || chr(10) || 'said "two"' || chr(10) || chr(10) || 'end of ' || HotelCode AS Attractions
             FROM listings_raw""",
+        "csv_rejects": """WITH k AS (SELECT *, c_custkey % 20 AS kind FROM customer)
+            SELECT c_custkey, CASE WHEN kind IN (0, 7) THEN 'rejected' ELSE 'kept' END AS status,
+                CASE kind WHEN 0 THEN 'too many fields' WHEN 7 THEN 'too few fields' END AS reason,
+                CAST(CASE kind WHEN 0 THEN 6 WHEN 7 THEN 2 END AS INTEGER) AS fields,
+                CASE WHEN kind IN (0, 7) THEN NULL WHEN kind = 11 THEN c_name || ', "x"' ELSE c_name END AS name,
+                CASE WHEN kind NOT IN (0, 7) THEN CAST(c_nationkey AS INTEGER) END AS nation,
+                CASE WHEN kind IN (0, 7, 12) THEN NULL WHEN kind = 11 THEN 'one' || chr(10) || 'two' ELSE 'Köln' END AS note
+            FROM k""",
         "country_lookup_default_dim": f"""SELECT c_custkey, CASE c_custkey % {len(names)} {arms} END AS name,
             CASE c_custkey % {len(names)} {codes} END AS iso2 FROM customer""",
         "gazetteer_csv": f"""SELECT Country, {blank('City')} AS City, {blank('Population')} AS Population

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from staysift.operators.enrich import attach_population, clean_gazetteer, clean_listings
 from staysift.operators.lookup import iso_country_dim
 from staysift.operators.schema import JOINED_TABLE_STEM, finalize_joined
-from staysift.session import spread
+from staysift.session import delete_path, scratch_path, spread
 
 
 @dataclass
@@ -60,26 +61,45 @@ def run_cleaning(
     gazetteer_encoding: str = "UTF-8",
     country_dim: DataFrame | None = None,
     multi_line: bool = True,
-    malformed: str = "keep",
+    malformed: str = "reject",
+    max_rejected_share: float = 0.01,
 ) -> dict[str, str]:
     """Read both CSVs, clean, write ``hotels_clean``, ``world_cities_clean`` and
     (optionally) the joined table; returns the written paths.
 
-    The cleaned gazetteer is written first and read back for the join, so the
-    join plans from a materialised, counted table (no recomputation of the
-    dedupe, lineage cut at a shared location). ``multi_line`` and ``malformed`` go to
-    the listings reader: line breaks inside quoted values, rows of another width.
+    Rows whose fields do not fit the header are written to ``hotels_rejected`` and
+    ``world_cities_rejected`` with the reason, and more than ``max_rejected_share`` of a source
+    rejected is an error (``malformed="reject"``); they can be cut or padded (``"keep"``) or stop
+    the scan at once (``"fail"``) instead. The cleaned gazetteer is written first and read back
+    for the join, so the join plans from a materialised, counted table (no recomputation of
+    the dedupe, lineage cut at a shared location). ``multi_line`` allows line breaks inside
+    quoted values.
     """
-    from staysift.sources.readers import read_gazetteer_csv, read_listings_csv
+    from staysift.sources.checked_csv import land_csv
+    from staysift.sources.readers import gazetteer_columns, listing_columns, read_gazetteer_csv, read_listings_csv
     from staysift.sources.sinks import write_table
 
     dim = country_dim if country_dim is not None else iso_country_dim(spark)
-    world = read_gazetteer_csv(spark, gazetteer_path, encoding=gazetteer_encoding, limit=gazetteer_limit)
-    hotels = read_listings_csv(spark, listings_path, encoding=listings_encoding, limit=listings_limit,
-                               multi_line=multi_line, malformed=malformed)
+    landings: list[str] = []
+    rejected: dict[str, str] = {}
+
+    def landed(path: str, name: str, encoding: str | None, limit: int | None) -> DataFrame:
+        landing = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
+        landings.append(landing)
+        found = land_csv(spark, path, landing, encoding, multi_line, max_rejected_share, limit)
+        rejected[name] = write_table(found.rejected, os.path.join(output_dir, name), output_format)
+        return found.kept
+
+    if malformed == "reject":
+        world = gazetteer_columns(landed(gazetteer_path, "world_cities_rejected", gazetteer_encoding, gazetteer_limit))
+        hotels = listing_columns(landed(listings_path, "hotels_rejected", listings_encoding, listings_limit))
+    else:
+        world = read_gazetteer_csv(spark, gazetteer_path, encoding=gazetteer_encoding, limit=gazetteer_limit)
+        hotels = read_listings_csv(spark, listings_path, encoding=listings_encoding, limit=listings_limit,
+                                   multi_line=multi_line, malformed=malformed)
     result = clean_and_join(hotels, world, dim, also_join=False)
 
-    written: dict[str, str] = {}
+    written: dict[str, str] = dict(rejected)
     written["hotels_clean"] = write_table(result.listings, os.path.join(output_dir, "hotels_clean"), output_format)
     written["world_cities_clean"] = write_table(
         result.gazetteer, os.path.join(output_dir, "world_cities_clean"), output_format
@@ -94,6 +114,8 @@ def run_cleaning(
         written[JOINED_TABLE_STEM] = write_table(
             joined, os.path.join(output_dir, JOINED_TABLE_STEM), output_format
         )
+    for landing in landings:
+        delete_path(spark, landing)
     return written
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from staysift.operators.schema import (
@@ -30,9 +30,8 @@ REPLACEMENT_CHAR = "\ufffd"
 FALLBACK_ENCODING = "ISO-8859-1"
 
 
-def _csv(spark: SparkSession, path: str, encoding: str, multi_line: bool, malformed: str = "keep") -> DataFrame:
-    if malformed not in ("keep", "fail"):
-        raise ValueError("malformed must be 'keep' or 'fail'")
+def csv_reader(spark: SparkSession, encoding: str, multi_line: bool, malformed: str = "keep") -> DataFrameReader:
+    """The CSV dialect of all sources: header row, doubled quotes, no type inference."""
     return (
         spark.read.option("header", True)
         .option("encoding", encoding)
@@ -41,10 +40,15 @@ def _csv(spark: SparkSession, path: str, encoding: str, multi_line: bool, malfor
         .option("ignoreLeadingWhiteSpace", True)
         .option("inferSchema", False)
         .option("mode", "FAILFAST" if malformed == "fail" else "PERMISSIVE")
-        .csv(path)
     )
 
 
+def _csv(spark: SparkSession, path: str, encoding: str, multi_line: bool, malformed: str = "keep") -> DataFrame:
+    if malformed not in ("keep", "fail"):
+        raise ValueError("malformed must be 'keep' or 'fail'")
+    return csv_reader(spark, encoding, multi_line, malformed).csv(path)
+
+
 def has_decode_errors(df: DataFrame) -> bool:
     """True when any value holds U+FFFD (Spark's marker for undecodable bytes).
     Stops at the first hit; a clean file is scanned once."""
@@ -96,7 +100,7 @@ def read_text_csv(
     ``multi_line=True`` keeps quoted fields with line breaks whole; it makes each
     file a single split, so large inputs should come as many files. A row with too
     few or too many fields is padded or cut (``malformed="keep"``) or an error
-    (``malformed="fail"``).
+    (``malformed="fail"``); ``checked_csv.land_csv`` sets such rows apart and counts them.
     """
     if encoding is not None:
         return _csv(spark, path, encoding, multi_line, malformed)
@@ -123,12 +127,16 @@ def read_listings_csv(
     Listings hold free text, so quoted line breaks are read as part of their value by
     default. Each file is then one split: deliver a large input as many files, or pass
     ``multi_line=False`` for one known to have no line breaks inside values."""
-    df = read_text_csv(spark, path, encoding, multi_line, malformed=malformed)
+    df = listing_columns(read_text_csv(spark, path, encoding, multi_line, malformed=malformed), columns)
+    return df.limit(limit) if limit is not None else df
+
+
+def listing_columns(df: DataFrame, columns: str = "cleaning") -> DataFrame:
+    """Listings as read: pruned (``columns="cleaning"``), headers stripped, missing tokens NULL."""
     if columns == "cleaning":
         df = keep_columns_by_key(df, LISTING_CLEANING_COLUMNS, LISTING_HEADER_ALIASES)
     df = strip_headers(df)
-    df = null_missing_tokens(df, exclude=[c for c in df.columns if header_key(c) == "countycode"])
-    return df.limit(limit) if limit is not None else df
+    return null_missing_tokens(df, exclude=[c for c in df.columns if header_key(c) == "countycode"])
 
 
 def read_gazetteer_csv(
@@ -140,11 +148,15 @@ def read_gazetteer_csv(
     multi_line: bool = False,
 ) -> DataFrame:
     """Gazetteer CSV; ``columns='cleaning'`` keeps Country, City, Population."""
-    df = read_text_csv(spark, path, encoding, multi_line)
+    df = gazetteer_columns(read_text_csv(spark, path, encoding, multi_line), columns)
+    return df.limit(limit) if limit is not None else df
+
+
+def gazetteer_columns(df: DataFrame, columns: str = "cleaning") -> DataFrame:
+    """The gazetteer as read: pruned (``columns="cleaning"``), missing tokens NULL."""
     if columns == "cleaning":
         df = keep_columns_by_key(df, GAZETTEER_KEEP_KEYS)
-    df = null_missing_tokens(strip_headers(df), exclude=["Country"])
-    return df.limit(limit) if limit is not None else df
+    return null_missing_tokens(strip_headers(df), exclude=["Country"])
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
