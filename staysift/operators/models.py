@@ -20,6 +20,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staysift.operators.gram import PenaltySearch, fold_grams, search_penalty
+
 # --- fixed values: must equal the source project's for the same results --------
 RIDGE_CV_ALPHAS = [float(a) for a in np.logspace(-3, 3, 13)]
 LASSO_SEARCH_ALPHAS = [float(a) for a in np.logspace(-4, 0, 20)]
@@ -194,39 +196,43 @@ def make_estimator(name: str, train: DataFrame, params: dict[str, Any] | None =
     raise ValueError(f"unknown model {name!r}")
 
 
-def tuning_grid(name: str, train: DataFrame, estimator: Estimator) -> tuple[dict[str, list], int | None]:
-    """(grid, draws): ridge is exhaustive over 13 alphas, the others sampled."""
+def tuning_grid(name: str) -> tuple[dict[str, list], int | None]:
+    """(grid, draws) of the tree models; their searches are sampled."""
+    return {"rf": (FOREST_SEARCH, 12), "xgb": (BOOSTED_SEARCH, 12)}.get(name, ({}, None))
+
+
+def tune_penalty(
+    train: DataFrame, name: str, keys: Sequence[str], folds: int = 3, draws: int = 12, seed: int = 42
+) -> PenaltySearch:
+    """Ridge over all 13 penalties, lasso over ``draws`` of its 20: one pass over the training
+    set, then no refits (see ``operators.gram``). Folds are a hash of the ``keys``."""
+    grams = fold_grams(train, keys, folds, seed)
     if name == "ridge":
-        sd, n = label_scale(train)
-        return {"regParam": [a * sd / n for a in RIDGE_CV_ALPHAS]}, None
-    if name == "lasso":
-        return {"regParam": LASSO_SEARCH_ALPHAS}, 12
-    if name == "rf":
-        return FOREST_SEARCH, 12
-    if name == "xgb":
-        return BOOSTED_SEARCH, 12
-    return {}, None
+        return search_penalty(grams, RIDGE_CV_ALPHAS, "ridge", "r2")
+    drawn = random.Random(seed).sample(LASSO_SEARCH_ALPHAS, min(draws, len(LASSO_SEARCH_ALPHAS)))
+    return search_penalty(grams, drawn, "lasso", "rmse")
 
 
 def train_regressor(
     train: DataFrame, test: DataFrame, name: str, params: dict[str, Any] | None = None, tune: bool = False,
-    folds: int = 3, draws: int = 12, seed: int = 42, parallelism: int = 4,
+    folds: int = 3, draws: int = 12, seed: int = 42, parallelism: int = 4, keys: Sequence[str] = (),
 ) -> RunResult:
-    """Fit one model (optionally tuned by k-fold CV on RMSE), score the test
-    split and compute the metrics."""
-    est = make_estimator(name, train, params, seed)
+    """Fit one model (optionally tuned by k-fold CV), score the test split and compute the
+    metrics. ``keys`` name the rows for the folds of the penalised models (default: all columns
+    but the features)."""
     chosen: dict[str, Any] = {}
-    if tune and name != "linear":
-        grid, n_draw = tuning_grid(name, train, est)
-        maps = sample_param_maps(est, grid, draws if n_draw is not None else 10**9, seed)
+    if tune and name in ("ridge", "lasso"):
+        found = tune_penalty(train, name, keys or [c for c in train.columns if c != "features"], folds, draws, seed)
+        chosen = {"alpha": found.alpha}
+        model = make_estimator(name, train, chosen, seed).fit(train)
+    elif tune and name != "linear":
+        est = make_estimator(name, train, params, seed)
+        maps = sample_param_maps(est, tuning_grid(name)[0], draws, seed)
         cv = cross_validate(est, maps, folds, seed, parallelism).fit(train)
         chosen = best_params(cv)
-        if name == "ridge":  # back from Spark's scale to alpha
-            sd, n = label_scale(train)
-            chosen = {"alpha": chosen["regParam"] * n / sd}
         model = cv.bestModel
     else:
-        model = est.fit(train)
+        model = make_estimator(name, train, params, seed).fit(train)
     scored = model.transform(test)
     m = regression_metrics(scored).first().asDict()
     return RunResult(name, tune, model, m, chosen)

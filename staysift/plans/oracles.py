@@ -273,6 +273,46 @@ def _models() -> dict[str, str]:
           SELECT 'intercept' AS term, {O.rnd('my - b1 * m1 - b2 * m2', 3)} AS estimate FROM b
           UNION ALL SELECT 'x1', {O.rnd('b1', 3)} FROM b
           UNION ALL SELECT 'x2', {O.rnd('b2', 3)} FROM b"""
+    # moments of each held-out fold (three of them, by md5 of the keys and the seed 42) and of its training rows
+    names = "n s1 s2 sy q11 q12 q22 p1 p2 yy".split()
+    folds = f"""WITH f AS ({LINEAR_FIXTURE}),
+          k AS (SELECT *, CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, '42')), 1, 8) AS BIGINT) % 3 AS fold FROM f),
+          m AS (SELECT CAST(fold AS INTEGER) AS fold, CAST(count(*) AS DOUBLE) AS n, sum(x1) AS s1, sum(x2) AS s2, sum(y) AS sy,
+                  sum(x1 * x1) AS q11, sum(x1 * x2) AS q12, sum(x2 * x2) AS q22, sum(x1 * y) AS p1, sum(x2 * y) AS p2,
+                  sum(y * y) AS yy FROM k GROUP BY ALL),
+          t AS (SELECT {', '.join(f'sum({c}) AS t{c}' for c in names)} FROM m),
+          h AS (SELECT fold, {', '.join(f'{c}, t{c} - {c} AS r{c}' for c in names)} FROM m, t
+                UNION ALL SELECT -1, {', '.join(f'0, t{c}' for c in names)} FROM t),
+          c AS (SELECT *, rq11 - rs1 * rs1 / rn AS a11, rq12 - rs1 * rs2 / rn AS a12, rq22 - rs2 * rs2 / rn AS a22,
+                  rp1 - rs1 * rsy / rn AS c1, rp2 - rs2 * rsy / rn AS c2 FROM h)"""
+    held_out = """e AS (SELECT *, yy - 2 * (w1 * p1 + w2 * p2 + b * sy) + w1 * w1 * q11 + 2 * w1 * w2 * q12 + w2 * w2 * q22
+                  + 2 * b * (w1 * s1 + w2 * s2) + n * b * b AS sse, yy - sy * sy / n AS sst FROM i WHERE fold >= 0)"""
+    q["tuned_ridge"] = folds + f""",
+          al AS (SELECT pow(10.0, -3 + 0.5 * i) AS alpha FROM range(13) r(i)),
+          w AS (SELECT *, (a11 + alpha) * (a22 + alpha) - a12 * a12 AS det FROM c, al),
+          v AS (SELECT *, ((a22 + alpha) * c1 - a12 * c2) / det AS w1, ((a11 + alpha) * c2 - a12 * c1) / det AS w2 FROM w),
+          i AS (SELECT *, (rsy - w1 * rs1 - w2 * rs2) / rn AS b FROM v),
+          {held_out},
+          best AS (SELECT alpha FROM e GROUP BY alpha ORDER BY avg(1 - sse / sst) DESC LIMIT 1)
+          SELECT {O.rnd('e.alpha')} AS alpha, fold, {O.rnd('sqrt(sse / n)')} AS rmse, {O.rnd('1 - sse / sst')} AS r2,
+            e.alpha = best.alpha AS chosen FROM e, best"""
+    # the only solution that keeps the subgradient conditions, among the signs that two coefficients can have
+    q["random_search"] = folds + f""",
+          al AS (SELECT pow(10.0, -4 + 4 * i / 19.0) AS alpha FROM (VALUES (3), (0), (8), (7), (16), (2), (11), (1), (10), (17), (12), (6)) r(i)),
+          s AS (SELECT *, a11 / rn AS d11, a12 / rn AS d12, a22 / rn AS d22, c1 / rn AS g1, c2 / rn AS g2 FROM c, al,
+                  (SELECT unnest([-1, 0, 1]) AS s1_) u1, (SELECT unnest([-1, 0, 1]) AS s2_) u2),
+          w AS (SELECT *,
+                  CASE WHEN s1_ = 0 THEN 0.0 WHEN s2_ = 0 THEN (g1 - alpha * s1_) / d11
+                       ELSE ((g1 - alpha * s1_) * d22 - d12 * (g2 - alpha * s2_)) / (d11 * d22 - d12 * d12) END AS w1,
+                  CASE WHEN s2_ = 0 THEN 0.0 WHEN s1_ = 0 THEN (g2 - alpha * s2_) / d22
+                       ELSE (d11 * (g2 - alpha * s2_) - d12 * (g1 - alpha * s1_)) / (d11 * d22 - d12 * d12) END AS w2 FROM s),
+          v AS (SELECT * FROM w WHERE sign(w1) = s1_ AND sign(w2) = s2_
+                  AND (s1_ <> 0 OR abs(g1 - d12 * w2) <= alpha) AND (s2_ <> 0 OR abs(g2 - d12 * w1) <= alpha)),
+          i AS (SELECT *, (rsy - w1 * rs1 - w2 * rs2) / rn AS b FROM v),
+          {held_out},
+          mean AS (SELECT alpha, avg(sqrt(sse / n)) AS rmse FROM e GROUP BY alpha)
+          SELECT {O.rnd('i.alpha')} AS alpha, {O.rnd('mean.rmse')} AS rmse, {O.rnd('b')} AS intercept, {O.rnd('w1')} AS x1, {O.rnd('w2')} AS x2,
+            mean.rmse = (SELECT min(rmse) FROM mean) AS chosen FROM i JOIN mean USING (alpha) WHERE fold < 0"""
     q["linear_fit"] = ridge_sql("0", 4)
     q["ridge_fit"] = ridge_sql("10.0", 4)
     q["permutation_test"] = f"""WITH f AS ({PERM_FIXTURE}),

@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import math
 import os
+import random
 import uuid
 from collections.abc import Callable
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import staysift.functions as X
-from staysift.operators import enrich, explore, lookup, models, permutation, profile, sampling, schema, stats
+from staysift.operators import enrich, explore, gram, lookup, models, permutation, profile, sampling, schema, stats
 from staysift.operators import features as feat
 from staysift.plans import fixtures as fx
 from staysift.plans.jobs import clean_and_join
@@ -557,7 +558,7 @@ def q_feature_matrix(spark, sf_dir):
 def _run(spark, sf_dir, name, params=None, tune=False, draws=4):
     fm = _matrices(spark, sf_dir)
     train, test = fm.train, fm.test
-    return models.train_regressor(train, test, name, params, tune, folds=3, draws=draws, seed=42), fm
+    return models.train_regressor(train, test, name, params, tune, folds=3, draws=draws, seed=42, keys=["HotelCode"]), fm
 
 
 def _metrics_frame(spark, run):
@@ -579,16 +580,37 @@ def q_boosted_fit(spark, sf_dir):
     return _metrics_frame(spark, run)
 
 
-def q_tuned_ridge(spark, sf_dir):
+def q_listing_tuned_ridge(spark, sf_dir):
     run, _ = _run(spark, sf_dir, "ridge", tune=True)
     return _metrics_frame(spark, run)
 
 
-def q_random_search(spark, sf_dir):
+def q_listing_random_search(spark, sf_dir):
     run, _ = _run(spark, sf_dir, "lasso", tune=True, draws=12)
     return _metrics_frame(spark, run)
 
 
+def q_tuned_ridge(spark, sf_dir):
+    """Every penalty's error on every held-out fold, and the chosen one, from one pass."""
+    found = models.tune_penalty(_linear_data(spark, sf_dir), "ridge", ["l_orderkey", "l_linenumber"])
+    rows = [(a, f, e, r, a == found.alpha) for a, f, e, r in found.rows]
+    out = spark.createDataFrame(rows, "alpha double, fold int, rmse double, r2 double, chosen boolean")
+    return _round_cols(out, ["alpha", "rmse", "r2"])
+
+
+def q_random_search(spark, sf_dir):
+    """Twelve drawn lasso penalties: mean error over the folds, the coefficients of all
+    rows along the path, and the chosen penalty, from one pass."""
+    grams = gram.fold_grams(_linear_data(spark, sf_dir), ["l_orderkey", "l_linenumber"])
+    drawn = random.Random(42).sample(models.LASSO_SEARCH_ALPHAS, 12)
+    found = gram.search_penalty(grams, drawn, "lasso")
+    mean = found.mean_rmse()
+    path = gram.lasso_path(grams.sum(axis=0), drawn)
+    rows = [(a, mean[a], float(b), float(w[0]), float(w[1]), a == found.alpha) for a, (b, w) in zip(drawn, path, strict=True)]
+    out = spark.createDataFrame(rows, "alpha double, rmse double, intercept double, x1 double, x2 double, chosen boolean")
+    return _round_cols(out, ["alpha", "rmse", "intercept", "x1", "x2"])
+
+
 def q_model_comparison(spark, sf_dir):
     fm = _matrices(spark, sf_dir)
     train, test = fm.train, fm.test
@@ -639,6 +661,8 @@ REGISTRY.update({
     "boosted_fit": q_boosted_fit,
     "tuned_ridge": q_tuned_ridge,
     "random_search": q_random_search,
+    "listing_tuned_ridge": q_listing_tuned_ridge,
+    "listing_random_search": q_listing_random_search,
     "model_comparison": q_model_comparison,
     "feature_importance": q_feature_importance,
     "permutation_test": q_permutation_test,
