@@ -108,8 +108,41 @@ def cohens_d(df: DataFrame, value: str, is_high: Column) -> DataFrame:
     return agg.withColumn("cohens_d", (F.col("mean_high") - F.col("mean_low")) / pooled)
 
 
-def mann_whitney(df: DataFrame, value: str, is_high: Column, continuity: bool = True) -> DataFrame:
-    """Two-sided Mann-Whitney U (normal approximation with tie correction).
+EXACT_SMALLER = 8  # rows of the smaller sample up to which "auto" is exact
+EXACT_CELLS = 20_000_000  # and products of the sample sizes
+
+
+def exact_u_p(u: float, n1: int, n2: int) -> float:
+    """Two-sided p of the Mann-Whitney U statistic without ties, from the number of orders
+    of the two samples for each value of U: the coefficients of a Gaussian binomial, of which the
+    tail up to the smaller U is counted. Shares of all orders stand for counts, so any sizes do."""
+    small, large = min(n1, n2), max(n1, n2)
+    if small < 1:
+        return float("nan")
+    tail = int(math.floor(min(u, n1 * n2 - u) + 1e-9))
+    ways = np.zeros(tail + 1)
+    ways[0] = 1.0
+    for i in range(1, small + 1):
+        # one more row in the smaller sample: times (1 - q^(large + i)) / (1 - q^i)
+        if large + i <= tail:
+            ways[large + i :] = ways[large + i :] - ways[: tail + 1 - large - i].copy()
+        padded = np.zeros(-(-(tail + 1) // i) * i)
+        padded[: tail + 1] = ways
+        ways = np.cumsum(padded.reshape(-1, i), axis=0).ravel()[: tail + 1] * (i / (large + i))
+    return float(min(1.0, 2.0 * ways.sum()))
+
+
+@F.pandas_udf(DoubleType())
+def exact_u_p_udf(u: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    return pd.Series([exact_u_p(a, int(b), int(c)) if pd.notna(a) else np.nan for a, b, c in zip(u, n1, n2, strict=True)])
+
+
+def mann_whitney(df: DataFrame, value: str, is_high: Column, continuity: bool = True, method: str = "auto") -> DataFrame:
+    """Two-sided Mann-Whitney U: by the normal approximation with tie correction
+    (``method="asymptotic"``) or by the exact distribution of U (``"exact"``, which holds without
+    ties). ``"auto"`` is exact where no value occurs twice, the smaller sample has at most
+    ``EXACT_SMALLER`` rows and the sample sizes multiply to at most ``EXACT_CELLS``. Either way one
+    aggregated row is all that the p-value is computed from; ``exact`` says which it was.
 
     Ranks are computed on the table of distinct values (counts per sample), with
     mid-ranks for ties: rank(v) = rows_before(v) + (count(v) + 1) / 2.
@@ -138,15 +171,25 @@ def mann_whitney(df: DataFrame, value: str, is_high: Column, continuity: bool =
     n = n1 + n2
     u1 = F.col("r1") - n1 * (n1 + 1) / 2.0
     u_max = F.greatest(u1, n1 * n2 - u1)
-    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("tie") / (n * (n - 1))))
-    z = (u_max - n1 * n2 / 2.0 - (0.5 if continuity else 0.0)) / sigma
+    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.try_divide(F.col("tie"), n * (n - 1))))
+    z = F.try_divide(u_max - n1 * n2 / 2.0 - (0.5 if continuity else 0.0), sigma)  # NULL without spread
+    if method not in ("auto", "exact", "asymptotic"):
+        raise ValueError("method must be 'auto', 'exact' or 'asymptotic'")
+    fits = (F.col("tie") == 0) & (F.least(n1, n2) <= EXACT_SMALLER) & (n1 * n2 <= EXACT_CELLS)
+    exact = {"auto": F.coalesce(fits, F.lit(False)), "exact": F.lit(True), "asymptotic": F.lit(False)}[method]
     out = agg.select(
         n1.cast("bigint").alias("n_high"),
         n2.cast("bigint").alias("n_low"),
         u1.alias("u_statistic"),
         z.alias("z"),
+        exact.alias("exact"),
     )
-    return out.withColumn("p_value", normal_p_udf("z")).withColumn("test", F.lit("Mann-Whitney U"))
+    if method == "asymptotic":
+        p = normal_p_udf("z")
+    else:  # only where it applies is the distribution counted
+        counted = exact_u_p_udf(F.when(F.col("exact"), F.col("u_statistic")), "n_high", "n_low")
+        p = F.when(F.col("exact"), counted).otherwise(normal_p_udf("z"))
+    return out.withColumn("p_value", p).withColumn("test", F.lit("Mann-Whitney U"))
 
 
 def ols_simple(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -399,6 +399,17 @@ def _io() -> dict[str, str]:
                 FROM (SELECT regr_count({y}, {x}) AS n, regr_slope({y}, {x}) AS b, regr_r2({y}, {x}) AS r2,
                              regr_sxx({y}, {x}) AS sxx, regr_syy({y}, {x}) AS syy FROM lineitem)) s)""")
     q["ols_p_value"] = " UNION ALL ".join(parts)
+    # every choice of five ranks among 25 is as likely: those at least as far out are counted
+    q["mann_whitney_small"] = f"""WITH means AS (SELECT c_mktsegment AS segment, o_orderpriority, avg(o_totalprice) AS mean
+            FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+          ranked AS (SELECT *, row_number() OVER (ORDER BY mean) AS r FROM means),
+          u AS (SELECT segment, count(*) AS n1, sum(r) - 15 AS u FROM ranked GROUP BY segment),
+          g AS (SELECT CAST(unnest(range(1, 26)) AS INTEGER) AS r),
+          picks AS (SELECT a.r + b.r + c.r + d.r + e.r - 15 AS u FROM g a, g b, g c, g d, g e
+                    WHERE a.r < b.r AND b.r < c.r AND c.r < d.r AND d.r < e.r)
+          SELECT segment, n1 AS n_high, CAST(25 - n1 AS BIGINT) AS n_low, CAST(u AS DOUBLE) AS u_statistic,
+            {O.rnd("least(1.0, 2.0 * (SELECT count(*) FROM picks WHERE picks.u <= least(u.u, 100 - u.u)) / CAST(53130 AS DOUBLE))")} AS p_value,
+            TRUE AS exact FROM u"""
     q["regplot_band"] = _regplot_band_sql()
     share = "CAST(0.2 AS DOUBLE)"
     widths = " + ".join(

@@ -395,6 +395,22 @@ def q_mann_whitney(spark, sf_dir):
         out.select("n_high", "n_low", "u_statistic", "z", "p_value", "interpretation"), ["u_statistic", "z", "p_value"])
 
 
+def q_mann_whitney_small(spark, sf_dir):
+    """Mean order prices of one market segment against the others', one value for each segment and
+    order priority: five values against twenty, so the exact distribution of U."""
+    customers = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    orders = fx.table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_totalprice")
+    means = orders.join(customers, "o_custkey").groupBy("c_mktsegment", "o_orderpriority").agg(F.avg("o_totalprice").alias("mean"))
+    parts = []
+    for segment in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"):
+        m = stats.mann_whitney(means, "mean", F.col("c_mktsegment") == segment)
+        parts.append(m.select(F.lit(segment).alias("segment"), "n_high", "n_low", "u_statistic", "p_value", "exact"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return _round_cols(out, ["u_statistic", "p_value"])
+
+
 def q_ols_simple(spark, sf_dir):
     li = fx.table(spark, sf_dir, "lineitem")
     out = stats.ols_simple(li, "l_quantity", "l_extendedprice")
@@ -427,6 +443,7 @@ REGISTRY.update({
     "box_summary_lineitem": q_box_summary_lineitem,
     "cohens_d": q_cohens_d,
     "mann_whitney": q_mann_whitney,
+    "mann_whitney_small": q_mann_whitney_small,
     "ols_simple": q_ols_simple,
     "regplot_band": q_regplot_band,
 })

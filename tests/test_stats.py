@@ -130,3 +130,35 @@ def test_regression_band_shape(spark):
     assert len(out) == 10
     for r in out:
         assert r.band_low <= r.fit <= r.band_high
+
+
+def test_exact_u_equals_enumeration():
+    """Every order of two samples, for all sizes up to 8 against 8."""
+    from itertools import combinations
+    from math import comb
+
+    from staysift.operators.stats import exact_u_p
+
+    for n1 in range(1, 9):
+        for n2 in range(1, 9):
+            if comb(n1 + n2, n1) > 6500:
+                continue
+            us = [sum(c) - n1 * (n1 - 1) // 2 for c in combinations(range(n1 + n2), n1)]
+            for u in range(n1 * n2 + 1):
+                want = min(1.0, 2 * sum(x <= min(u, n1 * n2 - u) for x in us) / len(us))
+                assert abs(exact_u_p(u, n1, n2) - want) < 1e-12
+    assert abs(exact_u_p(0, 8, 100_000) - 2 / comb(100_008, 8)) < 1e-12 * 2 / comb(100_008, 8) + 1e-45
+
+
+def test_exact_method_is_chosen_without_ties(spark):
+    from pyspark.sql import functions as F
+
+    from staysift.operators.stats import mann_whitney
+
+    rows = [(float(3 * k % 29), k < 7) for k in range(20)]
+    run = lambda data, **kw: mann_whitney(spark.createDataFrame(data, "v double, g boolean"), "v", F.col("g"), **kw).first()
+    assert run(rows)["exact"] and not run(rows, method="asymptotic")["exact"]
+    assert abs(run(rows)["p_value"] - run(rows, method="asymptotic")["p_value"]) < 0.05
+    assert not run([*rows, (0.0, True)])["exact"]  # a tie
+    assert not run([(float(k), k % 2 == 0) for k in range(30)])["exact"]  # large samples
+    assert run([(1.0, True), (None, False)])["p_value"] is None or np.isnan(run([(1.0, True), (None, False)])["p_value"])
