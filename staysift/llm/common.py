@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,47 @@ def remove_stored(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+BATCH_BYTES = 4 << 20  # of one Arrow batch on its way to a Python worker
+
+
+def bounded_batches(df: DataFrame, max_bytes: int = BATCH_BYTES) -> DataFrame:
+    """``df``, with Arrow batches of its session cut by bytes as well as by rows: ten thousand
+    long texts in one batch would fill a worker. A smaller limit of the session stays."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int((conf.get(key, None) or str(max_bytes + 1)).rstrip("b")) > max_bytes:
+        conf.set(key, str(max_bytes))
+    return df
+
+
+class BoundedCache:
+    """Values by key for a bounded number of bytes: when the young generation is full it
+    becomes the old one, and what is met again moves back to the young one."""
+
+    ENTRY = 180  # bytes of an entry besides its key and value
+
+    def __init__(self, max_bytes: int):
+        self.max_bytes = max_bytes
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def many(self, keys: list[str], make: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """The value of each key (distinct keys); ``make`` gives those of unknown keys."""
+        values = list(map(self.young.get, keys))
+        absent = [i for i, v in enumerate(values) if v is None]
+        for i in absent:
+            values[i] = self.old.get(keys[i])
+        unknown = [i for i in absent if values[i] is None]
+        for i, v in zip(unknown, make([keys[i] for i in unknown]), strict=True):
+            values[i] = v
+        for i in absent:
+            self.size += self.ENTRY + 2 * len(keys[i]) + len(values[i])
+            if self.size > self.max_bytes:
+                self.young, self.old, self.size = {}, self.young, 0
+            self.young[keys[i]] = values[i]
+        return values
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -80,6 +121,18 @@ def text_blocks(batches: Iterator[pa.RecordBatch], text: int, max_bytes: int = 8
             start = stop
 
 
+def rows_where(docs: DataFrame, text_col: str, decide: Callable[[list[str | None]], np.ndarray]) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text ``decide`` is true for. Only the text goes to
+    the Python workers and one boolean comes back, so whole rows never leave the JVM."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        blocks = text_blocks(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), 0)
+        return pa.concat_arrays([pa.array([], pa.bool_()), *[pa.array(decide(b.column(0).to_pylist()), pa.bool_()) for b in blocks]])
+
+    chosen = F.arrow_udf(run, "boolean")
+    return bounded_batches(docs).where(chosen(F.col(text_col).cast("string")))
+
+
 # A space before white space, or at the end: the splitting pattern may then run a
 # match across the space (fixed set: Unicode white space and the separators 1C-1F).
 _JOINED_SPACES = (

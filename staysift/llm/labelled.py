@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,22 +39,6 @@ def labelled_rows(
     return rows, share
 
 
-def labelled_sample(
-    docs: DataFrame,
-    labels: DataFrame,
-    label: str,
-    per_class: int,
-    max_chars: int,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> tuple[pd.DataFrame, float]:
-    """The rows and the share of :func:`labelled_rows` on the driver, each text by its first
-    ``max_chars`` characters. The sample's size bounds what reaches the driver."""
-    cut = docs.withColumn(text_col, F.substring(F.col(text_col).cast("string"), 1, max_chars))
-    rows, share = labelled_rows(cut, labels, label, per_class, id_col, text_col)
-    return rows.toPandas().sort_values("id").reset_index(drop=True), share
-
-
 def with_prior(model: tuple[np.ndarray, np.ndarray, np.ndarray], y: np.ndarray, share: float):
     """The logistic model fitted on a sample with labels ``y``, moved to the share of
     class 1 among all rows."""

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staysift.llm.common import text_blocks
-from staysift.llm.labelled import fit_logistic, labelled_sample, predict_logistic, with_prior
+from staysift.llm.common import bounded_batches, rows_where, text_blocks
+from staysift.llm.labelled import fit_logistic, labelled_rows, predict_logistic, with_prior
 
 _UPPER = string.ascii_uppercase.encode()
 _DIGIT = string.digits.encode()
@@ -179,37 +179,35 @@ def fit_chain(
     return w, t
 
 
-def fit(texts: list[str], good: np.ndarray, share: float, longest: int = 100) -> QualityModel:
+def fit(texts: list[str], good: np.ndarray, share: float, chain_lines: int = 100) -> QualityModel:
     """Fit the chain, then the calibration of the document score (to the ``share`` of good
-    documents among all labelled). Only the first
-    ``longest`` lines of a training document are used to fit the chain."""
+    documents among all labelled). All lines take part; a training document of more than
+    ``chain_lines`` lines is several chains, so that only the transitions between these are not learnt."""
     if not len(good) or good.min() == good.max():
         return QualityModel(None, np.zeros((2, 2)), None, share)
-    weights, transition = fit_chain([line_features(t)[0][:longest] for t in texts], good)
+    chains, of = [], []
+    for text, label in zip(texts, good, strict=True):
+        x = line_features(text)[0]
+        for at in range(0, len(x), chain_lines):
+            chains.append(x[at : at + chain_lines])
+            of.append(label)
+    weights, transition = fit_chain(chains, np.array(of))
     model = QualityModel(weights, transition, None, share)
     raw = np.array([[model.raw(t)] for t in texts])
     model.logistic = with_prior(fit_logistic(raw, good.astype(float), l2=1e-4), good, share)
     return model
 
 
-def fit_sample(
-    docs: DataFrame, labels: DataFrame, per_class: int = 600, max_chars: int = 20_000, id_col: str = "doc_id", text_col: str = "text"
-) -> QualityModel:
-    """Fit on a bounded sample of training documents (see :func:`labelled_sample`)."""
-    sample, share = labelled_sample(docs, labels, "quality", per_class, max_chars, id_col, text_col)
+def fit_sample(docs: DataFrame, labels: DataFrame, per_class: int = 600, id_col: str = "doc_id", text_col: str = "text") -> QualityModel:
+    """Fit on a bounded sample of whole training documents (see :func:`labelled_rows`)."""
+    rows, share = labelled_rows(bounded_batches(docs), labels, "quality", per_class, id_col, text_col)
+    sample = rows.toPandas().sort_values("id").reset_index(drop=True)
     return fit(sample["text"].tolist(), sample["label"].to_numpy(dtype=int), share)
 
 
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose score reaches ``threshold``: a map."""
-    at = docs.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in text_blocks(batches, at):
-            scores = model.score([t or "" for t in block.column(at).to_pylist()])
-            yield block.filter(pa.array(scores >= threshold))
-
-    return docs.mapInArrow(run, docs.schema)
+    return rows_where(docs, text_col, lambda texts: model.score([t or "" for t in texts]) >= threshold)
 
 
 def score_quality(
@@ -217,7 +215,6 @@ def score_quality(
     labels: DataFrame,
     training_docs: DataFrame | None = None,
     per_class: int = 600,
-    max_chars: int = 20_000,
     threshold: float = 0.3,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -225,13 +222,12 @@ def score_quality(
     """Score every whole text of ``docs``: id, ``score`` (0 to 1), ``predicted``
     (``score >= threshold``).
 
-    The model is fitted on at most ``per_class`` training documents of each class, of
-    ``max_chars`` characters each. A NULL or empty text is one empty line; without labels
+    The model is fitted on at most ``per_class`` whole training documents of each class. A NULL or empty text is one empty line; without labels
     of both classes the score is the base rate (0.5 without any). NULL ids and repeated
     rows are kept; other columns are not read; an empty table gives no rows.
     """
-    model = fit_sample(docs if training_docs is None else training_docs, labels, per_class, max_chars, id_col, text_col)
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    model = fit_sample(docs if training_docs is None else training_docs, labels, per_class, id_col, text_col)
+    source = bounded_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, 1):
