@@ -32,8 +32,8 @@ from staysift.llm.common import stored
 from staysift.llm.ngram_join import components
 
 NEAR = 1e-9  # closer than this to a limit, a comparison is repeated in a fixed order of operations
-TILE = 512  # home vectors compared at once
-WIDE = 4096  # with so many others
+TILE = 256  # home vectors compared at once
+WIDE = 2048  # with so many others
 DENSE = 0.02  # share of candidates in a tile from which all its cosines are computed at once
 COARSE = 1e-5  # rounding of single-precision squared distances, and more
 SPREAD = 4.0  # deviations of a coordinate that most vectors lie within
@@ -98,6 +98,16 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.nonzero`` of a mostly false mask: eight cells are looked at together."""
+    flat = mask.ravel()
+    if flat.size % 8:
+        return np.nonzero(mask)
+    words = np.flatnonzero(flat.view(np.uint64))
+    r, c = np.nonzero(flat.reshape(-1, 8)[words])
+    return np.divmod(8 * words[r] + c, mask.shape[1])
+
+
 class Cell:
     """Compares the home vectors of a cell with all its vectors in one block. A tile is met by
     one matrix product; what it leaves open is decided pair by pair in a fixed order of
@@ -142,10 +152,10 @@ class Cell:
             return None
         limit = self.blocks.cosine
         if count <= DENSE * out.size:
-            p, q = np.nonzero(out)
+            p, q = _places(out)
             out[p, q] = False
             p, q = p + i.start, q + j.start
-            cosine = _products(self.a[p], self.b[q])
+            cosine = np.einsum("ij,ij->i", self.a[p], self.b[q])
             keep = cosine >= limit - NEAR
             p, q, cosine = p[keep], q[keep], cosine[keep]
             keep = self._cosines(p, q, cosine) & self._paired(self.block, p, q)
