@@ -14,17 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staysift.operators.lookup import checked_broadcast
-from staysift.operators.ranking import bucketed_prefix
+from staysift.operators.selection import quantiles
 from staysift.session import written
 
 
-def _and(conds):
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
-
-
 def _not_null(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     cond = None
     for k in keys:
@@ -109,79 +102,32 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return out
 
 
-def _quantile_targets(counts: DataFrame, group: Sequence[str], qs: Sequence[float]) -> DataFrame:
-    """(group, q, k) for the two order statistics linear interpolation needs."""
-    rows = []
-    for q in qs:
-        h = (F.col("__n") - 1) * F.lit(q)
-        rows.append(F.struct(F.lit(q).alias("q"), h.alias("h"), F.floor(h).alias("k"), F.lit("lo").alias("side")))
-        rows.append(F.struct(F.lit(q).alias("q"), h.alias("h"), F.ceil(h).alias("k"), F.lit("hi").alias("side")))
-    return counts.select(*group, "__n", F.explode(F.array(*rows)).alias("t")).select(*group, "__n", "t.*")
+def _measured(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """``(group..., __v)`` without NULLs and NaN, written once: the later passes scan it."""
+    rows = _not_null(df.select(*group, F.col(value).cast("double").alias("__v")), [*group, "__v"])
+    return written(rows.where(~F.isnan("__v")), "measured")
 
 
 def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, qs: Sequence[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation (numpy's default) per group.
-
-    Works on distinct (group, value) counts ranked by ``rows_before``; the k-th
-    order statistic is the value whose [before, before + cnt) interval holds k.
-    Memory per task stays bounded by a range bucket, never a whole group.
-    Returns (group..., q, quantile).
+    """Exact quantiles with linear interpolation (numpy's default) per group, by histogram
+    narrowing (``operators.selection``): no sort and no shuffle of values. NULL and NaN
+    values are missing. Returns (group..., q, quantile).
     """
-    return quantiles_of_counts(value_counts(df, group, value), group, qs)
-
-
-def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    """Distinct (group, value) with their count: ``(group..., __v, __c)``."""
-    src = _not_null(df.select(*group, F.col(value).cast("double").alias("__v")), [*group, "__v"])
-    return src.groupBy(*group, "__v").agg(F.count(F.lit(1)).alias("__c"))
-
-
-def quantiles_of_counts(counts: DataFrame, group: Sequence[str], qs: Sequence[float]) -> DataFrame:
-    """:func:`exact_quantiles` of an already counted table (see :func:`value_counts`)."""
-    ranked, offsets = bucketed_prefix(counts, ["__v"], group, "__c", out_col="__before")
-    # group sizes from the small bucket table (no second pass over the counts)
-    n = offsets.groupBy(*group).agg(F.sum("__bt").alias("__n"))
-    targets = _quantile_targets(n, group, qs)
-    # locate each target's bucket on the small bucket table first ...
-    t, o = targets.alias("t"), offsets.alias("o")
-    tb = t.join(
-        o,
-        _and([F.col(f"t.{g}").eqNullSafe(F.col(f"o.{g}")) for g in group]
-             + [F.col("t.k") >= F.col("o.__off"), F.col("t.k") < F.col("o.__off") + F.col("o.__bt")]),
-        "inner",
-    ).select(*[F.col(f"t.{g}").alias(g) for g in group], "t.q", "t.h", "t.k", "t.side", "o.__b")
-    # ... then equi-join on (group, bucket): one bucket's values per probe
-    a, r = tb.alias("a"), ranked.alias("r")
-    hit = a.join(
-        r,
-        _and([F.col(f"a.{g}").eqNullSafe(F.col(f"r.{g}")) for g in group]
-             + [F.col("a.__b") == F.col("r.__b"), F.col("a.k") >= F.col("r.__before"),
-                F.col("a.k") < F.col("r.__before") + F.col("r.__c")]),
-        "inner",
-    ).select(*[F.col(f"a.{g}").alias(g) for g in group], "a.q", "a.h", "a.k", "a.side", F.col("r.__v").alias("v"))
-    pivot = hit.groupBy(*group, "q", "h").agg(
-        F.max(F.when(F.col("side") == "lo", F.col("v"))).alias("lo"),
-        F.max(F.when(F.col("side") == "hi", F.col("v"))).alias("hi"),
-        F.max(F.when(F.col("side") == "lo", F.col("k"))).alias("klo"),
-    )
-    return pivot.select(
-        *group, "q", (F.col("lo") + (F.col("h") - F.col("klo")) * (F.col("hi") - F.col("lo"))).alias("quantile")
-    )
+    return quantiles(_measured(df, group, value), group, "__v", qs)
 
 
 def box_summary(df: DataFrame, group: str, value: str, whisker: float = 1.5) -> DataFrame:
     """Box-plot numbers per group: q1, median, q3, whiskers (most extreme values
     within ``whisker`` IQRs of the box), outlier count, n."""
-    # the source is read once: quartiles, whiskers and outliers all come from its counts
-    counts = written(value_counts(df, [group], value), "box-counts")
-    qs = quantiles_of_counts(counts, [group], [0.25, 0.5, 0.75])
+    rows = _measured(df, [group], value)
+    qs = quantiles(rows, [group], "__v", [0.25, 0.5, 0.75])
     wide = qs.groupBy(group).agg(
         F.max(F.when(F.col("q") == 0.25, F.col("quantile"))).alias("q1"),
         F.max(F.when(F.col("q") == 0.5, F.col("quantile"))).alias("median"),
         F.max(F.when(F.col("q") == 0.75, F.col("quantile"))).alias("q3"),
     )
-    # one row per group, broadcast after a count; the counted side is never the build side
-    j = counts.withColumnRenamed("__v", "__val").join(checked_broadcast(written(wide, "box-quartiles")), group, "inner")
+    # one row per group, broadcast after a count; the measured side is never the build side
+    j = rows.withColumnRenamed("__v", "__val").join(checked_broadcast(written(wide, "box-quartiles")), group, "inner")
     iqr = F.col("q3") - F.col("q1")
     lo_fence = F.col("q1") - F.lit(whisker) * iqr
     hi_fence = F.col("q3") + F.lit(whisker) * iqr
@@ -189,7 +135,6 @@ def box_summary(df: DataFrame, group: str, value: str, whisker: float = 1.5) ->
     return j.groupBy(group, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("__val"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("__val"))).alias("whisker_high"),
-        F.sum(F.when(~inside, F.col("__c")).otherwise(0)).cast("bigint").alias("outliers"),
-        F.sum("__c").cast("bigint").alias("n"),
+        F.count(F.when(~inside, 1)).cast("bigint").alias("outliers"),
+        F.count(F.lit(1)).cast("bigint").alias("n"),
     )
-
