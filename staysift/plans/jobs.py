@@ -68,7 +68,7 @@ def run_cleaning(
     (optionally) the joined table; returns the written paths.
 
     Rows whose fields do not fit the header are written to ``hotels_rejected`` and
-    ``world_cities_rejected`` with the reason, and more than ``max_rejected_share`` of a source
+    ``world_cities_rejected`` (where there are any) with the reason, and more than ``max_rejected_share`` of a source
     rejected is an error (``malformed="reject"``); they can be cut or padded (``"keep"``) or stop
     the scan at once (``"fail"``) instead. The cleaned gazetteer is written first and read back
     for the join, so the join plans from a materialised, counted table (no recomputation of
@@ -87,7 +87,8 @@ def run_cleaning(
         landing = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
         landings.append(landing)
         found = land_csv(spark, path, landing, encoding, multi_line, max_rejected_share, limit)
-        rejected[name] = write_table(found.rejected, os.path.join(output_dir, name), output_format)
+        if found.rejected_rows:
+            rejected[name] = write_table(found.rejected, os.path.join(output_dir, name), output_format)
         return found.kept
 
     if malformed == "reject":
