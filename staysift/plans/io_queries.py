@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from staysift.operators import features, lookup, models, schema
@@ -132,22 +132,50 @@ def q_read_joined(spark, sf_dir):
 
 def q_read_catalogue(spark, sf_dir):
     """Data sets by name, in any case, as text columns, and with all columns (expanded)."""
-    path = sinks.write_table(fx.table(spark, sf_dir, "nation"), _dir(spark, "csv"), "csv")
-    by_name = readers.read_datasets(spark, {"Nation": path}, ["NATION"])["NATION"]
+    path = sinks.write_table(fx.table(spark, sf_dir, "customer"), _dir(spark, "csv"), "csv")
+    by_name = readers.read_datasets(spark, {"Customer": path}, ["CUSTOMER"])["CUSTOMER"]
     wide = readers.read_expanded_source(spark, path)
     plain = readers.read_text_csv(spark, path)
-    parts = [d.select(F.lit(tag).alias("source"), "n_nationkey", "n_name") for tag, d in (("catalogue", by_name), ("expanded", wide), ("text", plain))]
+    parts = [d.select(F.lit(tag).alias("source"), "c_custkey", "c_name") for tag, d in (("catalogue", by_name), ("expanded", wide), ("text", plain))]
     return parts[0].union(parts[1]).union(parts[2])
 
 
+def _first_file(df: DataFrame, order: list, path: str) -> str:
+    """Write ``df`` in the given order as CSV files and name the first of them."""
+    sinks.write_table(df.orderBy(*order), path, "csv")
+    return f"{path}/part-00000*"
+
+
 def q_peek(spark, sf_dir):
-    """The first rows and the first raw lines of a CSV file (here one sorted file)."""
-    path = _dir(spark, "csv")
-    sinks.write_table(fx.table(spark, sf_dir, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey").coalesce(1), path, "csv")
-    rows = readers.peek(spark, path, 5).select(F.lit("row").alias("kind"), F.concat_ws(",", "n_nationkey", "n_name").alias("value"))
+    """The first rows and the first raw lines of a sorted CSV."""
+    customers = fx.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    path = _first_file(customers, ["c_custkey"], _dir(spark, "csv"))
+    rows = readers.peek(spark, path, 5).select(F.lit("row").alias("kind"), F.concat_ws(",", "c_custkey", "c_name").alias("value"))
     return rows.union(readers.head_lines(spark, path, 3).select(F.lit("line"), "value"))
 
 
+def q_first_listings(spark, sf_dir):
+    """The listings reader's first rows (its limit) of a sorted CSV."""
+    listings = fx.listings_raw(spark, sf_dir).select("HotelCode", "HotelName", "cityCode", "countyCode")
+    path = _first_file(listings, [F.col("HotelCode").cast("bigint")], _dir(spark, "csv"))
+    return readers.read_listings_csv(spark, path, columns="all", limit=7).select("HotelCode", "HotelName", "cityCode")
+
+
+def q_run_metrics(spark, sf_dir):
+    """Metrics documents of three runs, read back together and ranked by RMSE."""
+    from staysift.plans.queries import LINEAR_FIXTURE, rnd
+
+    fx.register_tables(spark, sf_dir, ("lineitem",))
+    rows = spark.sql(LINEAR_FIXTURE)
+    base = _dir(spark, "runs")
+    for run, scale in (("half", 0.5), ("third", 0.33), ("none", 0.0)):
+        scored = rows.select(F.col("x1").alias("label"), (F.col("y") * scale).alias("prediction"))
+        sinks.write_json_doc(spark, models.regression_metrics(scored).first().asDict(), f"{base}/{run}")
+    found = readers.read_run_metrics(spark, f"{base}/*")
+    order = Window.orderBy("rmse", "run")  # one row per run
+    return found.select("run", F.row_number().over(order).alias("place"), rnd("rmse").alias("rmse"), rnd("mae").alias("mae"), "n")
+
+
 def q_cleaning_job(spark, sf_dir):
     """The whole cleaning job from CSV files to the written joined table."""
     base = _dir(spark, "cleaning")
@@ -212,6 +240,8 @@ REGISTRY: dict[str, Query] = {
     "read_joined": q_read_joined,
     "read_catalogue": q_read_catalogue,
     "peek": q_peek,
+    "first_listings": q_first_listings,
+    "run_metrics": q_run_metrics,
     "csv_rejects": q_csv_rejects,
     "cleaning_job": q_cleaning_job,
     "train_job": q_train_job,
@@ -253,11 +283,16 @@ def oracles() -> dict[str, str]:
             CASE WHEN CAST(HotelCode AS BIGINT) % 2 = 0 THEN Attractions END AS Attractions,
             CASE WHEN CAST(HotelCode AS BIGINT) % 2 = 0 THEN HotelFacilities END AS HotelFacilities FROM listings_raw""",
         "read_joined": O.with_base("SELECT HotelCode, facilities_keyword_hits, city_population FROM joined"),
-        "read_catalogue": """SELECT s.source, CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name
-            FROM nation, (VALUES ('catalogue'), ('expanded'), ('text')) s(source)""",
-        "peek": """SELECT 'row' AS kind, n_nationkey || ',' || n_name AS value FROM (SELECT * FROM nation ORDER BY n_nationkey LIMIT 5)
-            UNION ALL SELECT 'line', 'n_nationkey,n_name'
-            UNION ALL SELECT 'line', n_nationkey || ',' || n_name FROM (SELECT * FROM nation ORDER BY n_nationkey LIMIT 2)""",
+        "read_catalogue": """SELECT s.source, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name
+            FROM customer, (VALUES ('catalogue'), ('expanded'), ('text')) s(source)""",
+        "peek": """SELECT 'row' AS kind, c_custkey || ',' || c_name AS value FROM (SELECT * FROM customer ORDER BY c_custkey LIMIT 5)
+            UNION ALL SELECT 'line', 'c_custkey,c_name'
+            UNION ALL SELECT 'line', c_custkey || ',' || c_name FROM (SELECT * FROM customer ORDER BY c_custkey LIMIT 2)""",
+        "first_listings": raw + "SELECT HotelCode, HotelName, cityCode FROM listings_raw ORDER BY CAST(HotelCode AS BIGINT) LIMIT 7",
+        "run_metrics": f"""WITH f AS ({LINEAR_FIXTURE}),
+            m AS (SELECT run, sqrt(avg((y * scale - x1) * (y * scale - x1))) AS rmse, avg(abs(y * scale - x1)) AS mae, count(*) AS n
+              FROM f, (VALUES ('half', CAST(0.5 AS DOUBLE)), ('third', CAST(0.33 AS DOUBLE)), ('none', CAST(0 AS DOUBLE))) r(run, scale) GROUP BY run)
+            SELECT run, CAST(row_number() OVER (ORDER BY rmse, run) AS INTEGER) AS place, {O.rnd('rmse')} AS rmse, {O.rnd('mae')} AS mae, n FROM m""",
         "cleaning_job": O.with_base("SELECT HotelCode, hotel_star_rating, city_population FROM joined"),
         "train_job": O.with_base(f""", {rated}
             SELECT 'linear' AS model, total AS rows, total - {test} AS train_rows, {test} AS test_rows FROM s"""),
