@@ -14,75 +14,62 @@ about ``3 * capacity * log2(capacity)`` rows.
 
 from __future__ import annotations
 
-import json
 import os
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staysift.llm.common import gathered, one_word, ranked_in_groups, stored, text_blocks, text_units
+from staysift.llm.common import BoundedCache, bounded_batches, gathered, ranked_in_groups, stored, text_blocks, text_units
 
-CACHE_PIECES = 500_000  # cached encodings per Python worker; cleared when full
+CACHE_BYTES = 72 << 20  # of each generation of cached encodings, per Python worker
+BLOCK_BYTES = 8 << 20  # of text that is tokenised at once
 
 
 class PieceIds:
-    """Token ids of text units by the tokenizers library, each distinct piece once."""
+    """Token ids of text units by the tokenizers library, each distinct unit once."""
 
-    def __init__(self, vocab_path: str):
+    def __init__(self, vocab_path: str, cache_bytes: int = CACHE_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocab_path)
-        with open(vocab_path, encoding="utf-8") as f:
-            specials = [regex.escape(t["content"]) for t in json.load(f)["added_tokens"]]
-        self.special = regex.compile("|".join(specials)) if specials else None
-        self.split = regex.compile(public_tokenizers.PATTERN)
-        self.cache: dict[str, bytes] = {}
-
-    def _pieces(self, unit: str) -> list[str]:
-        if not unit:
-            return []
-        if one_word(unit) or (self.special is not None and self.special.search(unit)):
-            return [unit]  # one match, or left whole for the library to find its special strings
-        return self.split.findall(unit)
+        self.cache = BoundedCache(cache_bytes)
+
+    def _encode(self, units: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
 
     def encode(self, units: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
-        pieces = [self._pieces(u) for u in units]
-        new = list({p for ps in pieces for p in ps if p not in self.cache})
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.cache[p] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.cache.__getitem__, ps)) for ps in pieces]
+        return self.cache.many(units, self._encode)
 
 
 _encoders: dict[str, PieceIds] = {}  # one per worker process and file
 
 
-def _encoder(path: str) -> PieceIds:
+def _encoder(path: str, cache_bytes: int) -> PieceIds:
     if path not in _encoders:
-        _encoders[path] = PieceIds(path)
+        _encoders[path] = PieceIds(path, cache_bytes)
     return _encoders[path]
 
 
 def cut_pieces(
-    docs: DataFrame, vocab_path: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, vocab_path: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text",
+    cache_bytes: int = CACHE_BYTES, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Tokenise every text, append ``end_id`` and cut what is longer than ``capacity``
     into pieces of ``capacity`` tokens, of which the first may be shorter."""
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = bounded_batches(docs, block_bytes).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     end = np.array([end_id], dtype="<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocab_path)
-        for block in text_blocks(batches, 1):
+        encoder = _encoder(vocab_path, cache_bytes)
+        for block in text_blocks(batches, 1, block_bytes):
             units, codes, offsets = text_units(block.column(1).fill_null(""))
             ids, bounds = gathered(encoder.encode(units), codes, offsets)
             rows: list[tuple[int, int, int, int, int]] = []
@@ -165,6 +152,8 @@ def pack(
     end_id: int = 2,
     id_col: str = "doc_id",
     text_col: str = "text",
+    cache_bytes: int = CACHE_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens.
 
@@ -172,9 +161,10 @@ def pack(
     before it), ``length``, ``ids_crc32``, ``sequence_id``, ``offset`` (place in the
     sequence, gapless from 0). A NULL or empty text is the end token alone; NULL ids and
     repeated rows are packed like any other; other columns are not read; an empty table
-    gives no rows.
+    gives no rows. ``cache_bytes`` (two generations of cached encodings) and ``block_bytes`` bound
+    what a Python worker holds; they change the speed, not the result.
     """
-    pieces = stored(cut_pieces(docs, vocab_path, capacity, end_id, id_col, text_col), "pieces")
+    pieces = stored(cut_pieces(docs, vocab_path, capacity, end_id, id_col, text_col, cache_bytes, block_bytes), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = packing_plan(histogram, capacity)
     rows = pieces.sparkSession.createDataFrame(
