@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from staysift.llm.common import stored, text_blocks
+from staysift.llm.common import bounded_batches, stored, text_blocks
 
 SKETCH_BITS = 21  # cells of the count sketch
 SLICES = 64  # the sketch travels in so many parts
@@ -42,7 +42,9 @@ VERIFY_COST = 30.0  # of verifying a candidate, in postings read
 LIST_ROWS = 20_000  # members of a posting list per salt
 LONG_LIST = 32  # members of a posting list from which its pairs are made once, not per token
 BROADCAST_IDS = 1_000_000  # ids of documents to fetch texts of; more are joined by shuffle
-CACHE_WORDS = 500_000
+BLOCK_BYTES = 2 << 20  # of text that a task holds as shingles at once
+CACHE_WORDS = 200_000  # of at most SHORT_WORD bytes each
+SHORT_WORD = 32
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -51,7 +53,7 @@ class _WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < CACHE_WORDS:
+        if len(self) < CACHE_WORDS and len(word) <= SHORT_WORD:
             self[word] = value
         return value
 
@@ -84,11 +86,12 @@ def _scan(docs: DataFrame, size: int) -> DataFrame:
     sketch of its shingle counts in slices ``(part, slice, counts)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)  # of one task
         schema = None
-        for block in text_blocks(batches, 1):
+        for block in text_blocks(batches, 1, BLOCK_BYTES):
             sets = [shingle_set(t or "", size) for t in block.column(1).to_pylist()]
-            counts += np.bincount(_cell(np.concatenate(sets)), minlength=len(counts))
+            cells, met = np.unique(_cell(np.concatenate(sets)), return_counts=True)
+            counts[cells] += met.astype(np.uint32)
             n = len(sets)
             schema = block.column(0).type
             yield pa.RecordBatch.from_arrays(
@@ -161,7 +164,7 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for block in text_blocks(batches, 1):
+        for block in text_blocks(batches, 1, BLOCK_BYTES):
             rows, tokens, salts, ends = [], [], [], [0]
             for i, text in enumerate(block.column(1).to_pylist()):
                 h = shingle_set(text or "", size)
@@ -281,7 +284,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left = None, np.empty(0, np.uint64)
         for batch in batches:
-            for block in text_blocks(iter([batch]), 3):
+            for block in text_blocks(iter([batch]), 3, BLOCK_BYTES):
                 keep = []
                 for a_text, b_text in zip(block.column(2).to_pylist(), block.column(3).to_pylist(), strict=True):
                     if a_text != last:
@@ -340,7 +343,7 @@ def jaccard_components(
     with a NULL id takes the component of its copies, if any, else NULL. Ids must be
     orderable; other columns are not read; an empty table gives no rows.
     """
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    docs = bounded_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     scan = stored(_scan(docs, size), "ngram-scan")
     sets = scan.where("slice IS NULL").select("id", "n", "sig")
     classes = sets.where("n > 0").groupBy("sig").agg(F.min("id").alias("rep"))
