@@ -31,8 +31,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 1024 tokens."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, 2)
+    """Sequences of 1024 tokens. The workers still hold what the stages before needed: small
+    blocks and caches."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(docs, vocabulary, 1024, 2, cache_bytes=24 << 20, block_bytes=2 << 20)
 
 
 STAGES = [("quality", quality), ("language", language), ("near_duplicates", near_duplicates), ("packing", pack)]
