@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from staysift.session import ensure_checkpoint_dir
+from staysift.session import bounded_batches, ensure_checkpoint_dir
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -36,18 +36,6 @@ def remove_stored(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-BATCH_BYTES = 4 << 20  # of one Arrow batch on its way to a Python worker
-
-
-def bounded_batches(df: DataFrame, max_bytes: int = BATCH_BYTES) -> DataFrame:
-    """``df``, with Arrow batches of its session cut by bytes as well as by rows: ten thousand
-    long texts in one batch would fill a worker. A smaller limit of the session stays."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int((conf.get(key, None) or str(max_bytes + 1)).rstrip("b")) > max_bytes:
-        conf.set(key, str(max_bytes))
-    return df
-
-
 class BoundedCache:
     """Values by key for a bounded number of bytes: when the young generation is full it
     becomes the old one, and what is met again moves back to the young one."""

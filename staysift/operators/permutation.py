@@ -11,26 +11,30 @@ window). Permutation m then is arithmetic: row k receives the label of row
 ``(a_m * k + b_m) mod p``, with p the next prime, applied again while that is not a row
 number. Such maps are bijections, and on p rows they move every pair of rows to every
 pair of places equally often, so the null distribution has the mean and the variance of
-uniform permutations. Each permutation costs one equi-join on the row number.
+uniform permutations. All permutations share one join of packed blocks of row numbers, so the
+bytes moved do not grow with the number of permutations.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staysift.operators.ranking import HASH_BITS, hash_key, hash_number, rows_before
 from staysift.operators.stats import null_summary
-from staysift.session import written
+from staysift.session import bounded_batches, written
 
-# Labels (16 bytes a row) are broadcast to the permutation rows up to this many rows.
-LABEL_BROADCAST_MAX_ROWS = 2_000_000
+# A permutation joins rows by number: weights and labels are packed into blocks of consecutive
+# numbers, and every pair of blocks is joined. These are the rows of a block.
+WEIGHT_BLOCK_ROWS = 1 << 18
+LABEL_BLOCK_ROWS = 1 << 22
 
 
 def next_prime(n: int) -> int:
@@ -46,18 +50,22 @@ def affine_map(seed: int | str, m: int, prime: int) -> tuple[int, int]:
     return number("a") % (prime - 1) + 1, number("b") % prime
 
 
-def permuted_index(k: str, a: str, b: str, n: int, prime: int) -> F.Column:
+def permuted_index(k: np.ndarray, a: int, b: int, n: int, prime: int) -> np.ndarray:
     """``(a * k + b) mod prime``, applied again while the result is ``n`` or more (at most
     ``prime - n`` times: the numbers from ``n`` on are that many)."""
-    kind = "bigint" if prime < 3_000_000_000 else "decimal(38,0)"  # the product must fit
-    step = lambda x: ((F.col(a).cast(kind) * x.cast(kind) + F.col(b).cast(kind)) % F.lit(prime).cast(kind)).cast("bigint")
-    first = step(F.col(k))
-    if prime == n:
-        return first
-    walk = F.aggregate(
-        F.sequence(F.lit(1), F.lit(prime - n)), first, lambda x, _: F.when(x < n, x).otherwise(step(x))
-    )
-    return F.when(first < n, first).otherwise(walk)
+
+    def step(x: np.ndarray) -> np.ndarray:
+        if prime >= 1 << 32:  # the product must fit
+            return ((x.astype(object) * a + b) % prime).astype(np.uint64)
+        moved = x * np.uint64(a) + np.uint64(b)
+        return moved - moved // np.uint64(prime) * np.uint64(prime)
+
+    out = step(k.astype(np.uint64))
+    over = np.flatnonzero(out >= n) if prime > n else ()
+    while len(over):
+        out[over] = step(out[over])
+        over = over[out[over] >= n]
+    return out
 
 
 def _nonzeros(features: str) -> F.Column:
@@ -101,6 +109,77 @@ def coefficient_weights(
     return out.drop("__nz")
 
 
+def packed_blocks(base: DataFrame, columns: Sequence[str], rows: int, tag: str) -> DataFrame:
+    """``base`` with ``rows`` consecutive row numbers ``__k`` (from 0, gapless) in one row: block
+    ``at``, then for each column the doubles in row order and, where any is NULL, a byte per row
+    that is 0 for a NULL. Written, as every block is read once for each block it is joined with."""
+    names = [f"{kind}{i}" for i in range(len(columns)) for kind in ("v", "ok")]
+
+    def pack(group: pa.Table) -> pa.Table:
+        group = group.sort_by("__k")
+        out = [pa.array([group.column("__k")[0].as_py() // rows], pa.int64())]
+        for c in columns:
+            col = group.column(c)
+            ok = col.is_valid().to_numpy().astype(np.uint8).tobytes() if col.null_count else b""
+            out += [pa.array([v], pa.binary()) for v in (col.fill_null(0.0).to_numpy().tobytes(), ok)]
+        return pa.Table.from_arrays(out, ["at", *names])
+
+    cut = base.select("__k", *columns, F.floor(F.col("__k") / rows).alias("__block"))
+    made = cut.groupBy("__block").applyInArrow(
+        lambda group: pack(group.drop_columns("__block")), "at bigint, " + ", ".join(f"{n} binary" for n in names)
+    )
+    return written(made, tag)
+
+
+def permuted_sums(
+    weights: DataFrame, labels: DataFrame, n_features: int, maps: Sequence[tuple[int, int]], n_rows: int, prime: int
+) -> DataFrame:
+    """``perm`` (from 0) and the sum of weight times permuted label of each feature, ``s0`` and
+    on, under each of the ``maps``. Every pair of blocks (see ``packed_blocks``) is one row of a
+    cross join and adds the products of its own rows, so nothing is shuffled for each
+    permutation, and a task holds two blocks at a time. NULL products are left out."""
+
+    w_rows, y_rows = WEIGHT_BLOCK_ROWS, LABEL_BLOCK_ROWS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                part = lambda name, kind: np.frombuffer(batch.column(name)[row].as_buffer(), dtype=kind)  # noqa: E731, B023
+                w = np.stack([part(f"v{i}", float) for i in range(n_features)])
+                w_ok = [part(f"ok{i}", np.uint8) for i in range(n_features)]
+                y, y_ok = part("y", float), part("y_ok", np.uint8)
+                k = np.arange(w.shape[1], dtype=np.uint64) + np.uint64(batch.column("at")[row].as_py() * w_rows)
+                first = np.uint64(batch.column("y_at")[row].as_py() * y_rows)
+                sums: list[list[float | None]] = [[] for _ in range(n_features)]
+                for a, b in maps:
+                    place = permuted_index(k, a, b, n_rows, prime) - first  # unsigned: a smaller number wraps
+                    here = slice(None)
+                    if len(y) < n_rows:
+                        here = np.flatnonzero(place < len(y))
+                        place = place[here]
+                    if len(y_ok):
+                        known = np.flatnonzero(y_ok[place])
+                        here, place = known if isinstance(here, slice) else here[known], place[known]
+                    value = y[place]
+                    for i, out in enumerate(sums):
+                        own, v = w[i][here], value
+                        if len(w_ok[i]):
+                            keep = w_ok[i][here] > 0
+                            own, v = own[keep], v[keep]
+                        out.append(float(np.dot(own, v)) if len(v) else None)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(len(maps)), pa.int32())] + [pa.array(s, pa.float64()) for s in sums],
+                    ["perm", *[f"s{i}" for i in range(n_features)]],
+                )
+
+    right = labels.select(F.col("at").alias("y_at"), F.col("v0").alias("y"), F.col("ok0").alias("y_ok"))
+    sums = [f"s{i}" for i in range(n_features)]
+    # tasks read their blocks themselves (no broadcast through the driver), one pair in an Arrow batch
+    pairs = bounded_batches(weights.crossJoin(right.hint("shuffle_replicate_nl")))
+    found = pairs.mapInArrow(run, "perm int, " + ", ".join(f"{s} double" for s in sums))
+    return found.groupBy("perm").agg(*[F.sum(s).alias(s) for s in sums])
+
+
 def permutation_test(
     df: DataFrame,
     key_cols: Sequence[str],
@@ -110,11 +189,11 @@ def permutation_test(
     seed: int = 42,
     features: str = "features",
     label: str = "label",
-    batch_size: int | None = 100,
+    batch_size: int | None = None,
 ) -> DataFrame:
     """Observed coefficients, null distribution summary and empirical two-sided
     p-value per tested feature (one row per feature). Permutations run in
-    batches of ``batch_size`` (``None``: all in one plan)."""
+    jobs of ``batch_size`` (``None``: all in one)."""
     weighted = coefficient_weights(df, feature_names, tested, features)
     wcols = [f"w_{f}" for f in tested]
     hashed = weighted.select(
@@ -132,36 +211,14 @@ def permutation_test(
         ])).alias("r")
     ).groupBy("r.feature").agg(F.sum("r.c").alias("coef"))
 
-    labels = base.select(F.col("__k").alias("__at"), "__y")
-    lab = F.broadcast(labels) if n_rows <= LABEL_BROADCAST_MAX_ROWS else labels
-
-    def null_coefficients(first: int, last: int) -> DataFrame:
-        """Coefficients under permutations first..last (one row per perm and feature)."""
-        maps = [affine_map(seed, m, prime) for m in range(first, last + 1)]
-        each = F.explode(F.array(*[
-            F.struct(F.lit(m).alias("perm"), F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
-            for m, (a, b) in enumerate(maps, start=first)
-        ])).alias("m")
-        perms = base.select("__k", *wcols, each)
-        moved = perms.select("m.perm", *wcols, permuted_index("__k", "m.a", "m.b", n_rows, prime).alias("__at"))
-        nulls = moved.join(lab, "__at").groupBy("perm").agg(
-            *[F.sum(F.col(f"w_{f}") * F.col("__y")).alias(f) for f in tested]
-        )
-        return nulls.select(
-            "perm",
-            F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("coef")) for f in tested])).alias("r"),
-        ).select("perm", "r.feature", "r.coef")
-
-    if batch_size is None or n_permutations <= batch_size:
-        null_long = null_coefficients(0, n_permutations - 1)
-    else:
-        # one job per batch bounds the exploded shuffle to n * batch_size rows;
-        # only the per-permutation coefficients (n_permutations * features
-        # numbers) come back
-        rows = []
-        for first in range(0, n_permutations, batch_size):
-            last = min(n_permutations, first + batch_size) - 1
-            rows += [tuple(r) for r in null_coefficients(first, last).collect()]
-        null_long = base.sparkSession.createDataFrame(rows, "perm int, feature string, coef double")
+    weights = packed_blocks(base, wcols, WEIGHT_BLOCK_ROWS, "permutation-weights")
+    labels = packed_blocks(base, ["__y"], LABEL_BLOCK_ROWS, "permutation-labels")
+    rows = []  # of the coefficients: n_permutations * features numbers
+    for first in range(0, n_permutations, batch_size or max(1, n_permutations)):
+        last = min(n_permutations, first + (batch_size or n_permutations))
+        maps = [affine_map(seed, m, prime) for m in range(first, last)]
+        for r in permuted_sums(weights, labels, len(tested), maps, n_rows, prime).collect():
+            rows += [(first + r["perm"], f, r[f"s{i}"]) for i, f in enumerate(tested)]
+    null_long = base.sparkSession.createDataFrame(rows, "perm int, feature string, coef double")
     out = null_summary(null_long, observed, "feature", "coef")
     return out.withColumn("null_hypothesis", F.concat(F.lit("Coefficient for "), F.col("feature"), F.lit(" equals 0")))

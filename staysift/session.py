@@ -114,6 +114,18 @@ def spread(df):
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def tasks_of(df, rows: int, max_rows: int, *keys: str):
+    """``df`` of ``rows`` rows dealt over as many partitions as keep each at ``max_rows`` or
+    fewer on average (by ``keys``, if given), where that is more than the cores; else ``df``. A
+    plan without an exchange that has so many partitions already stays as it is."""
+    n = -(-rows // max_rows)
+    if n <= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    if not keys and "Exchange" not in df._jdf.queryExecution().executedPlan().toString() and df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, *keys)
+
+
 def written(df, tag: str):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back: cuts
     the lineage like a checkpoint, but keeps columns prunable and filters pushable."""
@@ -122,6 +134,18 @@ def written(df, tag: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 4 << 20  # of one Arrow batch on its way to a Python worker
+
+
+def bounded_batches(df, max_bytes: int = BATCH_BYTES):
+    """``df``, with Arrow batches of its session cut by bytes as well as by rows: ten thousand
+    long texts in one batch would fill a worker. A smaller limit of the session stays."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int((conf.get(key, None) or str(max_bytes + 1)).rstrip("b")) > max_bytes:
+        conf.set(key, str(max_bytes))
+    return df
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder through the file system that its path names."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
