@@ -26,6 +26,7 @@ from staysift.operators.explore import exact_quantiles
 from staysift.operators.lookup import checked_broadcast
 from staysift.operators.schema import missing_sentinel
 
+ROWS_PER_TASK = 100_000  # of the matrices
 MISSING = "__MISSING__"
 INFREQUENT = "infrequent"
 
@@ -226,7 +227,7 @@ def build_feature_matrices(
     when ``df`` is already a scan of a written table."""
     from staysift.operators.sampling import with_split_flag
     from staysift.operators.schema import rename_aliases
-    from staysift.session import materialize
+    from staysift.session import materialize, tasks_of
 
     df = rename_aliases(df)
     if target not in df.columns:
@@ -237,7 +238,9 @@ def build_feature_matrices(
     # one pass over the (possibly long) upstream plan; the split's ranking jobs,
     # the fit aggregations and both transforms read the checkpoint instead
     source = materialize(df.select(*needed)) if materialize_input else df.select(*needed)
-    flagged = materialize(with_split_flag(source, list(key_cols), target, test_share, seed, stratify))
+    flagged = with_split_flag(source, list(key_cols), target, test_share, seed, stratify)
+    # few bytes a row here, a wide vector later: tasks are bounded by rows
+    flagged = materialize(tasks_of(flagged, source.count(), ROWS_PER_TASK))
     train = flagged.where(F.col("split") == "train").drop("split")
     test = flagged.where(F.col("split") == "test").drop("split")
     prep = fit_feature_prep(train, numeric, categorical)

@@ -14,7 +14,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staysift.session import spread
+from staysift.session import spread, tasks_of
+
+LISTINGS_PER_TASK = 200_000  # texts that one task generates and parses
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -133,9 +135,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def fixture(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """``sql`` over the driver tables. Each order becomes a listing with text to parse, so
-    the orders are dealt over all cores where their file is one split."""
+    the orders are dealt over all cores where their file is one split, and over more tasks
+    where there are many: by the key of the join that comes before the texts, as a join that
+    shuffles them again would merge the tasks by the few bytes of an order."""
     register_tables(spark, sf_dir, ("nation", "customer"))
-    spread(table(spark, sf_dir, "orders")).createOrReplaceTempView("orders")
+    orders = table(spark, sf_dir, "orders")
+    tasks_of(spread(orders), orders.count(), LISTINGS_PER_TASK, "o_custkey").createOrReplaceTempView("orders")
     return spark.sql(sql)
 
 
@@ -144,7 +149,10 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gazetteer_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, sf_dir, GAZETTEER_RAW_SQL)
+    """Each customer becomes a city with text to parse: dealt over all cores like the orders."""
+    register_tables(spark, sf_dir, ("nation",))
+    spread(table(spark, sf_dir, "customer")).createOrReplaceTempView("customer")
+    return spark.sql(GAZETTEER_RAW_SQL)
 
 
 def country_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
