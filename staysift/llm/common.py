@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 from staysift.session import bounded_batches, ensure_checkpoint_dir
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared scratch folder and read it back.
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
+    """Write ``df`` as Parquet (with the writer's ``options``) into the shared scratch folder and
+    read it back.
 
     Used where several jobs need the same rows: later jobs, and tasks retried after
     a lost executor, re-read the files instead of replaying what made them.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

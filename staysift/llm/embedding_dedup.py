@@ -1,21 +1,21 @@
-"""Near-duplicate vectors by a subspace pigeonhole join.
+"""Near-duplicate vectors by a subspace pigeonhole join of chunks.
 
 Two unit vectors have cosine ``c`` or more just when their squared distance is at most
 ``2 - 2c``. A random rotation spreads that distance over the coordinates; the rotated
 vector is split into blocks of a few dimensions, each with a share of the squared distance
 in proportion to its dimensions. If a pair is over its share in every block, it is over the
-whole: so each linked pair is within the share in at least one block. Each block is joined by
-range on its own, and the union of the candidates is verified by the exact cosine.
+whole: so each linked pair is within the share in at least one block.
 
-A block's range join lays a grid over its first coordinates. A vector is at home in one
-cell and a guest in the cells that its range reaches into; a cell compares its home vectors
-with home and guest vectors. A link is counted for the vector at home, in the first block in
-which the pair is within the share, so each link counts once and for both of its ends.
+Vectors are packed in chunks, neighbours in the cells of the blocks' grids together as far as
+they come in one task. Two chunks whose boxes are further apart than the share in every block
+have no links; any other two meet, and one matrix product compares all their vectors.
 
 Scale. Equal vectors are collapsed first, so a vector that a third of all rows share is one
-row. The grid uses more coordinates as there are more vectors; a cell that still holds too
-many is cut into chunks of home and of all vectors that meet pairwise. Cells give only sums
-and a spanning forest of their links (at most one edge per vector), never pairs.
+row. A vector is written once, with its chunk, and pairs of chunks are made by a product that
+reads the written chunks again: nothing is copied per cell, so disk grows with the vectors
+alone. Pairs of chunks give only sums and a spanning forest of the links (at most one edge
+per component of either chunk), never pairs of vectors. Time grows with the square of the
+distinct vectors wherever boxes overlap.
 """
 
 from __future__ import annotations
@@ -24,18 +24,23 @@ from collections.abc import Iterator
 from math import ceil, log, sqrt
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from staysift.llm.common import stored
 from staysift.llm.ngram_join import components
+from staysift.session import bounded_batches
 
 NEAR = 1e-9  # closer than this to a limit, a comparison is repeated in a fixed order of operations
-TILE = 256  # home vectors compared at once
-WIDE = 2048  # with so many others
-DENSE = 0.02  # share of candidates in a tile from which all its cosines are computed at once
-COARSE = 1e-5  # rounding of single-precision squared distances, and more
+TILE = 256  # vectors of a chunk compared at once
+WIDE = 2048  # with so many of another
+COARSE = 1e-5  # rounding of single-precision cosines of 64 dimensions, and more
+WINDOW = 8  # chunks whose vectors are put in order together
+FILE_BYTES = 16 << 20  # of chunks in one file, which is read as a whole
+KEPT_BYTES = 64 << 20  # of single-precision chunks that a worker keeps
 SPREAD = 4.0  # deviations of a coordinate that most vectors lie within
 
 
@@ -70,8 +75,9 @@ class Blocks:
             out += unit[:, k, None] * self.rotation[k]
         return out
 
-    def cells(self, x: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(row, cell, home)``: the cells of a block that each rotated vector's range reaches."""
+    def cells(self, x: np.ndarray, block: int, guests: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(row, cell, home)``: the cells of a block that each rotated vector's range reaches,
+        or without ``guests`` the one that it lies in."""
         a, _ = self.blocks[block]
         width, limit = self.width[block], self.shares[block] + NEAR
         row = np.arange(len(x))
@@ -81,7 +87,8 @@ class Blocks:
             at = np.floor(x[row, k] / width)
             inside = x[row, k] - at * width
             parts = []
-            for move, more in ((-1, inside), (0, np.zeros(len(row))), (1, width - inside)):
+            moves = ((-1, inside), (0, np.zeros(len(row))), (1, width - inside))
+            for move, more in moves if guests else moves[1:2]:
                 far = gap + more * more
                 near = far <= limit
                 digit = at[near].astype(np.int64) + move + self.digits // 2
@@ -90,6 +97,17 @@ class Blocks:
         return row, code, home
 
 
+    def in_order(self, x: np.ndarray) -> np.ndarray:
+        """The rotated vectors' places, those of a cell of the first block together, and so on."""
+        return np.lexsort([self.cells(x, block, guests=False)[1] for block in range(len(self.blocks))][::-1])
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether two boxes (least and greatest rotated coordinates) are further apart than the
+        share in every block."""
+        gap = np.maximum(0, np.maximum(a[0] - b[1], b[0] - a[1]))
+        return all((gap[i:j] ** 2).sum() > share + NEAR for (i, j), share in zip(self.blocks, self.shares, strict=True))
+
+
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of paired rows, summed in a fixed order."""
     out = np.zeros(len(a))
@@ -98,135 +116,69 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``np.nonzero`` of a mostly false mask: eight cells are looked at together."""
-    flat = mask.ravel()
-    if flat.size % 8:
-        return np.nonzero(mask)
-    words = np.flatnonzero(flat.view(np.uint64))
-    r, c = np.nonzero(flat.reshape(-1, 8)[words])
-    return np.divmod(8 * words[r] + c, mask.shape[1])
-
-
-class Cell:
-    """Compares the home vectors of a cell with all its vectors in one block. A tile is met by
-    one matrix product; what it leaves open is decided pair by pair in a fixed order of
-    operations, so that all blocks agree on every pair."""
-
-    def __init__(self, blocks: Blocks, block: int, home: np.ndarray, every: np.ndarray):
-        self.blocks, self.block = blocks, block
-        self.unit_a, self.unit_b = blocks.unit(home), blocks.unit(every)
-        self.a, self.b = blocks.rotated(self.unit_a), blocks.rotated(self.unit_b)
-        self.sides: dict[tuple[int, type], tuple[np.ndarray, np.ndarray]] = {}
-
-    def _distances(self, block: int, kind: type, i: slice, j: slice) -> np.ndarray:
-        """Squared distances in a block over a tile, up to rounding of the ``kind``."""
-        if (block, kind) not in self.sides:
-            a, b = (m[:, slice(*self.blocks.blocks[block])] for m in (self.a, self.b))
-            one = lambda m: np.ones((len(m), 1))
-            size = lambda m: (m * m).sum(axis=1, keepdims=True)
-            self.sides[block, kind] = (
-                np.hstack((-2 * a, size(a), one(a))).astype(kind),
-                np.hstack((b, one(b), size(b))).astype(kind),
-            )
-        a, b = self.sides[block, kind]
-        return a[i] @ b[j].T
-
-    def _paired(self, block: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Whether pairs (rows of home and of all vectors) are within a block's share."""
-        d = self.a[p, slice(*self.blocks.blocks[block])] - self.b[q, slice(*self.blocks.blocks[block])]
-        return _products(d, d) <= self.blocks.shares[block]
-
-    def _within(self, block: int, i: slice, j: slice) -> np.ndarray:
-        d, limit = self._distances(block, np.float64, i, j), self.blocks.shares[block]
-        out = d <= limit
-        p, q = np.nonzero(np.abs(d - limit) < NEAR / 4)
-        out[p, q] = self._paired(block, p + i.start, q + j.start)
-        return out
-
-    def links(self, i: slice, j: slice) -> np.ndarray | None:
-        """Which pairs of a tile link and are not within the share of an earlier block."""
-        out = self._distances(self.block, np.float32, i, j) <= self.blocks.shares[self.block] + COARSE
-        count = np.count_nonzero(out)
-        if not count:
-            return None
-        limit = self.blocks.cosine
-        if count <= DENSE * out.size:
-            p, q = _places(out)
-            out[p, q] = False
-            p, q = p + i.start, q + j.start
-            cosine = np.einsum("ij,ij->i", self.a[p], self.b[q])
-            keep = cosine >= limit - NEAR
-            p, q, cosine = p[keep], q[keep], cosine[keep]
-            keep = self._cosines(p, q, cosine) & self._paired(self.block, p, q)
-            for earlier in range(self.block):
-                keep[keep] = ~self._paired(earlier, p[keep], q[keep])
-            out[p[keep] - i.start, q[keep] - j.start] = True
-        else:
-            cosine = self.a[i] @ self.b[j].T
-            out = self._within(self.block, i, j) & (cosine >= limit - NEAR)
-            p, q = np.nonzero(out & (cosine <= limit + NEAR))
-            out[p, q] = self._cosines(p + i.start, q + j.start, cosine[p, q])
-            for earlier in range(self.block):
-                if not out.any():
-                    break
-                out &= ~self._within(earlier, i, j)
-        return out if out.any() else None
-
-    def _cosines(self, p: np.ndarray, q: np.ndarray, cosine: np.ndarray) -> np.ndarray:
-        """Whether pairs link; those close to the limit by their vectors before the rotation."""
-        linked = cosine >= self.blocks.cosine
-        near = np.flatnonzero(np.abs(cosine - self.blocks.cosine) <= NEAR)
-        linked[near] = _products(self.unit_a[p[near]], self.unit_b[q[near]]) >= self.blocks.cosine
-        return linked
-
-
-def _compare(home: pd.DataFrame, every: pd.DataFrame, blocks: Blocks, block: int) -> pd.DataFrame:
-    """For one chunk of a cell: the home vectors' ``links``, and with 0 links the edges
-    ``(num, other)`` of a forest that spans the links."""
-    left, right = home["num"].to_numpy(), every["num"].to_numpy()
-    cell = Cell(blocks, block, _matrix(home), _matrix(every))
-    copies = every["copies"].to_numpy().astype(float)
-    nums = np.unique(np.concatenate((left, right)))
-    of_left, of_right = np.searchsorted(nums, left), np.searchsorted(nums, right)
-    label = np.arange(len(nums))
-    links = np.zeros(len(left))
-    for i in (slice(at, at + TILE) for at in range(0, len(left), TILE)):
-        for j in (slice(at, at + WIDE) for at in range(0, len(right), WIDE)):
-            found = cell.links(i, j)
-            if found is None:
-                continue
-            found &= left[i][:, None] != right[j][None, :]  # a vector does not link with itself
-            links[i] += found.astype(float) @ copies[j]
-            others = of_right[j]
-            for r in np.flatnonzero(found.any(axis=1)).tolist():
-                met, own = label[others[found[r]]], label[of_left[i.start + r]]
-                if (met != own).any():
-                    merged = np.unique(np.append(met, own))
-                    label[np.isin(label, merged)] = merged[0]
-    tied, some = np.flatnonzero(label != np.arange(len(nums))), np.flatnonzero(links)
-    return pd.DataFrame(
-        {
-            "num": np.concatenate((left[some], nums[tied])),
-            "links": np.concatenate((links[some], np.zeros(len(tied)))).astype(np.int64),
-            "other": np.concatenate((left[some], nums[label[tied]])),
-        }
-    )
-
+class Chunk:
+    """Vectors as they came, and as unit vectors in single precision."""
 
-def _matrix(rows: pd.DataFrame) -> np.ndarray:
-    return np.frombuffer(b"".join(rows["vec"]), dtype="<f8").reshape(len(rows), -1)
+    def __init__(self, blocks: Blocks, raw: np.ndarray, single: np.ndarray | None = None):
+        self.blocks, self.raw = blocks, raw
+        self.single = blocks.unit(raw.astype(float)).astype(np.float32) if single is None else single
 
-
-def _classes(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, DataFrame, int]:
+    def links(self, other: Chunk) -> Iterator[tuple[slice, slice, np.ndarray]]:
+        """Tiles of the two chunks and which of their pairs link, where some do. A tile is met by
+        one matrix product; what its rounding leaves open is decided pair by pair."""
+        limit = self.blocks.cosine
+        slack = max(COARSE, (self.raw.shape[1] + 8) * 2.0**-23)
+        for i in (slice(at, at + TILE) for at in range(0, len(self.raw), TILE)):
+            for j in (slice(at, at + WIDE) for at in range(0, len(other.raw), WIDE)):
+                cosine = self.single[i] @ other.single[j].T
+                if cosine.max() < limit - slack:
+                    continue
+                found = cosine >= limit - slack
+                p, q = np.nonzero(found & (cosine <= limit + slack))
+                for at in range(0, len(p), 16_384):
+                    r, c = p[at : at + 16_384], q[at : at + 16_384]
+                    found[r, c] = self._exact(other, r + i.start, c + j.start)
+                if found.any():
+                    yield i, j, found
+
+    def _exact(self, other: Chunk, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Whether pairs link, by double-precision cosines in a fixed order of operations."""
+        a, b = (self.blocks.unit(m.astype(float)) for m in (self.raw[p], other.raw[q]))
+        return _products(a, b) >= self.blocks.cosine
+
+
+def _merge(label: np.ndarray, left: np.ndarray, right: np.ndarray, found: np.ndarray) -> None:
+    """Give all places that a tile links the same ``label``: the least of theirs."""
+    for r in np.flatnonzero(found.any(axis=1)).tolist():
+        met, own = label[right[found[r]]], label[left[r]]
+        if (met != own).any():
+            merged = np.unique(np.append(met, own))
+            label[np.isin(label, merged)] = merged[0]
+
+
+def _inside(chunk: Chunk, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For one chunk: the vectors' numbers of links, and the first vector that each one reaches."""
+    place = np.arange(len(copies))
+    label, links = place.copy(), np.zeros(len(copies))
+    for i, j, found in chunk.links(chunk):
+        found &= place[i][:, None] != place[j][None, :]  # a vector does not link with itself
+        links[i] += found @ copies[j].astype(float)
+        _merge(label, place[i], place[j], found)
+    return links.astype(np.int64), label
+
+
+def _classes(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, DataFrame, int, int]:
     """All rows as ``(id, k1, k2)`` (keys NULL where the vector takes no part); one row per
-    distinct vector, ``(k1, k2, id, copies, vec)`` with its smallest id; the dimensions."""
+    distinct vector, ``(k1, k2, id, copies, vec)`` with its smallest id; the dimensions and the
+    rows that take part. Single-precision vectors stay so: they are doubled where they are used."""
     v = F.col("vec")
-    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
+    kind = vectors.schema[vector_col].dataType
+    kind = "array<float>" if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast(kind).alias("vec"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     valid = F.coalesce(F.col("id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
     common = rows.where(valid).groupBy(F.size(v).alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
-    dim = common["d"] if common else 0
+    dim, n = (common["d"], common["n"]) if common else (0, 0)
     valid = valid & (F.size(v) == dim)
     # two 64-bit hashes stand for a vector
     keyed = rows.select(
@@ -239,82 +191,116 @@ def _classes(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFram
         keyed.where("k1 IS NOT NULL").groupBy("k1", "k2")
         .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("vec").alias("vec"))
     )
-    return keyed.drop("vec"), classes, dim
+    return keyed.drop("vec"), classes, dim, n
 
 
-def _links(classes: DataFrame, blocks: Blocks, chunk_rows: int) -> DataFrame:
-    """Rows ``(num, links, other)`` of all cells (see :func:`_compare`)."""
-    shared = classes.sparkSession.sparkContext.broadcast(blocks)
+COLUMNS = ("id", "k1", "k2", "copies", "links", "root")  # of the vectors of a chunk, as arrays
 
-    def cells_of(part: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        known = shared.value
-        turned = known.rotated(known.unit(np.stack(part["vec"].to_numpy()).astype(float)))
-        for block in range(len(known.blocks)):
-            yield block, *known.cells(turned, block)
-
-    def sizes_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _parts(frames):
-            for block, _, cell, home in cells_of(part):
-                found, code = np.unique(cell, return_inverse=True)
-                yield pd.DataFrame(
-                    {
-                        "block": np.int32(block), "cell": found,
-                        "homes": np.bincount(code[home], minlength=len(found)), "n": np.bincount(code),
-                    }
-                )
-
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _parts(frames):
-            data = np.array([np.asarray(x, dtype="<f8").tobytes() for x in part["vec"]], dtype=object)
-            num, copies = part["num"].to_numpy(), part["copies"].to_numpy()
-            for block, row, cell, home in cells_of(part):
-                yield pd.DataFrame(
-                    {
-                        "block": np.int32(block), "cell": cell, "home": home,
-                        "num": num[row], "copies": copies[row], "vec": data[row],
-                    }
-                )
-
-    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        home, every = rows[rows["as_home"]], rows[rows["as_every"]]
-        if not len(home) or not len(every):
-            return pd.DataFrame({"num": [], "links": [], "other": []}, dtype="int64")
-        return _compare(home, every, shared.value, int(key[0]))
-
-    source = classes.select("num", "copies", "vec")
-    # cells with more home or more vectors than a chunk: each of their rows goes to several chunks
-    crowded = stored(
-        source.mapInPandas(sizes_of, "block int, cell bigint, homes bigint, n bigint")
-        .groupBy("block", "cell").agg(F.sum("homes").alias("homes"), F.sum("n").alias("n"))
-        .select("block", "cell", F.ceil(F.col("homes") / chunk_rows).alias("hs"), F.ceil(F.col("n") / chunk_rows).alias("es"))
-        .where("hs > 0 AND es > 1"),
-        "dedup-crowded",
-    )
-    placed = source.mapInPandas(place, "block int, cell bigint, home boolean, num bigint, copies bigint, vec binary")
-    if crowded.isEmpty():
-        placed = placed.select("*", F.lit(1).cast("bigint").alias("hs"), F.lit(1).cast("bigint").alias("es"))
-    else:
-        placed = placed.join(crowded, ["block", "cell"], "left").fillna(1, ["hs", "es"])
-    h_own, e_own = F.pmod(F.xxhash64("num"), F.col("hs")), F.pmod(F.xxhash64("num"), F.col("es"))
-    up_to = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
-    target = lambda hc, ec, as_home, as_every: F.struct(
-        hc.alias("hc"), ec.alias("ec"), as_home.alias("as_home"), as_every.alias("as_every")
-    )
-    as_every = F.transform(up_to("hs"), lambda h: target(h, e_own, F.col("home") & (h == h_own), F.lit(True)))
-    as_home = F.transform(
-        F.filter(up_to("es"), lambda e: F.col("home") & (e != e_own)), lambda e: target(h_own, e, F.lit(True), F.lit(False))
-    )
-    dealt = placed.withColumn("t", F.explode(F.concat(as_every, as_home))).select(
-        "block", "cell", "t.hc", "t.ec", "t.as_home", "t.as_every", "num", "copies", "vec"
-    )
-    found = dealt.groupBy("block", "cell", "hc", "ec").applyInPandas(compare, "num bigint, links bigint, other bigint")
-    return stored(found, "dedup-links")
 
-
-def _parts(frames: Iterator[pd.DataFrame], rows: int = 2048) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for at in range(0, len(frame), rows):
-            yield frame.iloc[at : at + rows]
+def _chunks(classes: DataFrame, blocks: Blocks, dim: int, chunk_rows: int) -> DataFrame:
+    """The distinct vectors as written chunks: the number of the ``first`` vector (numbers go on
+    from it), the arrays of COLUMNS with links and roots inside the chunk, the ``box`` of the
+    rotated vectors, and ``vec`` with all vectors."""
+    shared = classes.sparkSession.sparkContext.broadcast(blocks)
+    kind = "<f4" if classes.schema["vec"].dataType.elementType == FloatType() else "<f8"
+
+    def chunk(first: int, columns: list[np.ndarray], raw: np.ndarray, turned: np.ndarray) -> pa.RecordBatch:
+        links, root = _inside(Chunk(shared.value, raw), columns[-1])
+        box = np.stack((turned.min(axis=0), turned.max(axis=0)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([first], pa.int64())] + [pa.array([c], pa.list_(pa.int64())) for c in (*columns, links, root)]
+            + [pa.array([x.tobytes()], pa.binary()) for x in (box, raw)],
+            ["first", *COLUMNS, "box", "vec"],
+        )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, rows, parts = TaskContext.get().partitionId() << 20, 0, []
+
+        def ordered() -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+            *columns, raw = (np.concatenate(c) for c in zip(*parts, strict=True))
+            turned = shared.value.rotated(shared.value.unit(raw.astype(float)))
+            order = shared.value.in_order(turned)
+            for at in range(0, len(order), chunk_rows):
+                own = order[at : at + chunk_rows]
+                yield [c[own] for c in columns], raw[own], turned[own]
+
+        def close() -> Iterator[pa.RecordBatch]:
+            nonlocal made, rows, parts
+            for columns, raw, turned in ordered():
+                yield chunk(made * chunk_rows, columns, raw, turned)
+                made += 1
+            rows, parts = 0, []
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, chunk_rows):
+                batch = whole.slice(at, chunk_rows)
+                own = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "k1", "k2", "copies")]
+                parts.append((*own, batch.column("vec").flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(-1, dim)))
+                rows += batch.num_rows
+                if rows >= WINDOW * chunk_rows:
+                    yield from close()
+        if rows:
+            yield from close()
+
+    shape = "first bigint, " + ", ".join(f"{c} array<bigint>" for c in COLUMNS) + ", box binary, vec binary"
+    packed = bounded_batches(classes.select("id", "k1", "k2", "copies", "vec")).mapInArrow(pack, shape)
+    return stored(packed, "dedup-chunks", maxRecordsPerFile=max(1, FILE_BYTES // (chunk_rows * (dim * int(kind[-1]) + 48))))
+
+
+def _links(chunks: DataFrame, blocks: Blocks) -> DataFrame:
+    """Rows ``(num, links, other)`` of all pairs of chunks: the ``links`` of ``num`` with the vectors
+    of other chunks, and with 0 links the edges ``(num, other)`` of a forest over the roots."""
+    shared = chunks.sparkSession.sparkContext.broadcast(blocks)
+    dim = len(blocks.rotation)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, np.ndarray] = {}
+        links: dict[int, np.ndarray] = {}
+
+        def side(batch: pa.RecordBatch, row: int, name: str) -> tuple[int, np.ndarray, np.ndarray, Chunk]:
+            first = batch.column(f"{name}_first")[row].as_py()
+            copies, root = (batch.column(f"{name}_{c}")[row].values.to_numpy() for c in ("copies", "root"))
+            data = batch.column(f"{name}_vec")[row].as_buffer()
+            raw = np.frombuffer(data, f"<f{data.size // (dim * len(copies))}").reshape(-1, dim)
+            made = Chunk(shared.value, raw, kept.pop(first, None))
+            kept[first] = made.single
+            while sum(x.nbytes for x in kept.values()) > KEPT_BYTES and len(kept) > 2:
+                del kept[next(iter(kept))]  # the one met longest ago
+            return first, copies, root, made
+
+        def out(num: np.ndarray, count: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (num, count, other)], ["num", "links", "other"])
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                boxes = [np.frombuffer(batch.column(f"{n}_box")[row].as_buffer()).reshape(2, dim) for n in "ab"]
+                if shared.value.apart(*boxes):
+                    continue
+                first_a, copies_a, root_a, a = side(batch, row, "a")
+                first_b, copies_b, root_b, b = side(batch, row, "b")
+                roots = np.concatenate((root_a, len(root_a) + root_b))
+                label, place_a = roots.copy(), np.arange(len(root_a))
+                place_b = len(root_a) + np.arange(len(root_b))
+                for i, j, found in a.links(b):
+                    for first, n, at, sums in (
+                        (first_a, len(root_a), i, found @ copies_b[j].astype(float)),
+                        (first_b, len(root_b), j, copies_a[i].astype(float) @ found),
+                    ):
+                        links.setdefault(first, np.zeros(n))[at] += sums
+                    _merge(label, place_a[i], place_b[j], found)
+                tied = np.unique(roots[label != roots])
+                if len(tied):
+                    num = np.concatenate((first_a + place_a, first_b + np.arange(len(root_b))))
+                    yield out(num[tied], np.zeros(len(tied)), num[label[tied]])
+            del batch  # before the next pair is read
+        for first, sums in links.items():
+            some = np.flatnonzero(sums)
+            yield out(first + some, sums[some], first + some)
+
+    columns = ("first", "copies", "root", "box", "vec")
+    a, b = (chunks.select(*[F.col(c).alias(f"{name}_{c}") for c in columns]) for name in "ab")
+    pairs = a.hint("shuffle_replicate_nl").join(b, F.col("a_first") < F.col("b_first"))
+    return stored(bounded_batches(pairs).mapInArrow(run, "num bigint, links bigint, other bigint"), "dedup-links")
 
 
 def near_duplicates(
@@ -322,7 +308,7 @@ def near_duplicates(
     cosine: float = 0.9,
     block_dims: int = 8,
     cell_rows: int = 32_768,
-    chunk_rows: int = 65_536,
+    chunk_rows: int = 8192,
     seed: int = 42,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
@@ -337,23 +323,33 @@ def near_duplicates(
     each other, and an id with several vectors is answered for each. A row with a NULL id takes
     no part: no links, NULL component, kept. Ids are integers; other columns are not read; an
     empty table gives no rows.
+
+    Chunks hold ``chunk_rows`` vectors, or fewer where that gives too few chunks for all cores.
     """
     if not 0 < cosine <= 1:
         raise ValueError("cosine must be above 0 and at most 1")
-    rows, classes, dim = _classes(vectors, id_col, vector_col)
-    # the written table fixes each distinct vector's number
-    classes = stored(classes.withColumn("num", F.monotonically_increasing_id()), "dedup-classes")
-    facts = classes.agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("rows")).first()
+    rows, distinct, dim, n = _classes(vectors, id_col, vector_col)
     result = [F.col("id").alias(id_col), "n_links", "component_id", (F.col("id").eqNullSafe(F.col("component_id"))).alias("kept")]
     alone = rows.where("k1 IS NULL").select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))
-    if not facts["n"]:
+    if not n:
         return alone.select(*result)
-    found = _links(classes, Blocks(dim, facts["n"], cosine, block_dims, cell_rows, seed), chunk_rows)
-    counts = found.where("links > 0").groupBy("num").agg(F.sum("links").alias("links"))
-    roots = components(found.where("num != other").select(F.col("num").alias("a"), F.col("other").alias("b")))
+    blocks = Blocks(dim, n, cosine, block_dims, cell_rows, seed)
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    # the written chunks fix each distinct vector's number
+    chunks = _chunks(distinct, blocks, dim, min(chunk_rows, max(1024, -(-n // (4 * cores)))))
+    classes = chunks.select("first", F.posexplode(F.arrays_zip(*COLUMNS)).alias("place", "c")).select(
+        (F.col("first") + F.col("place")).alias("num"), (F.col("first") + F.col("c.root")).alias("other"),
+        *[f"c.{c}" for c in COLUMNS if c != "root"],
+    )
+    found = _links(chunks, blocks)
+    counts = found.where("links > 0").groupBy("num").agg(F.sum("links").alias("more"))
+    edges = found.where("num != other").select("num", "other").unionByName(classes.where("num != other").select("num", "other"))
+    roots = components(edges.select(F.col("num").alias("a"), F.col("other").alias("b")))
+    classes = classes.drop("other").withColumnRenamed("links", "inside")
     rooted = (
-        classes.drop("vec").join(roots.withColumnRenamed("id", "num"), "num", "left")
+        classes.join(roots.withColumnRenamed("id", "num"), "num", "left")
         .withColumn("root", F.coalesce("root", "num")).join(counts, "num", "left")
+        .withColumn("links", F.nullif(F.col("inside") + F.coalesce("more", F.lit(0)), F.lit(0))).drop("inside", "more")
     )
     rooted = stored(rooted, "dedup-rooted")
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("members"))
@@ -366,7 +362,7 @@ def near_duplicates(
         "dedup-info",
     )
     # vectors with more than 1/1024 of all rows: at most 1024, so they can be broadcast
-    hot = info.where(F.col("copies") * 1024 > facts["rows"]).drop("copies")
+    hot = info.where(F.col("copies") * 1024 > n).drop("copies")
     part = rows.where("k1 IS NOT NULL")
     keys = ["k1", "k2"]
     cold = part.join(F.broadcast(hot), keys, "left_anti").join(info.drop("copies"), keys)

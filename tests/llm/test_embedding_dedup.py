@@ -119,3 +119,35 @@ def test_home_and_guest_cells():
         for i, j in zip(*np.nonzero(d <= blocks.shares[block]), strict=True):
             assert own[i] in at[j]
     assert embedding_dedup.NEAR < embedding_dedup.COARSE
+
+
+def test_vectors_are_not_copied_to_meet(spark, monkeypatch):
+    """Pairs of chunks read the written chunks again: no shuffle carries vectors per cell or pair."""
+    plans = {}
+    store = embedding_dedup.stored
+
+    def stored(df, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, name, **options)
+
+    monkeypatch.setattr(embedding_dedup, "stored", stored)
+    rows = planted(np.random.default_rng(3), 500, 16)
+    got = near_duplicates(frame(spark, rows), 0.9, 4, 100, 64).collect()
+    assert Counter(tuple(r) for r in got) == brute(rows, 0.9)
+    assert "Exchange" not in plans["dedup-links"]
+
+
+def test_chunks_out_of_reach_do_not_meet():
+    """Boxes further apart than the share in every block hold no links; near ones are compared."""
+    rng = np.random.default_rng(5)
+    blocks = Blocks(12, 1000, 0.9, 4, 100, 1)
+    box = lambda x: np.stack((x.min(axis=0), x.max(axis=0)))
+    far = near = 0
+    for k in range(300):
+        one, two = rng.standard_normal((2, 12))
+        two = one + 0.2 * two if k % 2 else two
+        a, b = (blocks.rotated(blocks.unit(x + 0.2 * rng.standard_normal((5, 12)))) for x in (one, two))
+        linked, apart = (a @ b.T >= 0.9).any(), blocks.apart(box(a), box(b))
+        far, near = far + apart, near + linked
+        assert not (linked and apart)
+    assert far and near
