@@ -83,3 +83,31 @@ def test_many_queries_stay_off_the_driver(spark, monkeypatch):
         assert [r for r, _, _ in got[q]] == list(range(1, len(want) + 1))
         assert [d for _, d, _ in got[q]] == [d for _, d in want]
         assert np.allclose([s for _, _, s in got[q]], [-s for s, _ in want], rtol=0, atol=1e-8)
+
+
+def test_a_task_gives_the_best_of_all_its_shards(spark, monkeypatch):
+    """Rows out of the search and files read at once do not grow with the shards."""
+    rng = random.Random(9)
+    docs = spark.createDataFrame(list(enumerate(texts(rng, 400, 60))), "doc_id bigint, text string").repartition(2)
+    monkeypatch.setattr(bm25, "SHARD_DOCS", 5)
+    index = bm25.build_index(docs)
+    assert index.count() == len(index.inputFiles()) == 80
+    queries = docs.where("doc_id % 10 = 0").selectExpr("doc_id AS query_id", "text")
+    want = sorted(tuple(r) for r in bm25.search(index, queries, k=4).collect())
+    monkeypatch.setattr(bm25, "TASK_SHARDS", 1)
+    assert sorted(tuple(r) for r in bm25.search(index, queries, k=4).collect()) == want
+    found = [np.array([1, 1, 0, 1, 0]), np.array([5, 3, 9, 4, 8]), np.array([1.0, 1.0, 2.0, 3.0, 2.0])]
+    assert [c.tolist() for c in bm25._best(found, 2)] == [[0, 0, 1, 1], [8, 9, 4, 3], [2.0, 2.0, 3.0, 1.0]]
+
+
+def test_shards_are_stored_in_few_bytes():
+    """Every array comes back, whatever its greatest value needs."""
+    rng = random.Random(4)
+    for rows in ([], [""], ["a"], texts(rng, 300, 90), ["w " * 70_000, "w x", *texts(rng, 200, 9)]):
+        counts = [bm25.term_counts(t) for t in rows] or [bm25.term_counts("")]
+        made = bm25.Shard.build(counts)
+        parts = made.to_bytes()
+        back = bm25.Shard.from_bytes(parts)
+        for name in made.__dataclass_fields__:
+            assert np.array_equal(getattr(made, name), getattr(back, name)), name
+    assert len(parts[2]) <= 2 * len(made.docs)
