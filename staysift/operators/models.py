@@ -20,6 +20,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staysift.operators import deep_forest
 from staysift.operators.gram import PenaltySearch, fold_grams, search_penalty
 from staysift.session import tasks_of
 
@@ -42,6 +43,7 @@ BOOSTED_SEARCH = {
 TOLERANCES = (0.5, 1.0)
 # --- end of fixed values -----------------------------------------------------------
 TREE_TASK_BYTES = 128 << 20  # of binned features in one task
+DEEP = 10  # forests of deeper trees are grown by ``deep_forest``
 
 
 def label_scale(train: DataFrame, label: str = "label") -> tuple[float, int]:
@@ -174,7 +176,7 @@ def feature_importance(model, feature_names: Sequence[str], spark) -> DataFrame:
 class RunResult:
     model_name: str
     tuned: bool
-    model: Model
+    model: Model | deep_forest.DeepForest
     metrics: dict[str, float]
     best_params: dict[str, Any] = field(default_factory=dict)
 
@@ -242,6 +244,9 @@ def train_regressor(
         cv = cross_validate(est, maps, folds, seed, parallelism).fit(train)
         chosen = best_params(cv)
         model = cv.bestModel
+    elif name == "rf" and (params or {}).get("max_depth", 20) > DEEP:
+        est = make_estimator(name, train, params, seed)  # checks the parameters
+        model = deep_forest.fit(train, est.getNumTrees(), est.getMaxDepth(), seed, est.getMinInstancesPerNode())
     else:
         train = bounded_tasks(train) if name in ("rf", "xgb") else train
         model = make_estimator(name, train, params, seed).fit(train)

@@ -126,11 +126,11 @@ def tasks_of(df, rows: int, max_rows: int, *keys: str):
     return df.repartition(n, *keys)
 
 
-def written(df, tag: str):
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back: cuts
-    the lineage like a checkpoint, but keeps columns prunable and filters pushable."""
+def written(df, tag: str, **options):
+    """Write ``df`` as Parquet (with the writer's ``options``) under the shared checkpoint folder and
+    read it back: cuts the lineage like a checkpoint, but keeps columns prunable and filters pushable."""
     path = scratch_path(df.sparkSession, f"{tag}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
